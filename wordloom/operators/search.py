@@ -1,0 +1,109 @@
+"""The best documents per query word, with their names and children."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from wordloom.operators.joins import BROADCAST_ROWS, fits_broadcast, salted_join
+
+TOP = 10
+
+
+def _best_first() -> list[Column]:
+    return [F.desc("occurrences"), F.asc("doc_id")]
+
+
+def top_per_key(
+    rows: DataFrame, key: str, order: Sequence[Column], k: int, salt_by: Sequence[str]
+) -> DataFrame:
+    """The first ``k`` rows of each key, with their ``rank``.
+
+    Spark cuts each input partition to k rows per key before the shuffle, up
+    to a threshold on k. Above it, a cut per salt does the same for a hot key.
+    """
+    spark = rows.sparkSession
+    if k > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts))
+        rows = rows.withColumn("_salt", salt)
+        rows = _first_rows(rows, [key, "_salt"], order, k, "_cut").drop("_salt", "_cut")
+    return _first_rows(rows, [key], order, k, "rank")
+
+
+def _first_rows(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str
+) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+
+
+def match_words(posts: DataFrame, entity_ids: DataFrame) -> DataFrame:
+    """The postings of documents that are entities. ``entity_ids`` is distinct."""
+    ids = entity_ids.select(F.col(entity_ids.columns[0]).alias("doc_id"))
+    return posts.join(ids, "doc_id").select(*posts.columns)
+
+
+def top_postings(posts: DataFrame, entity_ids: DataFrame, k: int = TOP) -> DataFrame:
+    """(word, doc_id, occurrences, rank): k per word, for postings of query words.
+
+    Only ids of the entities take part here. Their names and lists are joined
+    to what is left after the cut.
+    """
+    return top_per_key(match_words(posts, entity_ids), "word", _best_first(), k, ["doc_id"])
+
+
+def few_words(words: DataFrame, k: int = TOP, broadcast_rows: int = BROADCAST_ROWS) -> bool:
+    """True if the words, and k rows for each of them, are measured to fit a broadcast."""
+    return fits_broadcast(words, broadcast_rows // k)
+
+
+def search(
+    top: DataFrame,
+    entities: DataFrame,
+    words: DataFrame,
+    few: bool,
+) -> DataFrame:
+    """Answer every (qid, word) from ``top``, in query order.
+
+    ``top`` has at most k rows per distinct word. Where the words are ``few``, it
+    is broadcast to the entities, which then stay where they are.
+    Words are used as typed, and a repeated word is answered for each qid.
+    """
+    hits = top.withColumnRenamed("doc_id", "entity_id")
+    found = entities.join(F.broadcast(hits) if few else hits, "entity_id")
+    if few:
+        answers = found.join(F.broadcast(words), "word")
+    else:
+        answers = salted_join(words, found, ["word"], "inner", ["qid"])
+    return answers.select(
+        "qid",
+        "word",
+        "rank",
+        F.col("entity_id").alias("doc_id"),
+        "occurrences",
+        "name",
+        "part",
+        "n_children",
+        "children",
+    ).orderBy("qid", "rank", "part")
+
+
+def top_one_word(
+    posts: DataFrame, entities: DataFrame, word: str, k: int = TOP
+) -> DataFrame:
+    """The k best entities of one word: (word, doc_id, occurrences, name, children).
+
+    The filter on the word reaches the scan of a stored table, and the sort
+    keeps k rows per partition.
+    """
+    ids = entities.where(F.col("part") == 0).select("entity_id")
+    best = match_words(posts.where(F.col("word") == word), ids).orderBy(*_best_first()).limit(k)
+    best = F.broadcast(best) if k <= BROADCAST_ROWS else best
+    return (
+        entities.join(best, F.col("entity_id") == F.col("doc_id"))
+        .select("word", "doc_id", "occurrences", "name", "part", "children")
+        .orderBy(*_best_first(), "part")
+    )

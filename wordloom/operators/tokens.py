@@ -1,0 +1,62 @@
+"""Documents to one row per token, and filters on tokens by word lists."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from wordloom.functions import clean, tokenize
+from wordloom.operators.joins import BROADCAST_ROWS, guarded_join
+
+WordList = Sequence[str] | DataFrame | None
+
+# A list of up to this many words becomes a set in the filter expression.
+LITERAL_WORDS = 1_000
+
+
+def tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, word), one row per token of the cleaned text."""
+    words = tokenize(clean(F.col(text)))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.explode(words).alias("word")).where(
+        F.col("word") != ""
+    )
+
+
+def drop_stop_words(
+    toks: DataFrame, stop_words: WordList, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Remove the tokens that equal an entry of the list, to the letter."""
+    if stop_words is None:
+        return toks
+    stop = _as_words(toks, stop_words)
+    if isinstance(stop, list):
+        return toks.where(~F.col("word").isin(stop)) if stop else toks
+    return guarded_join(toks, stop, ["word"], "left_anti", ["doc_id"], broadcast_rows)
+
+
+def keep_query_words(
+    rows: DataFrame, words: Sequence[str] | DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Keep the rows, tokens or postings, whose word is in the list.
+
+    A short list turns into a literal IN, which the Parquet scan of a stored
+    posting table uses to skip row groups.
+    """
+    keep = _as_words(rows, words)
+    if isinstance(keep, list):
+        return rows.where(F.col("word").isin(keep)) if keep else rows.where(F.lit(False))
+    return guarded_join(rows, keep, ["word"], "left_semi", ["doc_id"], broadcast_rows)
+
+
+def _as_words(rows: DataFrame, words: Sequence[str] | DataFrame) -> list[str] | DataFrame:
+    """A list of at most LITERAL_WORDS distinct words, or a DataFrame of them."""
+    if not isinstance(words, DataFrame):
+        distinct = sorted(set(words))
+        if len(distinct) <= LITERAL_WORDS:
+            return distinct
+        return rows.sparkSession.createDataFrame([(w,) for w in distinct], "word STRING")
+    listed = words.select("word").where(F.col("word").isNotNull()).distinct()
+    head = listed.limit(LITERAL_WORDS + 1).collect()
+    return [row["word"] for row in head] if len(head) <= LITERAL_WORDS else listed

@@ -1,0 +1 @@
+"""Empty on purpose: every supported program is a batch job (see README)."""
