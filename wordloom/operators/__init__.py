@@ -8,7 +8,7 @@ from wordloom.operators.enrich import (
     restrict_to,
 )
 from wordloom.operators.index import last_posting_per_word, postings, raw_postings
-from wordloom.operators.search import (
+from wordloom.operators.topk import (
     few_words,
     match_words,
     search,
@@ -16,7 +16,7 @@ from wordloom.operators.search import (
     top_per_key,
     top_postings,
 )
-from wordloom.operators.tokens import drop_stop_words, keep_query_words, tokens
+from wordloom.operators.words import drop_stop_words, keep_query_words, tokens
 
 __all__ = [
     "Hot",

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from wordloom.operators.joins import guarded_join
 from wordloom.scratch import use_shared_checkpoints
 
-MAX_LIST = 100_000
+# A task may hold the lists of many parents at once, so one list is kept short.
+MAX_LIST = 10_000
 
 # Children of a hot parent are numbered in blocks of 2 ** BLOCK_BITS positions.
 BLOCK_BITS = 16

@@ -7,7 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.operators.joins import BROADCAST_ROWS, fits_broadcast, salted_join
+from wordloom.operators.joins import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    fits_broadcast,
+    salted_join,
+)
 
 TOP = 10
 
@@ -57,7 +62,7 @@ def top_postings(posts: DataFrame, entity_ids: DataFrame, k: int = TOP) -> DataF
 
 def few_words(words: DataFrame, k: int = TOP, broadcast_rows: int = BROADCAST_ROWS) -> bool:
     """True if the words, and k rows for each of them, are measured to fit a broadcast."""
-    return fits_broadcast(words, broadcast_rows // k)
+    return fits_broadcast(words, broadcast_rows // k, BROADCAST_BYTES // k)
 
 
 def search(

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import clean, tokenize
-from wordloom.operators.joins import BROADCAST_ROWS, guarded_join
+from wordloom.operators.joins import BROADCAST_ROWS, fits_broadcast, guarded_join
 
 WordList = Sequence[str] | DataFrame | None
 
-# A list of up to this many words becomes a set in the filter expression.
+# A list of up to this size becomes a set in the filter expression.
 LITERAL_WORDS = 1_000
+LITERAL_BYTES = 1024 * 1024
 
 
 def tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,12 +52,13 @@ def keep_query_words(
 
 
 def _as_words(rows: DataFrame, words: Sequence[str] | DataFrame) -> list[str] | DataFrame:
-    """A list of at most LITERAL_WORDS distinct words, or a DataFrame of them."""
+    """The distinct words: as a list if they are measured to be few, or a DataFrame."""
     if not isinstance(words, DataFrame):
         distinct = sorted(set(words))
         if len(distinct) <= LITERAL_WORDS:
             return distinct
         return rows.sparkSession.createDataFrame([(w,) for w in distinct], "word STRING")
     listed = words.select("word").where(F.col("word").isNotNull()).distinct()
-    head = listed.limit(LITERAL_WORDS + 1).collect()
-    return [row["word"] for row in head] if len(head) <= LITERAL_WORDS else listed
+    if not fits_broadcast(listed, LITERAL_WORDS, LITERAL_BYTES):
+        return listed
+    return [row["word"] for row in listed.collect()]

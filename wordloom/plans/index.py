@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wordloom.functions import plain_quotes
 from wordloom.operators import drop_stop_words, parent_child_list, postings, tokens
 from wordloom.operators.enrich import MAX_LIST
-from wordloom.operators.tokens import WordList
+from wordloom.operators.words import WordList
 
 
 def corpus_tokens(docs: DataFrame, stop_words: WordList = None) -> DataFrame:

@@ -18,8 +18,8 @@ from wordloom.operators import (
     top_postings,
 )
 from wordloom.operators.enrich import MAX_LIST
-from wordloom.operators.search import TOP
-from wordloom.operators.tokens import WordList
+from wordloom.operators.topk import TOP
+from wordloom.operators.words import WordList
 from wordloom.plans.index import corpus_tokens
 from wordloom.scratch import use_shared_checkpoints
 

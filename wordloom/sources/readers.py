@@ -19,6 +19,9 @@ from wordloom.sources.lines import (
 # Fixed value: what the data files of a job's output folder are called.
 PART_FILES = "*part-*"
 
+# A scan with fewer splits per core than this is small enough to be moved.
+SPLITS_PER_CORE = 2
+
 # Column order of the input: a scan numbers rows in order within one file only.
 FILE_ORDER = ("file", "pos")
 
@@ -87,12 +90,14 @@ def read_table(spark: SparkSession, table: str, schema: str) -> DataFrame:
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores where a scan has fewer partitions than the cluster has cores.
+    """Use all cores on a small scan, whose few row groups may sit in few partitions.
 
-    Larger inputs are left as they are. Give ``keys`` only if they are unique:
-    the rows are then hashed on them, which later grouping can build on.
+    Spark cuts a small input into about as many partitions as there are cores,
+    and some of them may be empty. Inputs of at least ``SPLITS_PER_CORE`` are
+    left as they are. Give ``keys`` only if they are unique: the rows are then
+    hashed on them, which later grouping can build on.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    if scan.rdd.getNumPartitions() >= SPLITS_PER_CORE * cores:
         return scan
     return scan.repartition(cores, *keys)
