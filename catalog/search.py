@@ -18,10 +18,9 @@ from catalog.tables import (
     sql_postings,
     table,
 )
-from catalog.terms import index
 from wordloom.functions import children_text
 from wordloom.operators import parent_child_list, top_one_word
-from wordloom.plans import search_documents
+from wordloom.plans import build_index, search_documents
 from wordloom.sources import query_words
 
 ONE_WORD = "que"
@@ -76,7 +75,8 @@ def _search_conversations(spark, sf_dir, **options):
 
 def search_one_word(spark, sf_dir):
     entities = parent_child_list(document_sources(spark, sf_dir), document_labels(spark, sf_dir))
-    return answers(top_one_word(index(spark, sf_dir), entities, ONE_WORD))
+    posts = build_index(documents(spark, sf_dir), STOP_WORDS)
+    return answers(top_one_word(posts, entities, ONE_WORD))
 
 
 QUERIES = {

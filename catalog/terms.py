@@ -33,7 +33,7 @@ def kept(spark, sf_dir):
 
 
 def index(spark, sf_dir):
-    return build_index(documents(spark, sf_dir), STOP_WORDS)
+    return build_index(documents(spark, sf_dir), STOP_WORDS, unique_ids=True)
 
 
 def tokens_kept_long_list(spark, sf_dir):
@@ -57,6 +57,7 @@ QUERIES = {
     "term_counts": lambda s, d: term_counts(kept(s, d)),
     "term_counts_ranked": lambda s, d: rank_terms(term_counts(kept(s, d))),
     "postings": index,
+    "postings_grouped": lambda s, d: build_index(documents(s, d), STOP_WORDS),
     "postings_conversations": lambda s, d: build_index(conversations(s, d), STOP_WORDS),
     "raw_postings": lambda s, d: raw_postings(corpus_tokens(conversations(s, d), STOP_WORDS)),
     "posting_text": lambda s, d: index(s, d).select(
@@ -90,6 +91,7 @@ ORACLE = {
     "term_counts": SQL_COUNTS,
     "term_counts_ranked": f"{SQL_COUNTS} ORDER BY occurrences DESC, word",
     "postings": sql_postings(),
+    "postings_grouped": sql_postings(),
     "postings_conversations": sql_postings("conversations", "conv_id"),
     "raw_postings": f"""
         SELECT word, doc_id, CAST(1 AS BIGINT) AS occurrences

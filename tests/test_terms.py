@@ -9,9 +9,11 @@ from wordloom.operators import (
     postings,
     rank_terms,
     raw_postings,
+    row_postings,
     term_counts,
+    tokens,
 )
-from wordloom.plans import corpus_tokens
+from wordloom.plans import build_index, corpus_tokens
 from wordloom.sources import tokens_from_lines
 
 LINES = ['10\tThe cat-dog, the "CAT" runs.', "2\tDog.", "7\t", ""]
@@ -50,6 +52,27 @@ def test_postings(toks):
     assert "dog 10 1" in {row[0] for row in lines.collect()}
 
 
+def test_row_postings(spark):
+    docs = [(1, 'b a-b "B" c.'), (2, "x"), (3, ""), (4, None), (5, " - "), (6, "a  a a")]
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    got = row_postings(df)
+    assert sorted(rows(got)) == [
+        ("a", 1, 1),
+        ("a", 6, 3),
+        ("b", 1, 3),
+        ("c", 1, 1),
+        ("x", 2, 1),
+    ]
+    assert "Exchange" not in physical_plan(got.where("word <> 'a'"))
+    assert got.dtypes == postings(tokens(df)).dtypes
+
+
+def test_both_ways_to_count_agree(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    by_row = build_index(docs, ["the", "le"], unique_ids=True)
+    assert sorted(rows(by_row)) == sorted(rows(build_index(docs, ["the", "le"])))
+
+
 def test_surrogate_key_is_not_unique(spark):
     pair = spark.createDataFrame([("a1", 2), ("a", 12)], "word STRING, doc_id BIGINT")
     assert {r[0] for r in pair.select(surrogate_key(pair.word, pair.doc_id)).collect()} == {"a12"}

@@ -7,7 +7,12 @@ from wordloom.operators.enrich import (
     parents_only,
     restrict_to,
 )
-from wordloom.operators.index import last_posting_per_word, postings, raw_postings
+from wordloom.operators.index import (
+    last_posting_per_word,
+    postings,
+    raw_postings,
+    row_postings,
+)
 from wordloom.operators.topk import (
     few_words,
     match_words,
@@ -34,6 +39,7 @@ __all__ = [
     "rank_terms",
     "raw_postings",
     "restrict_to",
+    "row_postings",
     "search",
     "term_counts",
     "tokens",

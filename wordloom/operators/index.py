@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.functions import clean, tokenize
 from wordloom.operators.enrich import last_per_key
 
 
@@ -22,6 +23,37 @@ def postings(toks: DataFrame) -> DataFrame:
     return toks.groupBy("word", "doc_id").agg(F.count("*").alias("occurrences"))
 
 
+def row_postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One posting per word and row of ``docs``; no shuffle.
+
+    The postings of (word, doc_id) where ids are unique. The tokens of a row are
+    sorted, and a word counts from its first place to the first of the next word.
+    """
+    ordered = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.sort_array(tokenize(clean(F.col(text)))).alias("_words"),
+    )
+    places = F.sequence(F.lit(0), F.size("_words") - 1)
+    firsts = F.filter(
+        places, lambda i: ~F.get("_words", i).eqNullSafe(F.get("_words", i - 1))
+    )
+    counted = F.transform(
+        "_firsts",
+        lambda first, n: F.struct(
+            F.get("_words", first).alias("word"),
+            (F.coalesce(F.get("_firsts", n + 1), F.size("_words")) - first)
+            .cast("bigint")
+            .alias("occurrences"),
+        ),
+    )
+    return (
+        ordered.select("*", firsts.alias("_firsts"))
+        .select("doc_id", F.inline(counted))
+        .where(F.col("word") != "")
+        .select("word", "doc_id", "occurrences")
+    )
+
+
 def last_posting_per_word(posts: DataFrame) -> DataFrame:
     """The posting with the greatest id, compared as text, so 2 comes after 10."""
     return last_per_key(posts, ["word"], [F.col("doc_id").cast("string")])

@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import plain_quotes
-from wordloom.operators import drop_stop_words, parent_child_list, postings, tokens
+from wordloom.operators import (
+    drop_stop_words,
+    parent_child_list,
+    postings,
+    row_postings,
+    tokens,
+)
 from wordloom.operators.enrich import MAX_LIST
 from wordloom.operators.words import WordList
 
@@ -18,7 +24,12 @@ def corpus_tokens(docs: DataFrame, stop_words: WordList = None) -> DataFrame:
     return drop_stop_words(tokens(docs), stop_words)
 
 
-def build_index(docs: DataFrame, stop_words: WordList = None) -> DataFrame:
+def build_index(
+    docs: DataFrame, stop_words: WordList = None, unique_ids: bool = False
+) -> DataFrame:
+    """Postings without stop words. With unique ids, each row is counted by itself."""
+    if unique_ids:
+        return drop_stop_words(row_postings(docs), stop_words)
     return postings(corpus_tokens(docs, stop_words))
 
 
