@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import clean, label_with_fallback, tokenize
-from wordloom.functions.fields import lenient_bigint, needs_fallback, strict_bigint
+from wordloom.functions.fields import lenient_bigint, strict_bigint
 from wordloom.functions.text import DELIMITER_CHARS
 
 # Where the fields of a record stand.
@@ -51,92 +51,101 @@ def tokens_from_lines(lines: DataFrame, id_type: str = "bigint") -> DataFrame:
 
 def parse_parents(lines: DataFrame) -> DataFrame:
     """(entity_id, name): tab-separated, everything but two fields ignored."""
-    fields = _fields(F.col("value"), "\t")
-    entity_id = lenient_bigint(F.get(fields, PARENT_ID))
-    problem = _first_problem(
-        (F.size(fields) <= PARENT_NAME, "too few fields"), (entity_id.isNull(), "bad id")
+    fields = F.col("_fields")
+    rows = lines.withColumn("_fields", _fields(F.col("value"), "\t")).withColumn(
+        "entity_id", lenient_bigint(F.get(fields, PARENT_ID))
     )
-    return lines.select(
-        *_kept(lines),
-        entity_id.alias("entity_id"),
-        F.get(fields, PARENT_NAME).alias("name"),
-        problem.alias("problem"),
-        "value",
+    return _parsed(
+        rows.withColumn("name", F.get(fields, PARENT_NAME)),
+        lines,
+        ["entity_id", "name"],
+        (F.size(fields) <= PARENT_NAME, "too few fields"),
+        (F.col("entity_id").isNull(), "bad id"),
     )
 
 
 def parse_children(lines: DataFrame) -> DataFrame:
     """(entity_id, label): tab-separated, the label with its fallback field."""
-    fields = _fields(F.col("value"), "\t")
-    entity_id = lenient_bigint(F.get(fields, CHILD_ID))
+    fields = F.col("_fields")
     label, fallback = F.get(fields, CHILD_LABEL), F.get(fields, CHILD_FALLBACK)
-    problem = _first_problem(
-        (F.size(fields) <= CHILD_LABEL, "too few fields"),
-        (needs_fallback(label) & (F.size(fields) <= CHILD_FALLBACK), "no fallback label"),
-        (entity_id.isNull(), "bad id"),
+    rows = lines.withColumn("_fields", _fields(F.col("value"), "\t")).withColumns(
+        {
+            "entity_id": lenient_bigint(F.get(fields, CHILD_ID)),
+            "label": label_with_fallback(label, fallback),
+        }
     )
-    return lines.select(
-        *_kept(lines),
-        entity_id.alias("entity_id"),
-        label_with_fallback(label, fallback).alias("label"),
-        problem.alias("problem"),
-        "value",
+    # A label without its fallback field is null.
+    return _parsed(
+        rows,
+        lines,
+        ["entity_id", "label"],
+        (F.size(fields) <= CHILD_LABEL, "too few fields"),
+        (F.col("label").isNull(), "no fallback label"),
+        (F.col("entity_id").isNull(), "bad id"),
     )
 
 
 def parse_postings(lines: DataFrame, sep: str = " ") -> DataFrame:
     """(word, doc_id, occurrences)"""
-    fields = _fields(F.col("value"), sep)
-    doc_id, occurrences = (lenient_bigint(F.get(fields, i)) for i in (1, 2))
-    problem = _first_problem(
-        (F.size(fields) < 3, "too few fields"),
-        (doc_id.isNull(), "bad id"),
-        (occurrences.isNull(), "bad count"),
+    fields = F.col("_fields")
+    rows = lines.withColumn("_fields", _fields(F.col("value"), sep)).withColumns(
+        {
+            "word": F.get(fields, 0),
+            "doc_id": lenient_bigint(F.get(fields, 1)),
+            "occurrences": lenient_bigint(F.get(fields, 2)),
+        }
     )
-    return lines.select(
-        *_kept(lines),
-        F.get(fields, 0).alias("word"),
-        doc_id.alias("doc_id"),
-        occurrences.alias("occurrences"),
-        problem.alias("problem"),
-        "value",
+    return _parsed(
+        rows,
+        lines,
+        ["word", "doc_id", "occurrences"],
+        (F.size(fields) < 3, "too few fields"),
+        (F.col("doc_id").isNull(), "bad id"),
+        (F.col("occurrences").isNull(), "bad count"),
     )
 
 
 def parse_entities(lines: DataFrame) -> DataFrame:
     """(entity_id, name, part, n_children, children): any number of children,
     empty ones at the end dropped. The id may be ``id#part#n_children``."""
-    fields = F.split("value", "\t")
-    children = F.slice(_fields(F.col("value"), "\t"), 3, F.size(fields))
-    key = F.split(F.get(fields, 0), "#")
+    fields, key = F.split("value", "\t"), F.col("_key")
+    rows = lines.withColumns(
+        {
+            "_key": F.split(F.get(fields, 0), "#"),
+            "_size": F.size(fields),
+            "name": F.get(fields, 1),
+            "children": F.slice(_fields(F.col("value"), "\t"), 3, F.size(fields)),
+        }
+    )
     whole = F.size(key) == 1
-    entity_id, part, n_children = (lenient_bigint(F.get(key, i)) for i in range(3))
-    part = F.when(whole, 0).otherwise(part)
-    n_children = F.when(whole, F.size(children)).otherwise(n_children)
-    problem = _first_problem(
-        (F.size(fields) < 2, "too few fields"),
-        (entity_id.isNull() | part.isNull() | n_children.isNull(), "bad id"),
+    rows = rows.withColumns(
+        {
+            "entity_id": lenient_bigint(F.get(key, 0)),
+            "part": F.when(whole, 0).otherwise(lenient_bigint(F.get(key, 1))),
+            "n_children": F.when(whole, F.size("children")).otherwise(
+                lenient_bigint(F.get(key, 2))
+            ),
+        }
     )
-    return lines.select(
-        *_kept(lines),
-        entity_id.alias("entity_id"),
-        F.get(fields, 1).alias("name"),
-        part.alias("part"),
-        n_children.alias("n_children"),
-        children.alias("children"),
-        problem.alias("problem"),
-        "value",
+    id_parts = [F.col(c).isNull() for c in ("entity_id", "part", "n_children")]
+    return _parsed(
+        rows,
+        lines,
+        ["entity_id", "name", "part", "n_children", "children"],
+        (F.col("_size") < 2, "too few fields"),
+        (id_parts[0] | id_parts[1] | id_parts[2], "bad id"),
     )
 
 
+def _parsed(
+    rows: DataFrame, lines: DataFrame, columns: list[str], *checks: tuple[Column, str]
+) -> DataFrame:
+    """The columns, with the first reason whose check is true as ``problem``."""
+    kept = [c for c in lines.columns if c != "value"]
+    problem = F.coalesce(*[F.when(bad, F.lit(reason)) for bad, reason in checks])
+    return rows.select(*kept, *columns, problem.alias("problem"), "value")
+
+
 def _fields(line: Column, sep: str) -> Column:
     """Split, without the empty fields at the end of the line."""
     return F.split(F.rtrim(line, F.lit(sep)), sep)
-
-
-def _kept(lines: DataFrame) -> list[str]:
-    return [c for c in lines.columns if c != "value"]
-
-
-def _first_problem(*checks: tuple[Column, str]) -> Column:
-    return F.coalesce(*[F.when(bad, F.lit(reason)) for bad, reason in checks])
