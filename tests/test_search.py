@@ -44,6 +44,16 @@ def test_fixture(spark, frames):
     ]
 
 
+def test_many_words(spark, frames, monkeypatch):
+    """The same answers where nothing may be broadcast for the words' sake."""
+    words = query_words(spark, ["dog", "cat", "dog", "none"])
+    want = answers(search_documents(*frames, words))
+    monkeypatch.setattr("wordloom.plans.search.few_words", lambda *_: False)
+    found = search_documents(*frames, words)
+    assert "_salt" in physical_plan(found)
+    assert answers(found) == want
+
+
 def test_no_words(spark, frames):
     assert search_documents(*frames, query_words(spark, ["x"]).where("false")).count() == 0
 

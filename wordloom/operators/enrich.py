@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.operators.joins import guarded_join
+from wordloom.operators.joins import guarded_join, salted_join
 from wordloom.scratch import use_shared_checkpoints
 
 # A task may hold the lists of many parents at once, so one list is kept short.
@@ -57,9 +57,13 @@ def find_hot(children: DataFrame, max_list: int = MAX_LIST) -> Hot:
     return Hot(max_list, keys.checkpoint())
 
 
-def restrict_to(rows: DataFrame, ids: DataFrame, few: bool) -> DataFrame:
-    """The rows with one of the distinct ids; broadcast the ids if they are few."""
-    return rows.join(F.broadcast(ids) if few else ids, "entity_id", "left_semi")
+def restrict_to(
+    rows: DataFrame, ids: DataFrame, few: bool, salt_by: Sequence[str] = ("pos",)
+) -> DataFrame:
+    """The rows with one of the distinct ids, which are broadcast if they are few."""
+    if few:
+        return rows.join(F.broadcast(ids), "entity_id", "left_semi")
+    return salted_join(rows, ids, ["entity_id"], "left_semi", salt_by)
 
 
 def parent_child_list(

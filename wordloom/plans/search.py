@@ -57,7 +57,8 @@ def search_documents(
     top = top_postings(posts, ids, k).checkpoint()
 
     winners = top.select(F.col("doc_id").alias("entity_id")).distinct()
-    entities = parent_child_list(
-        restrict_to(parents, winners, few), restrict_to(children, winners, few), order_by, hot=hot
+    parents, children = (
+        restrict_to(rows, winners, few, order_by) for rows in (parents, children)
     )
+    entities = parent_child_list(parents, children, order_by, hot=hot)
     return search(top, entities, words, few)
