@@ -1,7 +1,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from check_oracle import connect, difference
+from check_oracle import connect, difference, type_difference
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,10 +17,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", list(queries()))
 def test_query_agrees_with_sql(spark, con, name):
-    got = queries()[name](spark, SF_DIR).toPandas()
-    want = con.sql(oracle_sql()[name]).df()
+    got = queries()[name](spark, SF_DIR)
+    want = con.sql(oracle_sql()[name])
+    assert type_difference(got, want) is None
     assert len(want) > 0
-    assert difference(got, want) is None
+    assert difference(got.toPandas(), want.df()) is None
 
 
 def test_entry(spark):

@@ -192,19 +192,29 @@ def test_spread(spark, posts):
     assert spread(posts.repartition(40)).rdd.getNumPartitions() == 40
 
 
-def test_shared_folder(spark, monkeypatch):
-    class Conf(dict):
-        def set(self, key, value):
-            self[key] = value
+def test_shared_folder():
+    class Context:
+        def __init__(self, master):
+            self.master = master
+            self.folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
 
     class Session:
         def __init__(self, master, **conf):
-            self.conf = Conf(conf)
-            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = conf
+            self.sparkContext = Context(master)
 
     named = Session("spark://host", **{scratch.SETTING: "hdfs://all/nodes/"})
     assert scratch.new_path(named, "x").startswith("hdfs://all/nodes/x-")
     with pytest.raises(RuntimeError):
         scratch.shared_folder(Session("spark://host"))
+    given = Session("spark://host")
+    given.sparkContext.setCheckpointDir("hdfs://given")
+    assert scratch.shared_folder(given) == "hdfs://given"
     local = Session("local[2]")
     assert scratch.shared_folder(local) == scratch.shared_folder(local)

@@ -11,15 +11,18 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. A local session may go without."""
-    folder = spark.conf.get(SETTING, None)
+    """The folder in ``spark.checkpoint.dir``, or else the one checkpoints go to.
+
+    A local session may have neither and gets a new one.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that all nodes can reach")
-    folder = tempfile.mkdtemp(prefix="wordloom-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="wordloom-"))
+    return context.getCheckpointDir()
 
 
 def use_shared_checkpoints(spark: SparkSession) -> None:
