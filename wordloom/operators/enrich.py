@@ -83,23 +83,27 @@ def parent_child_list(
     """
     hot = hot or find_hot(children, max_list)
     parents = parents.select("entity_id", "name", *order_by)
-    names = parents_only(last_per_key(parents, ["entity_id"], order_by))
     children = children.select("entity_id", "label", *order_by)
     if hot.keys is None:
-        return _one_row_each(names, children, order_by)
+        return _one_row_each(parents, children, order_by)
 
     ids = hot.keys.select("entity_id")
-    short = guarded_join(children, ids, ["entity_id"], "left_anti", order_by)
-    long = guarded_join(children, ids, ["entity_id"], "left_semi", order_by)
-    plain = _one_row_each(names.join(ids, "entity_id", "left_anti"), short, order_by)
-    return plain.unionByName(_split_rows(names, long, hot, order_by))
+    short, long = (
+        [guarded_join(rows, ids, ["entity_id"], how, order_by) for rows in (parents, children)]
+        for how in ("left_anti", "left_semi")
+    )
+    return _one_row_each(*short, order_by).unionByName(_split_rows(*long, hot, order_by))
+
 
+def _last_names(parents: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    return last_per_key(parents, ["entity_id"], order_by).select("entity_id", "name")
 
-def _one_row_each(names: DataFrame, children: DataFrame, order_by: Sequence[str]) -> DataFrame:
+
+def _one_row_each(parents: DataFrame, children: DataFrame, order_by: Sequence[str]) -> DataFrame:
     lists = children.groupBy("entity_id").agg(
         F.count("*").alias("n_children"), _in_order(order_by).alias("children")
     )
-    return names.join(lists, "entity_id", "left").select(
+    return _last_names(parents, order_by).join(lists, "entity_id", "left").select(
         "entity_id",
         "name",
         F.lit(0).cast("bigint").alias("part"),
@@ -109,7 +113,7 @@ def _one_row_each(names: DataFrame, children: DataFrame, order_by: Sequence[str]
 
 
 def _split_rows(
-    names: DataFrame, children: DataFrame, hot: Hot, order_by: Sequence[str]
+    parents: DataFrame, children: DataFrame, hot: Hot, order_by: Sequence[str]
 ) -> DataFrame:
     """Number the children of each hot parent without bringing them together.
 
@@ -144,11 +148,8 @@ def _split_rows(
         .groupBy("entity_id", F.floor(F.col("_rank") / hot.max_list).alias("part"))
         .agg(_in_order(["_rank"]).alias("children"))
     )
-    last_part = F.floor((F.col("n_children") - 1) / hot.max_list)
-    parts = names.join(hot.keys, "entity_id").withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("bigint"), last_part))
-    )
-    return parts.join(lists, ["entity_id", "part"]).select(
+    named = _last_names(parents, order_by).join(hot.keys, "entity_id")
+    return guarded_join(lists, named, ["entity_id"], "inner", ["part"]).select(
         "entity_id", "name", "part", "n_children", "children"
     )
 
