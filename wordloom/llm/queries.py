@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordloom.llm.byte_bpe import round_trip
+from wordloom.llm.decontamination import contamination
+from wordloom.llm.fingerprints import fingerprint_documents
+from wordloom.llm.pages import extract_main_text
 from wordloom.llm.token_counts import count_tokens
 
 # The tokenizer files of the queries, as parameters.
@@ -23,13 +27,36 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    ids = F.array_join("items", ",")
+    return (
+        contamination(docs, benchmark)
+        .withColumn("items_sha256", F.sha2(F.encode(ids, "UTF-8"), 256))
+        .drop("items")
+    )
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint_documents(table(spark, sf_dir, "documents"))
+    edited = F.sha2(F.encode("edited_text", "UTF-8"), 256)
+    return found.withColumn("edited_sha256", edited).drop("edited_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_html_extraction": op3_html_extraction,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_decontamination": op9_decontamination,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE: dict[str, str] = {}
