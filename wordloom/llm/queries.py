@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wordloom.llm.byte_bpe import round_trip
 from wordloom.llm.decontamination import contamination
 from wordloom.llm.fingerprints import fingerprint_documents
+from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.pages import extract_main_text
 from wordloom.llm.token_counts import count_tokens
 
@@ -31,6 +32,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("_id", "_h")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
@@ -54,6 +59,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_html_extraction": op3_html_extraction,
+    "op5_near_duplicates": op5_near_duplicates,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontamination": op9_decontamination,
     "op10_fingerprints": op10_fingerprints,
