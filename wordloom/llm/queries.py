@@ -12,6 +12,7 @@ from wordloom.llm.byte_bpe import round_trip
 from wordloom.llm.decontamination import contamination
 from wordloom.llm.fingerprints import fingerprint_documents
 from wordloom.llm.near_duplicates import near_duplicates
+from wordloom.llm.oracle import ORACLE
 from wordloom.llm.pages import extract_main_text
 from wordloom.llm.token_counts import count_tokens
 
@@ -65,5 +66,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLE: dict[str, str] = {}
-
+__all__ = ["ORACLE", "QUERIES"]
