@@ -18,24 +18,49 @@ def words(text: str, parting: str = SPACE, lower: bool = True) -> str:
 
 REPEATED_WORDS = f"""
 WITH docs AS (SELECT doc_id, {words('text', lower=False)} AS ws FROM documents),
-starts AS (
-    SELECT doc_id, p, hash(array_to_string(ws[p:p + 49], ' ')) AS h1,
-        md5(array_to_string(ws[p:p + 49], ' ')) AS h
-    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM docs)),
-firsts AS (SELECT h, min(doc_id) AS first FROM starts GROUP BY h),
-removed AS (
-    SELECT doc_id, list_sort(list(DISTINCT q)) AS gone
-    FROM (SELECT doc_id, unnest(range(p, p + 50)) AS q
-          FROM starts JOIN firsts USING (h) WHERE first < doc_id)
-    GROUP BY doc_id),
-places AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS w FROM docs),
-gone AS (SELECT doc_id, unnest(gone) AS p FROM removed),
+places AS (
+    SELECT doc_id, p, ws[p] AS w,
+        CASE WHEN p + 49 <= len(ws) THEN md5(array_to_string(ws[p:p + 49], ' ')) END AS h
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM docs)),
+firsts AS (SELECT h, min(doc_id) AS first FROM places WHERE h IS NOT NULL GROUP BY h),
+covered AS (
+    SELECT doc_id, p, w, coalesce(
+        max(CASE WHEN first < doc_id THEN p END) OVER (PARTITION BY doc_id ORDER BY p) > p - 50,
+        false) AS gone
+    FROM places LEFT JOIN firsts USING (h)),
 kept AS (
-    SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS kept
-    FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
-SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+    SELECT doc_id, count(*) FILTER (gone) AS n,
+        string_agg(w, ' ' ORDER BY p) FILTER (NOT gone) AS kept
+    FROM covered GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
     sha256(coalesce(kept, '')) AS kept_sha256
-FROM docs LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+REPEATED_BYTES = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+places AS (
+    SELECT doc_id, p, substr(x, 2 * p + 1, 2) AS b,
+        CASE WHEN 2 * p + 200 <= length(x) THEN md5(substr(x, 2 * p + 1, 200)) END AS h
+    FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2)) AS p FROM docs)),
+firsts AS (
+    SELECT h, min({'d': doc_id, 'p': p}) AS first FROM places WHERE h IS NOT NULL GROUP BY h),
+covered AS (
+    SELECT doc_id, p, b, coalesce(
+        max(CASE WHEN first < {'d': doc_id, 'p': p} THEN p END)
+            OVER (PARTITION BY doc_id ORDER BY p) > p - 100, false) AS gone
+    FROM places LEFT JOIN firsts USING (h)),
+runs AS (
+    SELECT doc_id, p, b, gone,
+        gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens
+    FROM covered),
+kept AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n, count(*) FILTER (opens) AS spans,
+        string_agg(b, '' ORDER BY p) FILTER (NOT gone) AS kept
+    FROM runs GROUP BY doc_id)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed,
+    coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
 """
 
 NEAR_DUPLICATES = f"""
@@ -86,6 +111,8 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
 ORACLE: dict[str, str] = {
+    "op2_substring_dedup": REPEATED_WORDS,
     "op5_near_duplicates": NEAR_DUPLICATES,
+    "op6_suffix_array_dedup": REPEATED_BYTES,
     "op9_decontamination": CONTAMINATION,
 }

@@ -14,6 +14,8 @@ from wordloom.llm.fingerprints import fingerprint_documents
 from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.oracle import ORACLE
 from wordloom.llm.pages import extract_main_text
+from wordloom.llm.substring_dedup import without_repeated_words
+from wordloom.llm.suffix_dedup import without_repeated_bytes
 from wordloom.llm.token_counts import count_tokens
 
 # The tokenizer files of the queries, as parameters.
@@ -29,6 +31,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_words(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -37,6 +44,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("_id", "_h")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
@@ -59,8 +71,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontamination": op9_decontamination,
     "op10_fingerprints": op10_fingerprints,
