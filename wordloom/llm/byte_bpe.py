@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.llm.texts import opened, shipped
+
 NONE = np.int32(2**31 - 1)
 CELLS = 1 << 20  # of one matrix
 CACHE_TOKENS = 300_000  # of a task; a full cache starts anew
@@ -25,6 +27,7 @@ LONGEST_ROW = 256  # bytes; a longer pre-token is merged by itself with a heap
 LONGEST_KEY = 64
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids binary"
+ADDED = ("n_tokens", "ids", "decoded_sha256")
 
 
 class Ranks:
@@ -202,17 +205,32 @@ def encode_texts(docs: DataFrame, ranks: str, pattern: str, decode: bool = False
     not read.
     """
     with open(ranks, "rb") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(Ranks(file.read()))
+        shared = shipped(docs.sparkSession, Ranks(file.read()))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     schema = SCHEMA + (", decoded binary" if decode else "")
     return rows.mapInArrow(_encoder(shared, pattern, decode), schema)
 
 
+def with_tokens(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """The rows of ``docs``, all columns, with ``n_tokens``, ``ids`` and ``decoded_sha256``.
+
+    A column of ``docs`` with one of these names gives way.
+    """
+    with open(ranks, "rb") as file:
+        shared = shipped(docs.sparkSession, Ranks(file.read()))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ADDED]).alias("doc_id")
+    rows = docs.select(whole, "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens bigint, ids binary, decoded binary"
+    coded = rows.mapInArrow(_encoder(shared, pattern, True), schema)
+    return coded.select("doc_id.*", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def _encoder(shared, pattern: str, decode: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        ranks = shared.value
+        ranks = opened(shared)
         split = regex.compile(pattern).findall
         known: dict[str, bytes] = {}
         for batch in batches:

@@ -14,6 +14,7 @@ from wordloom.llm.fingerprints import fingerprint_documents
 from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.oracle import ORACLE
 from wordloom.llm.pages import extract_main_text
+from wordloom.llm.quality import score
 from wordloom.llm.substring_dedup import without_repeated_words
 from wordloom.llm.suffix_dedup import without_repeated_bytes
 from wordloom.llm.token_counts import count_tokens
@@ -49,6 +50,10 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extraction": op3_html_extraction,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontamination": op9_decontamination,
     "op10_fingerprints": op10_fingerprints,

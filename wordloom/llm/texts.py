@@ -6,12 +6,14 @@ over all bytes of a block stay small; one text longer than a block is a block.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 2 * 1024 * 1024
@@ -32,6 +34,15 @@ BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 2**64)
 
 
+def shipped(spark: SparkSession, value):
+    """A broadcast of ``value`` that also carries its classes; open it with ``opened``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(shared):
+    return pickle.loads(shared.value)
+
+
 def identified(docs: DataFrame) -> DataFrame:
     """(doc_id, text, _id, _h): ``_id`` without nulls, ``_h`` tells apart the rows that share an id."""
     return docs.select("doc_id", "text").select(
@@ -117,6 +128,3 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     value = (sums[ends] - sums[starts]) * back[starts]
     return mixed(value + (ends - starts).astype(np.uint64))
 
-
-def bytes_table(column: list[bytes]) -> pa.Array:
-    return pa.array(column, type=pa.binary())
