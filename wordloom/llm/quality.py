@@ -32,6 +32,7 @@ SURE = 0.97  # probability from which a view passes a document on
 PASSED_ON = 0.1  # of the labelled ones, at most, by each view in a round
 HELD_BACK = 5  # one labelled document in so many is for calibration
 REJECT = 0.5
+CALIBRATION_PENALTY = 0.01  # two columns need little
 
 SYMBOLS = b"|!?%#&$*_~<>{}[]()/\\@=+:;,.\"'-"
 ENDS = (3, 4, 5, 6, 8)  # bytes of word beginnings and ends that may be telling
@@ -181,7 +182,7 @@ class Model:
         most = [
             (found * np.maximum(o, 0).astype(np.float32)).max(axis=1, initial=0) for o in self.odds.T
         ]
-        return np.concatenate([shape, found, sums, np.stack(most, axis=1)], axis=1)
+        return np.concatenate([shape, sums, np.stack(most, axis=1)], axis=1)
 
     def meta_view(self, source: list, lang: list, n_chars: list) -> np.ndarray:
         columns = []
@@ -202,7 +203,8 @@ def co_train(
 ) -> Target | None:
     """The model of one target; label -1 is unlabelled, ``held`` marks rows for calibration.
 
-    None if either class is missing among the rows to fit on.
+    A view is only as sure as it proves on the rows held back, so one that knows
+    nothing passes nothing on. None if either class is missing among the rows to fit on.
     """
     views = [text, meta]
     fit_rows = np.flatnonzero((label >= 0) & ~held)
@@ -211,25 +213,27 @@ def co_train(
         return None
     own = [label.copy(), label.copy()]
     rows = [fit_rows, fit_rows]
+    judged = np.flatnonzero((label >= 0) & held)
+    if len(np.unique(label[judged])) < 2:
+        judged = fit_rows
     models = [Logistic.fit(v[r], o[r]) for v, o, r in zip(views, own, rows)]
     for _ in range(ROUNDS):
         most = int(PASSED_ON * len(fit_rows))
         for giver, taker in ((0, 1), (1, 0)):
+            logit = models[giver].logit(views[giver])[:, None]
+            checked = Logistic.fit(logit[judged], label[judged], CALIBRATION_PENALTY)
             free = pool[own[taker][pool] < 0]
-            p = _sigmoid(models[giver].logit(views[giver][free]))
+            p = _sigmoid(checked.logit(logit[free]))
             sure = np.flatnonzero(np.maximum(p, 1 - p) >= SURE)
             sure = sure[np.argsort(-np.abs(p[sure] - 0.5), kind="stable")][:most]
             own[taker][free[sure]] = p[sure] > 0.5
             rows[taker] = np.concatenate([rows[taker], free[sure]])
         models = [Logistic.fit(v[r], o[r]) for v, o, r in zip(views, own, rows)]
-    judged = np.flatnonzero((label >= 0) & held)
-    if len(np.unique(label[judged])) < 2:
-        judged = fit_rows
     y = label[judged]
     logits = [m.logit(v[judged])[:, None] for m, v in zip(models, views)]
-    calibration = [Logistic.fit(x, y) for x in logits]
+    calibration = [Logistic.fit(x, y, CALIBRATION_PENALTY) for x in logits]
     both = np.stack([c.logit(x) for c, x in zip(calibration, logits)], axis=1)
-    return Target(*models, calibration, Logistic.fit(both, y))
+    return Target(*models, calibration, Logistic.fit(both, y, CALIBRATION_PENALTY))
 
 
 def _rows(docs: DataFrame, *first: Column) -> DataFrame:
