@@ -6,10 +6,11 @@ shifted circularly by k, orders them for coordinate k. Coordinates form bands;
 documents that share a band are candidates.
 
 Documents with equal sets are one class. Candidates are not paired with each
-other: in each bucket of a band every class is set against the least one, and of what
-that leaves apart only pairs whose sizes and unshared shingles still allow the
-similarity. Each pair is confirmed on the full sets. Components of the confirmed
-links come from label propagation.
+other: in each bucket of a band every class is set against the least one, its pivot, on
+the full sets. What differs from the pivot is small for near copies, and tells
+how far two members of a pivot are from each other; members that the pivot leaves
+in different components are compared by that, in blocks. Components of the
+confirmed links come from label propagation.
 """
 
 from __future__ import annotations
@@ -32,7 +33,11 @@ PERCENT = 85
 BANDS, ROWS = 20, 4
 GROUP = 256  # sets confirmed against one copy of a pivot's set
 
+# Members of a pivot that meet in one task, on either side.
+BLOCK = 4_096
+
 NODE = "struct<_id: bigint, _h: bigint>"
+COMPARED = f"node {NODE}, pivot {NODE}, n bigint, linked boolean, diff binary"
 FEATURES = (
     "doc_id bigint, _id bigint, _h bigint, n_shingles bigint, set1 bigint, set2 bigint,"
     " bands array<bigint>"
@@ -115,45 +120,84 @@ def _features(shingle: int, bands: int, rows: int) -> Callable:
 
 
 def _confirm(shingle: int, percent: int) -> Callable:
-    """Of sorted rows (pivot, part, member, node, text), the members linked with the pivot.
+    """Of sorted rows (pivot, part, member, node, text), each member set against its pivot.
 
-    The pivot's own row stands in front of its members.
+    The pivot's own row stands in front of its members. ``diff`` holds the
+    shingles that only one of both has, sorted.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(0, np.uint64)
         for part, data, offsets in blocks(batches):
-            found = []
+            rows, sizes, linked, diffs = [], [], [], []
             sets = shingle_sets(data, offsets, shingle)
             for row, (is_member, members) in enumerate(zip(part.column("member").to_pylist(), sets)):
                 if not is_member:
                     own = members
                     continue
-                small, large = sorted((len(own), len(members)))
-                if 100 * small >= percent * large:
-                    at = np.minimum(np.searchsorted(own, members), len(own) - 1)
-                    both = int((own[at] == members).sum())
-                    if 100 * both >= percent * (len(own) + len(members) - both):
-                        found.append(row)
-            at = pa.array(found, pa.int64())
+                diff = np.setxor1d(own, members, assume_unique=True)
+                both = (len(own) + len(members) - len(diff)) // 2
+                rows.append(row)
+                sizes.append(len(members))
+                linked.append(100 * both >= percent * (both + len(diff)))
+                diffs.append(diff.tobytes())
+            at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column(c).take(at) for c in ("node", "pivot")], names=["a", "b"]
+                [
+                    *(part.column(c).take(at) for c in ("node", "pivot")),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(linked, pa.bool_()),
+                    pa.array(diffs, pa.binary()),
+                ],
+                names=["node", "pivot", "n", "linked", "diff"],
             )
 
     return run
 
 
-def _members(shingle: int) -> Callable:
-    """(node, shingle) for each member of each set."""
+def _compare(percent: int) -> Callable:
+    """Links between the rows of a block in front and those behind, all around one pivot.
+
+    Two sets differ where their differences from the pivot differ. So sizes and
+    the number of shingles that both differences hold give the similarity.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in blocks(batches):
-            sets = shingle_sets(data, offsets, shingle)
-            at = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            members = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+        block, front = None, []
+        index: tuple | None = None
+        columns = ("pivot", "u", "v", "behind", "node", "label", "n", "diff")
+        for batch in batches:
+            found = []
+            for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+                *own, behind, node, label, n, diff = row
+                diff = np.frombuffer(diff, np.uint64)
+                if own != block:
+                    block, front, index = own, [], None
+                if not behind:
+                    front.append((node, label, n, diff))
+                    continue
+                if not front:
+                    continue
+                if index is None:
+                    members = np.concatenate([f[3] for f in front])
+                    owner = np.repeat(np.arange(len(front)), [len(f[3]) for f in front])
+                    order = np.argsort(members, kind="stable")
+                    sizes = np.array([f[2] for f in front])
+                    lengths = np.array([len(f[3]) for f in front])
+                    index = members[order], owner[order], sizes, lengths
+                members, owner, sizes, lengths = index
+                low = np.searchsorted(members, diff)
+                count = np.searchsorted(members, diff, side="right") - low
+                at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                common = np.bincount(owner[at], minlength=len(front))
+                apart = lengths + len(diff) - 2 * common
+                both = (sizes + n - apart) // 2
+                for i in np.flatnonzero(100 * both >= percent * (both + apart)):
+                    if front[i][1] != label:
+                        found.append((front[i][0], node))
+            kind = batch.schema.field("node").type
             yield pa.RecordBatch.from_arrays(
-                [part.column("node").take(pa.array(at)), pa.array(members, pa.int64())],
-                names=["node", "shingle"],
+                [pa.array([x[i] for x in found], kind) for i in (0, 1)], names=["a", "b"]
             )
 
     return run
@@ -164,15 +208,15 @@ def _kept(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
-def _linked(texts: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(a, b): the pairs (node, pivot) whose sets reach the similarity.
+def _compared(texts: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(node, pivot, n, linked, diff) of the pairs (node, pivot).
 
     A pivot with many members is copied once for every GROUP of them.
     """
     sizes = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
     members = pairs.join(sizes, "pivot").select(
         "pivot",
-        F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"),
+        F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"),
         F.lit(True).alias("member"),
         "node",
     )
@@ -183,7 +227,7 @@ def _linked(texts: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> D
     rows = members.unionByName(pivots).join(texts, "node")
     rows = rows.select("pivot", "part", "member", "node", "text")
     rows = rows.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "member")
-    return rows.mapInArrow(_confirm(shingle, percent), f"a {NODE}, b {NODE}")
+    return rows.mapInArrow(_confirm(shingle, percent), COMPARED)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -216,52 +260,39 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("node", "label")
 
 
-def _left_apart(
-    buckets: DataFrame, labels: DataFrame, texts: DataFrame, shingle: int, percent: int
-) -> DataFrame:
-    """(node, pivot): pairs of a bucket under different labels that may still be linked.
+def _left_apart(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between members of a pivot that have different labels.
 
-    A shingle that one class alone holds is in no intersection. With c shingles
-    that others hold too, a class of size n reaches the similarity t only with
-    sizes up to c * (1 + 1 / t) - n. Classes meet by bucket and range of sizes;
-    those of the bucket's most common label do not meet each other.
+    Members under the most common label of their pivot need not meet each other.
+    All others meet all members, block by block; no pair leaves a task but links.
     """
-    t = percent / 100
-    labelled = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    by_label = labelled.groupBy("band", "label").agg(F.count("*").alias("n"))
-    several = by_label.groupBy("band").agg(
-        F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("most")
+    rows = compared.select("node", "pivot", "n", "diff").join(labels, "node", "left")
+    rows = rows.withColumn("label", F.coalesce("label", "node"))
+    by_label = rows.groupBy("pivot", "label").agg(F.count("*").alias("m"))
+    several = by_label.groupBy("pivot").agg(
+        F.count("*").alias("labels"),
+        F.max(F.struct("m", "label")).alias("most"),
+        F.sum("m").alias("members"),
     )
-    several = several.where("labels > 1").select("band", F.col("most.label").alias("most"))
-    rows = _kept(labelled.join(several, "band"))
-    nodes = rows.select("node").distinct()
-    held = texts.join(nodes, "node", "left_semi").mapInArrow(
-        _members(shingle), f"node {NODE}, shingle bigint"
+    several = several.where("labels > 1").select(
+        "pivot",
+        F.col("most.label").alias("most"),
+        F.ceil((F.col("members") - F.col("most.m")) / BLOCK).cast("int").alias("us"),
+        F.ceil(F.col("members") / BLOCK).cast("int").alias("vs"),
     )
-    sizes = held.groupBy("node").agg(F.count("*").alias("n"))
-    alone = held.groupBy("shingle").agg(F.count("*").alias("n"), F.first("node").alias("node"))
-    alone = alone.where("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    most = (F.col("n") - F.coalesce("alone", F.lit(0))) * (1 + 1 / t) - F.col("n") + 1e-6
-    sizes = _kept(sizes.join(alone, "node", "left").select("node", "n", most.alias("most_n")))
-    rows = rows.join(sizes.where(F.col("most_n") >= F.col("n") * t - 1e-6), "node")
-    step = lambda n: F.floor(F.log(n) / np.log1p(0.03))
-    small = rows.select("band", "node", "label", "n", "most_n", step("n").alias("step"))
-    first, last = step(F.col("n") * t - 1e-6), step(F.least(F.col("n"), F.col("most_n")))
-    large = rows.select("band", "node", "label", "n", "most_n", first.alias("f"), last.alias("l"))
-    large = large.withColumn("step", F.explode(F.sequence("f", F.greatest("f", "l"))))
-    a, b = large.alias("a"), small.alias("b")
-    fits = (
-        (F.col("a.band") == F.col("b.band"))
-        & (F.col("a.step") == F.col("b.step"))
-        & (F.col("a.label") != F.col("b.label"))
-        & (F.col("b.n") <= F.least("a.n", "a.most_n"))
-        & (F.col("a.n") <= F.col("b.most_n"))
+    rows = rows.join(several, "pivot")
+    place = lambda parts: F.pmod(F.xxhash64("node"), parts).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    what = ["node", "label", "n", "diff"]
+    front = rows.where("label <> most").select(
+        "pivot", place("us").alias("u"), every("vs").alias("v"), F.lit(False).alias("behind"), *what
     )
-    return (
-        a.join(b, fits)
-        .select(F.least("a.node", "b.node").alias("pivot"), F.greatest("a.node", "b.node").alias("node"))
-        .distinct()
+    behind = rows.select(
+        "pivot", every("us").alias("u"), place("vs").alias("v"), F.lit(True).alias("behind"), *what
     )
+    blocks_ = front.unionByName(behind).repartition("pivot", "u", "v")
+    blocks_ = blocks_.sortWithinPartitions("pivot", "u", "v", "behind")
+    return blocks_.mapInArrow(_compare(percent), f"a {NODE}, b {NODE}")
 
 
 def similar_classes(
@@ -272,26 +303,21 @@ def similar_classes(
     ``classes`` is (node, bands), ``texts`` (node, text) for at least those nodes.
     """
     exploded = classes.select("node", F.explode("bands").alias("band"))
-    shared = exploded.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("n"))
-    buckets = exploded.join(shared.where("n > 1").drop("n"), "band")
-    buckets = _kept(buckets.select("node", "band", "pivot"))
-    if buckets.isEmpty():
+    shared = exploded.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("m"))
+    pairs = exploded.join(shared.where("m > 1").drop("m"), "band").where("node <> pivot")
+    pairs = _kept(pairs.select("node", "pivot").distinct())
+    if pairs.isEmpty():
         return None
-    nodes = buckets.select("node").distinct()
+    nodes = pairs.select("node").union(pairs.select("pivot")).distinct()
     if fits_broadcast(nodes):
         nodes = F.broadcast(nodes)
-    texts = _kept(texts.join(nodes, "node", "left_semi"))
-    pairs = buckets.where("node <> pivot").select("node", "pivot").distinct()
-    links = _kept(_linked(texts, pairs, shingle, percent))
-    if links.isEmpty():
-        labels = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    else:
-        labels = components(links)
-    rest = _kept(_left_apart(buckets.select("node", "band"), labels, texts, shingle, percent))
-    if not rest.isEmpty():
-        more = _kept(_linked(texts, rest, shingle, percent))
-        if not more.isEmpty():
-            labels = components(links.unionByName(more))
+    texts = texts.join(nodes, "node", "left_semi")
+    compared = _kept(_compared(texts, pairs, shingle, percent))
+    links = compared.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    labels = components(links)
+    more = _kept(_left_apart(compared, labels, percent))
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     return labels
 
 
