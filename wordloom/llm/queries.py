@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.llm.backoff import backoff_scores
 from wordloom.llm.byte_bpe import round_trip
 from wordloom.llm.decontamination import contamination
 from wordloom.llm.fingerprints import fingerprint_documents
@@ -41,6 +42,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op4_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("_id", "_h")
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_html_extraction": op3_html_extraction,
+    "op4_katz_backoff": op4_katz_backoff,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_quality_classifier": op7_quality_classifier,
