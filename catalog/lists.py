@@ -14,7 +14,7 @@ from catalog.tables import (
     table,
 )
 from wordloom.functions import children_text, children_text_compat
-from wordloom.operators import parent_child_list, parents_only
+from wordloom.operators import child_rows, last_per_key, parent_child_list, parents_only
 from wordloom.plans import build_entities
 
 PART_SIZE = 5
@@ -41,7 +41,7 @@ def entities_plain_quotes(spark, sf_dir):
 def parts_text_compat(spark, sf_dir):
     """The compat text of a list in parts is that of the whole list, cut."""
     entities = parent_child_list(
-        customers(spark, sf_dir), orders(spark, sf_dir), max_list=PART_SIZE
+        customers(spark, sf_dir), orders(spark, sf_dir), part_length=PART_SIZE
     )
     text = children_text_compat(
         F.col("children"), F.col("n_children"), F.col("part") * PART_SIZE
@@ -49,10 +49,39 @@ def parts_text_compat(spark, sf_dir):
     return entities.select("entity_id", "part", text.alias("children"))
 
 
+def sparse_positions(spark, sf_dir):
+    """Positions a million apart, once as whole lists and once put together from pieces."""
+    children = orders(spark, sf_dir).withColumn("pos", F.col("pos") * 1_000_000)
+    parents = customers(spark, sf_dir)
+    whole = shown(parent_child_list(parents, children))
+    cut = shown(parent_child_list(parents, children, part_length=3))
+    joined = cut.groupBy("entity_id", "name", "n_children").agg(
+        F.array_join(
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("part", "children"))), lambda p: p["children"]
+            ),
+            ", ",
+        ).alias("joined")
+    )
+    return whole.join(joined, ["entity_id", "name", "n_children"]).drop("part")
+
+
+def last_row_null_order(spark, sf_dir):
+    """Every third turn has no number; such rows are last only among themselves."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "role", "turn")
+    key = F.when(F.col("turn") % 3 != 0, F.col("turn"))
+    rows = turns.select(F.concat("conv_id", F.lit("-"), F.col("turn") % 2).alias("k"), "role",
+                        key.alias("pos"))
+    return last_per_key(rows, ["k"], ["pos"]).select("k", F.coalesce("pos", F.lit(-1)).alias("pos"))
+
+
 QUERIES = {
+    "child_rows": lambda s, d: child_rows(orders(s, d)),
+    "parent_child_list_sparse_positions": sparse_positions,
+    "last_row_null_order": last_row_null_order,
     "parent_child_list": lambda s, d: shown(parent_child_list(customers(s, d), orders(s, d))),
     "parent_child_list_parts": lambda s, d: shown(
-        parent_child_list(customers(s, d), orders(s, d), max_list=PART_SIZE)
+        parent_child_list(customers(s, d), orders(s, d), part_length=PART_SIZE)
     ),
     "parent_child_list_sparse": lambda s, d: shown(
         parent_child_list(document_sources(s, d), document_labels(s, d))
@@ -103,6 +132,13 @@ SQL_COMPAT = f"""
         FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey"""
 
 ORACLE = {
+    "child_rows": f"SELECT entity_id, rank, label FROM ({SQL_PARTS})",
+    "parent_child_list_sparse_positions": f"""
+        SELECT entity_id, name, n_children, children, children AS joined
+        FROM ({sql_lists(CUSTOMERS, ORDERS)})""",
+    "last_row_null_order": """
+        SELECT concat(conv_id, '-', turn % 2) AS k, coalesce(max(CASE WHEN turn % 3 <> 0 THEN turn END), -1) AS pos
+        FROM conversations GROUP BY ALL""",
     "parent_child_list": sql_lists(CUSTOMERS, ORDERS),
     "parent_child_list_parts": f"""
         SELECT c_custkey AS entity_id, c_name AS name, coalesce(part, 0) AS part,

@@ -70,7 +70,7 @@ def postings_from_text(spark, sf_dir):
 
 def entities_from_text(spark, sf_dir):
     entities = parent_child_list(document_sources(spark, sf_dir), document_labels(spark, sf_dir))
-    columns = ("entity_id", "name", "part", "n_children", "children")
+    columns = ("entity_id", "name", "children")
     lines = entities.select(entity_line(*map(F.col, columns)).alias("value"))
     return strict(parse_entities(lines)).withColumn("children", F.array_join("children", "\t"))
 
@@ -94,6 +94,7 @@ QUERIES = {
 ORACLE = {
     "records_from_lines": sql_kept(),
     "parents_from_tsv": "SELECT c_custkey AS entity_id, c_name AS name FROM customer",
+    # Fixed value: the pattern of an age, as in the field functions.
     "children_from_tsv": """
         SELECT CAST(c_nationkey AS BIGINT) AS entity_id,
                CASE WHEN regexp_full_match(label, '[0-9]{2}.[0-9]{1}') THEN c_name

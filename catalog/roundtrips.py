@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.lists import ORACLE as LISTS
-from catalog.lists import PART_SIZE, shown
+from catalog.lists import PART_SIZE, SQL_PARTS, shown
 from catalog.search import ORACLE as SEARCHES
 from catalog.search import answers
 from catalog.tables import (
@@ -15,6 +15,7 @@ from catalog.tables import (
     document_labels,
     document_sources,
     orders,
+    sql_list,
     sql_postings,
     table,
 )
@@ -49,20 +50,32 @@ def table_roundtrip(spark, sf_dir):
     return read_table(spark, path, schemas.POSTINGS)
 
 
-def text_roundtrip(spark, sf_dir):
+def text_roundtrip(spark, sf_dir, sep=" "):
     path = new_path(spark, "postings-text")
-    posts = index(spark, sf_dir)
-    write_delimited(posts, path, POSTING_COLUMNS, " ", files=4, keys=["word", "doc_id"])
-    return read_postings(spark, path).select(*POSTING_COLUMNS)
+    posts = index(spark, sf_dir).where(~F.col("word").contains(sep))
+    write_delimited(posts, path, POSTING_COLUMNS, sep, files=4, keys=["word", "doc_id"])
+    return read_postings(spark, path, sep).select(*POSTING_COLUMNS)
 
 
 def entity_text_roundtrip(spark, sf_dir):
     path = new_path(spark, "entities-text")
     entities = parent_child_list(
-        customers(spark, sf_dir), orders(spark, sf_dir), max_list=PART_SIZE
+        customers(spark, sf_dir), orders(spark, sf_dir), part_length=PART_SIZE
     )
-    write_entity_text(entities, path, files=4)
-    return shown(read_entities(spark, path).drop("file", "pos"))
+    write_entity_text(entities, path, files=4, in_parts=True)
+    return shown(read_entities(spark, path, in_parts=True).drop("file", "pos"))
+
+
+def entity_text_empty_labels(spark, sf_dir):
+    """Labels that are empty or null, wherever they stand in a list, in pieces of two."""
+    path = new_path(spark, "entities-text")
+    children = orders(spark, sf_dir).withColumn(
+        "label",
+        F.when(F.col("pos") % 3 == 0, "").when(F.col("pos") % 3 == 1, F.col("label")),
+    )
+    entities = parent_child_list(customers(spark, sf_dir), children, part_length=2)
+    write_entity_text(entities, path, in_parts=True)
+    return shown(read_entities(spark, path, in_parts=True).drop("file", "pos"), "|")
 
 
 def search_stored_tables(spark, sf_dir):
@@ -81,31 +94,81 @@ def search_stored_tables(spark, sf_dir):
     return answers(found)
 
 
-def programs_chained(spark, sf_dir):
-    """The tables as text files, then index, entities, tables and queries from files."""
+def _files(spark, sf_dir, bad=()):
+    """The tables as text files: documents, parents, children, stop words, query words.
+
+    ``bad`` lines are added to the documents, parents and children.
+    """
 
-    def lines(df, *fields):
+    def lines(df, *fields, more=()):
         path = new_path(spark, "lines")
-        df.select(F.concat_ws("\t", *fields).alias("value")).write.text(path)
+        rows = df.select(F.concat_ws("\t", *fields).alias("value"))
+        if more:
+            rows = rows.unionByName(spark.createDataFrame([(m,) for m in more], "value STRING"))
+        rows.write.text(path)
         return path
 
     docs = table(spark, sf_dir, "documents")
     none = F.lit("")
-    doc_lines = lines(docs, "doc_id", F.translate("text", "\n", " "))
-    parent_lines = lines(docs, "doc_id", none, "source")
-    child_lines = lines(
-        table(spark, sf_dir, "labels"), "doc_id", *[none] * 7, F.col("quality").cast("string")
+    labels = table(spark, sf_dir, "labels")
+    return (
+        lines(docs, "doc_id", F.translate("text", "\n", " "), more=bad),
+        lines(docs, "doc_id", none, "source", more=bad),
+        lines(labels, "doc_id", *[none] * 7, F.col("quality").cast("string"), more=bad),
+        lines(spark.createDataFrame([(w,) for w in STOP_WORDS], schemas.WORDS), "word"),
+        lines(query_words(spark, SEARCH_WORDS).coalesce(1).orderBy("qid"), "word"),
     )
-    stop = lines(spark.createDataFrame([(w,) for w in STOP_WORDS], schemas.WORDS), "word")
-    words = lines(query_words(spark, SEARCH_WORDS).coalesce(1).orderBy("qid"), "word")
 
+
+def _chained(spark, sf_dir, files=4, part_length=None, bad=(), rejects=None, **options):
+    """From files over index, entities and tables to the answers."""
+    docs, parents, children, stop, words = _files(spark, sf_dir, bad)
     index_text, entity_text, posts, entities = (
         new_path(spark, name) for name in ("index", "entities", "postings", "entity-table")
     )
-    write_index(spark, doc_lines, stop, index_text, files=4)
-    write_entities(spark, parent_lines, child_lines, entity_text, files=4)
-    load_tables(spark, index_text, entity_text, posts, entities)
-    return answers(run_queries(spark, posts, entities, words))
+    write_index(spark, docs, stop, index_text, files, rejects)
+    write_entities(spark, parents, children, entity_text, 4, part_length, rejects)
+    load_tables(
+        spark, index_text, entity_text, posts, entities,
+        in_parts=part_length is not None, rejects=rejects, **options,
+    )
+    return posts, entities, words
+
+
+def programs_chained(spark, sf_dir):
+    return answers(run_queries(spark, *_chained(spark, sf_dir)))
+
+
+def programs_chained_raw(spark, sf_dir):
+    """The index has a line for each occurrence; loading sums them."""
+    return answers(run_queries(spark, *_chained(spark, sf_dir, files=0, part_length=3)))
+
+
+BAD_LINES = ["no number\tbut text", "x1"]
+
+
+def programs_chained_rejects(spark, sf_dir):
+    """Answers in spite of malformed lines."""
+    rejects = new_path(spark, "rejects")
+    return answers(run_queries(spark, *_chained(spark, sf_dir, bad=BAD_LINES, rejects=rejects)))
+
+
+def programs_rejected_lines(spark, sf_dir):
+    """What the programs put aside, with the reason."""
+    rejects = new_path(spark, "rejects")
+    _chained(spark, sf_dir, bad=BAD_LINES, rejects=rejects)
+    parts = F.split("value", "\t", 2)
+    return spark.read.text(rejects).select(
+        F.get(parts, 0).alias("problem"), F.get(parts, 1).alias("line")
+    )
+
+
+def loaded_tables_options(spark, sf_dir):
+    """The id of a posting and the display text of an entity, as stored columns."""
+    posts, entities, _ = _chained(spark, sf_dir, with_id=True, text="compat")
+    found = spark.read.parquet(posts).where(F.col("word").isin(SEARCH_WORDS))
+    named = spark.read.parquet(entities).select("entity_id", "children_text")
+    return found.join(named, F.col("doc_id") == F.col("entity_id")).drop("entity_id")
 
 
 QUERIES = {
@@ -114,6 +177,12 @@ QUERIES = {
     "entity_text_roundtrip": entity_text_roundtrip,
     "search_stored_tables": search_stored_tables,
     "programs_chained": programs_chained,
+    "programs_chained_raw": programs_chained_raw,
+    "programs_chained_rejects": programs_chained_rejects,
+    "programs_rejected_lines": programs_rejected_lines,
+    "loaded_tables_options": loaded_tables_options,
+    "text_roundtrip_bar": lambda s, d: text_roundtrip(s, d, "|"),
+    "entity_text_empty_labels": entity_text_empty_labels,
 }
 
 ORACLE = {
@@ -122,4 +191,25 @@ ORACLE = {
     "entity_text_roundtrip": LISTS["parent_child_list_parts"],
     "search_stored_tables": SEARCHES["search_top10"],
     "programs_chained": SEARCHES["search_top10"],
+    "programs_chained_raw": f"""
+        SELECT * REPLACE (CASE WHEN n_children = 0 THEN 0 ELSE part END AS part)
+        FROM ({SEARCHES["search_top10"]})""",
+    "programs_chained_rejects": SEARCHES["search_top10"],
+    "programs_rejected_lines": """
+        SELECT * FROM (VALUES ('bad id', 'no number\tbut text'), ('too few fields', 'no number\tbut text'),
+            ('too few fields', 'x1'), ('too few fields', 'no number\tbut text'),
+            ('too few fields', 'x1')) v(problem, line)""",
+    "loaded_tables_options": f"""
+        SELECT word, doc_id, occurrences, concat(word, doc_id) AS id,
+            CASE WHEN quality IS NULL THEN '' ELSE quality || ' ' END AS children_text
+        FROM ({sql_postings()}) LEFT JOIN labels USING (doc_id)
+        WHERE word IN ({sql_list(SEARCH_WORDS)})""",
+    "text_roundtrip_bar": f"SELECT * FROM ({sql_postings()}) WHERE NOT contains(word, '|')",
+    "entity_text_empty_labels": f"""
+        SELECT c_custkey AS entity_id, c_name AS name, coalesce(part, 0) AS part,
+               coalesce(n_children, 0) AS n_children, coalesce(children, '') AS children
+        FROM customer LEFT JOIN (
+            SELECT entity_id, rank // 2 AS part, n_children, string_agg(
+                CASE WHEN pos % 3 = 1 THEN label ELSE '' END, '|' ORDER BY pos) AS children
+            FROM ({SQL_PARTS}) GROUP BY ALL) ON entity_id = c_custkey""",
 }

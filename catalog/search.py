@@ -19,8 +19,7 @@ from catalog.tables import (
     table,
 )
 from wordloom.functions import children_text
-from wordloom.operators import parent_child_list, top_one_word
-from wordloom.plans import build_index, search_documents
+from wordloom.plans import build_index, search_documents, search_word
 from wordloom.sources import query_words
 
 ONE_WORD = "que"
@@ -34,13 +33,14 @@ def answers(found):
     return found.withColumn("children", children_text(F.col("children")))
 
 
-def search_top10(spark, sf_dir):
+def search_top10(spark, sf_dir, **options):
     found = search_documents(
         documents(spark, sf_dir),
         document_sources(spark, sf_dir),
         document_labels(spark, sf_dir),
         query_words(spark, SEARCH_WORDS),
         STOP_WORDS,
+        **options,
     )
     return answers(found)
 
@@ -74,18 +74,19 @@ def _search_conversations(spark, sf_dir, **options):
 
 
 def search_one_word(spark, sf_dir):
-    entities = parent_child_list(document_sources(spark, sf_dir), document_labels(spark, sf_dir))
     posts = build_index(documents(spark, sf_dir), STOP_WORDS)
-    return answers(top_one_word(posts, entities, ONE_WORD))
+    sides = document_sources(spark, sf_dir), document_labels(spark, sf_dir)
+    return answers(search_word(posts, *sides, ONE_WORD))
 
 
 QUERIES = {
     "search_one_word": search_one_word,
     "search_top10": search_top10,
+    "search_top10_not_few": lambda s, d: search_top10(s, d, few=False),
     "search_top10_benchmark_words": search_top10_benchmark_words,
     "search_top10_conversations": _search_conversations,
     "search_top10_conversation_parts": lambda s, d: _search_conversations(
-        s, d, max_list=PART_SIZE
+        s, d, part_length=PART_SIZE
     ),
 }
 
@@ -121,6 +122,9 @@ ORACLE = {
         SELECT word, doc_id, occurrences, name, part, children FROM ({sql_search(
             f"SELECT 0 AS qid, '{ONE_WORD}' AS word", sql_postings(), SQL_DOCUMENT_ENTITIES)})""",
     "search_top10": sql_search(SQL_SEARCH_WORDS, sql_postings(), SQL_DOCUMENT_ENTITIES),
+    "search_top10_not_few": sql_search(
+        SQL_SEARCH_WORDS, sql_postings(), SQL_DOCUMENT_ENTITIES
+    ),
     "search_top10_benchmark_words": sql_search(
         SQL_BENCHMARK_WORDS, sql_postings(), SQL_DOCUMENT_ENTITIES
     ),

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.sources import spread
-
 # The stop list and the search words of the queries.
 STOP_WORDS = ["the", "and", "of", "to", "in", "is", "that", "was", "for", "on"]
 SEARCH_WORDS = ["le", "und", "que", "Le", "en", "le", "don't", "the"]
@@ -18,13 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text); ids are unique."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text) with several rows per id."""
     turns = table(spark, sf_dir, "conversations")
-    return spread(turns.select(F.col("conv_id").alias("doc_id"), "text"))
+    return turns.select(F.col("conv_id").alias("doc_id"), "text")
 
 
 def as_parents(df: DataFrame, entity_id: str, name: str, pos: str) -> DataFrame:

@@ -59,6 +59,9 @@ QUERIES = {
     "postings": index,
     "postings_grouped": lambda s, d: build_index(documents(s, d), STOP_WORDS),
     "postings_conversations": lambda s, d: build_index(conversations(s, d), STOP_WORDS),
+    "postings_conversations_rows": lambda s, d: build_index(
+        conversations(s, d), STOP_WORDS, unique_ids=True
+    ),
     "raw_postings": lambda s, d: raw_postings(corpus_tokens(conversations(s, d), STOP_WORDS)),
     "posting_text": lambda s, d: index(s, d).select(
         "word", posting_value(F.col("doc_id"), F.col("occurrences")).alias("posting")
@@ -93,6 +96,7 @@ ORACLE = {
     "postings": sql_postings(),
     "postings_grouped": sql_postings(),
     "postings_conversations": sql_postings("conversations", "conv_id"),
+    "postings_conversations_rows": sql_postings("conversations", "conv_id"),
     "raw_postings": f"""
         SELECT word, doc_id, CAST(1 AS BIGINT) AS occurrences
         FROM ({sql_kept("conversations", "conv_id")})""",

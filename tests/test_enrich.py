@@ -4,8 +4,7 @@ import pytest
 
 from tests.plans import physical_plan
 from wordloom import schemas
-from wordloom.operators import find_hot, parent_child_list, parents_only
-from wordloom.operators import enrich, joins
+from wordloom.operators import child_rows, last_per_key, parent_child_list, parents_only
 from wordloom.plans import build_entities
 
 PARENTS = [(10, "Heat", 0), (2, 'Say "Yo"', 1), (7, "None", 2)]
@@ -19,7 +18,7 @@ def frames(spark, parents, children):
     )
 
 
-def expected(parents, children, max_list):
+def expected(parents, children, part_length):
     """The rows by brute force."""
     names = {}
     for entity_id, name, _ in sorted(parents, key=lambda row: row[2]):
@@ -27,8 +26,8 @@ def expected(parents, children, max_list):
     rows = []
     for entity_id, name in names.items():
         mine = [c[1] for c in sorted(children, key=lambda row: row[2]) if c[0] == entity_id]
-        for part in range(max(1, -(-len(mine) // max_list))):
-            piece = mine[part * max_list : (part + 1) * max_list]
+        for part in range(max(1, -(-len(mine) // part_length))):
+            piece = mine[part * part_length : (part + 1) * part_length]
             rows.append((entity_id, name, part, len(mine), piece))
     return sorted(rows)
 
@@ -47,7 +46,7 @@ def test_small_lists(spark):
 
 
 def test_schema(spark):
-    entities = parent_child_list(*frames(spark, PARENTS, CHILDREN), max_list=2)
+    entities = parent_child_list(*frames(spark, PARENTS, CHILDREN), part_length=2)
     want = spark.createDataFrame([], schemas.ENTITIES)
     assert entities.dtypes == want.dtypes
 
@@ -75,20 +74,50 @@ def skewed(n=6_000, seed=1):
     return parents, children
 
 
-@pytest.mark.parametrize("max_list", [1, 7, 500, 100_000])
-def test_skewed_lists(spark, max_list):
+@pytest.mark.parametrize("part_length", [1, 7, 500, 100_000])
+def test_skewed_lists(spark, part_length):
     parents, children = skewed()
-    got = rows(parent_child_list(*frames(spark, parents, children), max_list=max_list))
-    assert got == expected(parents, children, max_list)
+    got = rows(parent_child_list(*frames(spark, parents, children), part_length=part_length))
+    assert got == expected(parents, children, part_length)
 
 
-def test_many_hot_parents(spark, monkeypatch):
-    """More hot ids than may be broadcast."""
-    monkeypatch.setattr(enrich, "guarded_join", lambda *a: joins.guarded_join(*a, max_rows=5))
-    parents, children = skewed()
-    split = parent_child_list(*frames(spark, parents, children), max_list=5)
-    assert "_salt" in physical_plan(split)
-    assert rows(split) == expected(parents, children, 5)
+@pytest.mark.parametrize("gap", [1, 1_000_000])
+def test_ranks_do_not_depend_on_positions(spark, gap):
+    _, children = skewed(2_000)
+    df = spark.createDataFrame([(e, l, p * gap) for e, l, p in children], schemas.CHILDREN)
+    got = rows(child_rows(df))
+    want = []
+    for owner in {c[0] for c in children}:
+        mine = sorted((p, l) for e, l, p in children if e == owner)
+        want += [(owner, rank, label) for rank, (_, label) in enumerate(mine)]
+    assert got == sorted(want)
+
+
+def test_parts_end_by_bytes(spark):
+    children = [(1, "x" * n, n) for n in range(1, 9)]
+    df = spark.createDataFrame(children, schemas.CHILDREN)
+    parents = spark.createDataFrame([(1, "p", 0)], schemas.PARENTS)
+    got = rows(parent_child_list(parents, df, part_length=6, part_bytes=6))
+    assert [r[2] for r in got] == list(range(len(got)))
+    assert [c for r in got for c in r[4]] == ["x" * n for n in range(1, 9)]
+    assert all(sum(map(len, r[4])) < 6 + 8 for r in got) and len(got) > 3
+    with pytest.raises(ValueError):
+        parent_child_list(parents, df, part_bytes=6)
+
+
+def test_null_order_comes_first(spark):
+    df = spark.createDataFrame([("k", "v", None), ("j", "a", 1), ("j", "b", None)], "k STRING, v STRING, pos INT")
+    assert rows(last_per_key(df, ["k"], ["pos"])) == [("j", "a", 1), ("k", "v", None)]
+
+
+def test_ranks_have_no_window_over_a_parent(spark):
+    """Rows are numbered within ranges; only a row per range is summed by parent."""
+    _, children = frames(spark, *skewed(500))
+    plan = physical_plan(child_rows(children))
+    assert "row_number()" in plan
+    for line in plan.splitlines():
+        if "row_number()" in line and "windowspecdefinition" in line:
+            assert "_range" in line.split("windowspecdefinition")[1].split("ASC")[0]
 
 
 def test_two_order_columns(spark):
@@ -99,18 +128,12 @@ def test_two_order_columns(spark):
     df = spark.createDataFrame(children, schema)
     parents = spark.createDataFrame([(1, "p", "x", 0)], schema.replace("label", "name"))
     in_order = [f"{f}{p}" for f in (None, "a", "b") for p in range(5)]
-    for max_list in (4, 100):
-        parts = parent_child_list(parents, df, ["file", "pos"], max_list).orderBy("part").collect()
+    for part_length in (4, 100):
+        parts = parent_child_list(parents, df, ["file", "pos"], part_length).orderBy("part").collect()
         assert [c for part in parts for c in part["children"]] == in_order
         assert {part["n_children"] for part in parts} == {15}
 
 
-def test_find_hot(spark):
-    _, children = frames(spark, PARENTS, CHILDREN)
-    assert find_hot(children, 3).keys is None
-    assert rows(find_hot(children, 2).keys) == [(10, 3)]
-
-
 def test_plain_plan(spark):
     """Without long lists: one shuffle of the children, no broadcast by hint."""
     lists = parent_child_list(*frames(spark, PARENTS, CHILDREN))

@@ -81,11 +81,11 @@ def test_entities(spark, paths):
     assert sorted(written(paths("out"))) == ["10\tHeat", '2\tSay "Yo"', "7\tNone"]
 
 
-@pytest.mark.parametrize("max_list", [2, 100])
+@pytest.mark.parametrize("part_length", [None, 2])
 @pytest.mark.parametrize("one_per_word", [False, True])
-def test_load_and_query(spark, paths, one_per_word, max_list):
+def test_load_and_query(spark, paths, one_per_word, part_length):
     write_index(spark, paths("docs"), paths("stop"), paths("index"), files=1)
-    write_entities(spark, paths("parents"), paths("children"), paths("entities"), 2, max_list)
+    write_entities(spark, paths("parents"), paths("children"), paths("entities"), 2, part_length)
     load_tables(
         spark,
         paths("index"),
@@ -93,6 +93,7 @@ def test_load_and_query(spark, paths, one_per_word, max_list):
         paths("posting-table"),
         paths("entity-table"),
         one_per_word,
+        in_parts=part_length is not None,
     )
     posts = read_table(spark, paths("posting-table"), schemas.POSTINGS)
     assert posts.count() == (4 if one_per_word else 5)
@@ -106,3 +107,34 @@ def test_load_and_query(spark, paths, one_per_word, max_list):
     if not one_per_word:
         dogs[(0, "dog", 2, "Heat")] = cast
     assert got == {**dogs, (3, "runs", 1, "Heat"): cast}
+
+
+def test_bad_lines_are_put_aside(spark, paths, tmp_path):
+    (tmp_path / "docs").write_text(TEXTS[0] + "x y\n \n11\n")
+    (tmp_path / "parents").write_text(TEXTS[2] + "z\t\tName\n")
+    (tmp_path / "children").write_text(TEXTS[3] + "\nshort\n")
+    names = [paths(n) for n in ("docs", "stop", "parents", "children", "out", "rejects")]
+    docs, stop, parents, children, out, rejects = names
+    with pytest.raises(Exception, match="too few fields|bad id"):
+        write_entities(spark, parents, children, out)
+    write_index(spark, docs, stop, out, 1, rejects)
+    assert "dog 2 1" in written(out)
+    write_entities(spark, parents, children, out, 1, rejects=rejects)
+    assert written(out)[-1] == "10\tHeat\tAl P\tBob D\tVal K"
+    count_corpus(spark, docs, stop, out, rejects)
+    assert written(out) == ["\t5"]
+    assert sorted(written(rejects)) == sorted(
+        ["bad id\tx y"] * 2 + ["bad id\tz\t\tName", "too few fields\tshort"]
+    )
+
+
+def test_raw_postings_load_as_counts(spark, paths, tmp_path):
+    (tmp_path / "docs").write_text("1 x x x y\n")
+    index, entities, posts, named = (paths(n) for n in ("index", "ents", "posts", "named"))
+    write_index(spark, paths("docs"), paths("stop"), index, files=0)
+    write_entities(spark, paths("parents"), paths("children"), entities)
+    load_tables(spark, index, entities, posts, named, with_id=True, text="compat", files=1)
+    got = sorted(map(tuple, spark.read.parquet(posts).collect()))
+    assert got == [("x", 1, 3, "x1"), ("y", 1, 1, "y1")]
+    texts = {r["entity_id"]: r["children_text"] for r in spark.read.parquet(named).collect()}
+    assert texts == {10: "Al P Bob DVal K ", 2: "Jo S ", 7: ""}

@@ -1,18 +1,20 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.plans import physical_plan
 from wordloom import schemas
 from wordloom.operators import (
+    best_of_word,
     keep_query_words,
     parent_child_list,
     search,
-    top_one_word,
     top_per_key,
     top_postings,
 )
 from wordloom.plans import build_entities, build_index, search_documents, search_tables
-from wordloom.sources import query_words
+from wordloom.sources import query_words, write_table
 
 PARENTS = [(10, "Heat", 0), (2, 'Say "Yo"', 1), (7, "None", 2)]
 CHILDREN = [(10, "Al P", 0), (2, "Jo S", 2), (10, "Val K", 3)]
@@ -48,12 +50,27 @@ def test_many_words(spark, frames, monkeypatch):
     """The same answers where nothing may be broadcast for the words' sake."""
     words = query_words(spark, ["dog", "cat", "dog", "none"])
     want = answers(search_documents(*frames, words))
-    monkeypatch.setattr("wordloom.plans.search.few_words", lambda *_: False)
-    found = search_documents(*frames, words)
-    assert "_salt" in physical_plan(found)
+    monkeypatch.setattr("wordloom.plans.search.few_ids", lambda *_: None)
+    found = search_documents(*frames, words, few=False)
+    plan = physical_plan(found)
+    assert "_salt" in plan  # ids of parents and children, which are narrow
+    # Lists are made after that: no row with a list is copied.
+    assert not re.search(r"Generate explode[^\n]*children", plan)
     assert answers(found) == want
 
 
+def test_few_jobs_before_the_answer(spark, frames):
+    """The words are measured once, and the winners kept once."""
+    words = query_words(spark, ["dog", "cat"])
+    context = spark.sparkContext
+    context.setJobGroup("few-jobs", "search")
+    search_documents(*frames, words)
+    jobs = context.statusTracker().getJobIdsForGroup("few-jobs")
+    context.setJobGroup("", "")
+    # Each shuffle of an adaptive plan is a job of its own.
+    assert len(jobs) <= 10
+
+
 def test_no_words(spark, frames):
     assert search_documents(*frames, query_words(spark, ["x"]).where("false")).count() == 0
 
@@ -100,33 +117,35 @@ def test_hot_query_word_beyond_broadcast(spark, hot_word, monkeypatch):
     assert "_salt" in physical_plan(wanted)
     top = top_postings(wanted, entities.select("entity_id"), 4)
     found = search(top, entities, query, few=False)
-    assert "_salt" in physical_plan(found)
     columns = ("qid", "word", "rank", "doc_id", "occurrences")
     assert [tuple(r[c] for c in columns) for r in found.collect()] == brute_force(
         posts, ids, words, 4
     )
 
 
-def test_large_k_is_cut_per_salt(spark, hot_word):
+def test_a_hot_key_is_cut_per_salt(spark, hot_word):
     posts, _, post_df, _ = hot_word
-    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
-    spark.conf.set(threshold, "5")
-    try:
-        order = [F.desc("occurrences"), F.asc("doc_id")]
-        top = top_per_key(post_df, "word", order, 8, ["doc_id"])
-        assert "_salt" in physical_plan(top)
-        got = sorted(tuple(r[c] for c in ("word", "rank", "doc_id", "occurrences"))
-                     for r in top.collect())
-    finally:
-        spark.conf.unset(threshold)
+    order = [F.desc("occurrences"), F.asc("doc_id")]
+    top = top_per_key(post_df, "word", order, 8, ["doc_id"])
+    assert "_salt" in physical_plan(top)
+    columns = ("word", "rank", "doc_id", "occurrences")
+    got = sorted(tuple(r[c] for c in columns) for r in top.collect())
     words = [(w, w) for w in {p[0] for p in posts}]
     want = brute_force(posts, {p[1] for p in posts}, words, 8)
     assert got == sorted(row[1:] for row in want)
 
 
+def test_winners_reach_the_scan_of_entities(spark, tmp_path, hot_word):
+    _, _, post_df, entities = hot_word
+    write_table(entities, str(tmp_path / "entities"), ["entity_id", "part"])
+    stored = spark.read.schema(schemas.ENTITIES).parquet(str(tmp_path / "entities"))
+    found = search_tables(post_df, stored, query_words(spark, ["w3"]))
+    assert re.search(r"PushedFilters: \[[^\]]*In\(entity_id", physical_plan(found))
+
+
 def test_ties_at_the_cut(spark, hot_word):
     _, _, post_df, entities = hot_word
-    best = top_one_word(post_df, entities, "w0").collect()
+    best = best_of_word(post_df, entities.select("entity_id"), "w0").collect()
     assert [r["doc_id"] for r in best] == [2, 5, 11, 14, 17, 23, 26, 29, 35, 38]
     assert {r["occurrences"] for r in best} == {3}
 
@@ -134,7 +153,7 @@ def test_ties_at_the_cut(spark, hot_word):
 def test_lists_in_parts(spark, frames):
     docs, parents, children = frames
     words = query_words(spark, ["cat"])
-    parts = search_documents(docs, parents, children, words, max_list=1).collect()
+    parts = search_documents(docs, parents, children, words, part_length=1).collect()
     assert [(r["part"], r["n_children"], r["children"]) for r in parts] == [
         (0, 2, ["Al P"]),
         (1, 2, ["Val K"]),
@@ -143,7 +162,7 @@ def test_lists_in_parts(spark, frames):
 
 def test_top_counts_entities_not_parts(spark, frames):
     _, parents, children = frames
-    entities = parent_child_list(parents, children, max_list=1)
+    entities = parent_child_list(parents, children, part_length=1)
     posts = spark.createDataFrame([("x", 10, 5), ("x", 2, 4)], schemas.POSTINGS)
     found = search_tables(posts, entities, query_words(spark, ["x"]), 2).collect()
     assert [(r["rank"], r["doc_id"], r["part"]) for r in found] == [(1, 10, 0), (1, 10, 1), (2, 2, 0)]
@@ -156,9 +175,9 @@ def test_plans(spark, tmp_path, hot_word):
     stored = spark.read.parquet(path)
     ids = entities.select("entity_id")
     plan = physical_plan(top_postings(keep_query_words(stored, ["w0", "w3"]), ids))
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") == 4
     assert "PushedFilters: [In(word, [w0,w3])" in plan
-    one = physical_plan(top_one_word(stored, entities, "w0"))
+    one = physical_plan(best_of_word(stored, ids, "w0"))
     assert "TakeOrderedAndProject" in one
     assert "EqualTo(word,w0)" in one
     for text in (plan, one):

@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import pytest
 
 from wordloom import schemas, scratch
 from wordloom.operators import parent_child_list
 from wordloom.sources import (
     parse_children,
+    parse_documents,
     parse_entities,
     parse_parents,
     parse_postings,
@@ -17,7 +20,6 @@ from wordloom.sources import (
     read_stop_words,
     read_table,
     split_rejected,
-    spread,
     strict,
     write_delimited,
     write_entity_text,
@@ -60,13 +62,12 @@ def test_postings(spark):
 
 
 def test_entities(spark):
-    good = lines(spark, "1\tA\tx\t\ty\t\t", "2\tB\t", "3\tC", "4\t\t", "5#1#3\tD\tz")
+    good = lines(spark, "1\tA\tx\t\ty\t\t", "2\tB\t", "3\tC", "4\t\t")
     assert rows(strict(parse_entities(good))) == [
         (1, "A", 0, 3, ["x", "", "y"]),
         (2, "B", 0, 0, []),
         (3, "C", 0, 0, []),
         (4, "", 0, 0, []),
-        (5, "D", 1, 3, ["z"]),
     ]
 
 
@@ -85,7 +86,8 @@ def test_entities(spark):
         (parse_postings, "a 1 x", "bad count"),
         (parse_entities, "1", "too few fields"),
         (parse_entities, "x\tA", "bad id"),
-        (parse_entities, "1#x#2\tA", "bad id"),
+        (parse_entities, "1#1#2\tA", "bad id"),
+        (parse_documents, "x some text", "bad id"),
     ],
 )
 def test_malformed_lines(spark, parse, bad, problem):
@@ -163,14 +165,61 @@ def test_delimited_defaults(spark, tmp_path):
     assert part.read_text() == "a\t\n\t2\n"
 
 
-@pytest.mark.parametrize("max_list", [2, 100])
-def test_entity_text_roundtrip(spark, tmp_path, max_list):
-    parents = spark.createDataFrame([(1, "A", 0), (2, "B", 1), (3, "", 2)], schemas.PARENTS)
-    children = spark.createDataFrame([(1, f"c{i}", i) for i in range(5)], schemas.CHILDREN)
-    entities = parent_child_list(parents, children, max_list=max_list)
-    write_entity_text(entities, str(tmp_path / "out"), files=2)
-    back = read_entities(spark, str(tmp_path / "out")).drop("file", "pos")
-    assert sorted(rows(back)) == sorted(rows(entities))
+@pytest.mark.parametrize("part_length", [None, 2, 3])
+def test_entity_text_roundtrip(spark, tmp_path, part_length):
+    """Empty children in a piece, wherever they stand, come back in their place."""
+    parents = spark.createDataFrame([(1, "A", 0), (2, None, 1), (3, "", 2)], schemas.PARENTS)
+    labels = ["a", "", None, "d", "e"] if part_length is None else ["a", "", None, "d", ""]
+    children = spark.createDataFrame([(1, c, i) for i, c in enumerate(labels)], schemas.CHILDREN)
+    in_parts = part_length is not None
+    entities = parent_child_list(parents, children, part_length=part_length)
+    write_entity_text(entities, str(tmp_path / "out"), files=2, in_parts=in_parts)
+    back = read_entities(spark, str(tmp_path / "out"), in_parts).drop("file", "pos")
+    want = [
+        (e, name or "", part, n, [c or "" for c in own]) for e, name, part, n, own in rows(entities)
+    ]
+    assert sorted(rows(back)) == sorted(want)
+    if in_parts:
+        with pytest.raises(Exception, match="in_parts"):
+            write_entity_text(entities, str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("sep", ["|", ".", "||", "\\", " "])
+def test_separators_are_taken_as_they_are(spark, tmp_path, sep):
+    data = [("a", 1, 2), ("", 2, 1), ("b*", 3, 1)]
+    posts = spark.createDataFrame(data, schemas.POSTINGS)
+    write_delimited(posts, str(tmp_path / "out"), ["word", "doc_id", "occurrences"], sep)
+    back = read_postings(spark, str(tmp_path / "out"), sep).drop("file", "pos")
+    assert sorted(rows(back)) == sorted(data)
+
+
+@pytest.mark.parametrize("bad", ["a\tb", "a\nb", "a\rb"])
+def test_fields_that_cannot_be_read_back_fail(spark, tmp_path, bad):
+    df = spark.createDataFrame([(1, bad, 0, 1, ["x"]), (2, "n", 0, 1, [bad])], schemas.ENTITIES)
+    for i in (1, 2):
+        with pytest.raises(Exception, match="separator or line end"):
+            write_entity_text(df.where(f"entity_id = {i}"), str(tmp_path / "out"))
+    with pytest.raises(Exception, match="separator or line end"):
+        write_delimited(df, str(tmp_path / "out"), ["entity_id", "name"])
+
+
+def test_table_runs_its_source_once(spark, tmp_path, posts):
+    """Range bounds are drawn from the kept rows; the kept rows are deleted."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = posts.mapInArrow(counted, posts.schema)
+    write_table(source, str(tmp_path / "t"), ["word", "doc_id"], files=3)
+    assert read.value == 1_000
+    assert len(list((tmp_path / "t").glob("part-*"))) == 3
+    folder = scratch.shared_folder(spark).removeprefix("file:")
+    assert not [f for f in Path(folder).glob("stage-*")]
+    write_table(posts, str(tmp_path / "u"), ["word"], file_bytes=1_000)
+    assert len(list((tmp_path / "u").glob("part-*"))) > 3
 
 
 @pytest.mark.parametrize("by_name", [False, True])
@@ -186,12 +235,6 @@ def test_table_roundtrip(spark, tmp_path, posts, by_name):
         spark.sql("DROP DATABASE loom CASCADE")
 
 
-def test_spread(spark, posts):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(posts.coalesce(1)).rdd.getNumPartitions() == cores
-    assert spread(posts.repartition(40)).rdd.getNumPartitions() == 40
-
-
 def test_shared_folder():
     class Context:
         def __init__(self, master):

@@ -3,6 +3,7 @@ from wordloom.functions.render import (
     children_text,
     children_text_compat,
     entity_line,
+    entity_part_line,
     plain_quotes,
     posting_line,
     posting_value,
@@ -15,6 +16,7 @@ __all__ = [
     "children_text_compat",
     "clean",
     "entity_line",
+    "entity_part_line",
     "label_with_fallback",
     "plain_quotes",
     "posting_line",

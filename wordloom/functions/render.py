@@ -19,19 +19,20 @@ def posting_line(word: Column, doc_id: Column, occurrences: Column, sep: str = "
     return F.concat_ws(sep, word, doc_id.cast("string"), occurrences.cast("string"))
 
 
-def entity_line(
+def entity_line(entity_id: Column, name: Column, children: Column) -> Column:
+    """``id, name, child, child...``; a childless line ends with a tab. Null is empty."""
+    return F.concat_ws(
+        "\t", entity_id.cast("string"), F.coalesce(name, F.lit("")), F.array_join(children, "\t", "")
+    )
+
+
+def entity_part_line(
     entity_id: Column, name: Column, part: Column, n_children: Column, children: Column
 ) -> Column:
-    """``id, name, child, child...``; a childless line ends with a tab.
-
-    A list in several parts takes a line for each, with ``id#part#n_children``
-    in place of the id.
-    """
-    split = n_children > F.size(children)
-    key = F.when(split, F.concat_ws("#", entity_id, part, n_children)).otherwise(
-        entity_id.cast("string")
-    )
-    return F.concat_ws("\t", key, name, F.array_join(children, "\t"))
+    """``id, part, n_children, name, child...``, with as many fields as there are children."""
+    numbers = F.array(*[x.cast("string") for x in (entity_id, part, n_children)])
+    fields = F.concat(numbers, F.array(name.cast("string")), children)
+    return F.array_join(fields, "\t", "")
 
 
 def plain_quotes(text: Column) -> Column:

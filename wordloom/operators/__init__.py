@@ -1,7 +1,6 @@
 from wordloom.operators.counts import corpus_total, rank_terms, term_counts
 from wordloom.operators.enrich import (
-    Hot,
-    find_hot,
+    child_rows,
     last_per_key,
     parent_child_list,
     parents_only,
@@ -12,23 +11,25 @@ from wordloom.operators.index import (
     postings,
     raw_postings,
     row_postings,
+    summed_postings,
 )
 from wordloom.operators.topk import (
-    few_words,
+    best_of_word,
+    few_hits,
     match_words,
     search,
-    top_one_word,
     top_per_key,
     top_postings,
 )
-from wordloom.operators.words import drop_stop_words, keep_query_words, tokens
+from wordloom.operators.words import WordSet, drop_stop_words, keep_query_words, tokens, word_set
 
 __all__ = [
-    "Hot",
+    "WordSet",
+    "best_of_word",
+    "child_rows",
     "corpus_total",
     "drop_stop_words",
-    "few_words",
-    "find_hot",
+    "few_hits",
     "keep_query_words",
     "last_per_key",
     "last_posting_per_word",
@@ -41,9 +42,10 @@ __all__ = [
     "restrict_to",
     "row_postings",
     "search",
+    "summed_postings",
     "term_counts",
     "tokens",
-    "top_one_word",
     "top_per_key",
     "top_postings",
+    "word_set",
 ]

@@ -1,43 +1,31 @@
 """Parents with the ordered list of their children.
 
-A list that fits one row is built with one shuffle. A parent may also own a
-large share of all children. Such a list cannot be one value, so a parent with
-more than ``max_list`` children gets several rows, numbered by ``part``, of
-``max_list`` children each, in order. Ordinary parents have the one part 0.
+The form that does not depend on sizes is rows, ``child_rows``: one per child,
+with its ``rank`` among the children of its parent. ``parent_child_list`` makes
+one row per parent with the whole list, whatever its length. Where lists may be
+too long for one value, the caller states a part length, and every list is cut
+by it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.operators.joins import guarded_join, salted_join
+from wordloom.operators.joins import salted_join
 from wordloom.scratch import use_shared_checkpoints
 
-# A task may hold the lists of many parents at once, so one list is kept short.
-MAX_LIST = 10_000
-
-# Children of a hot parent are numbered in blocks of 2 ** BLOCK_BITS positions.
-BLOCK_BITS = 16
-
-
-@dataclass(frozen=True)
-class Hot:
-    """Keys with more than ``max_list`` rows; ``keys`` is (entity_id, n_children)."""
-
-    max_list: int
-    keys: DataFrame | None
-
 
 def last_per_key(
     rows: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
 ) -> DataFrame:
-    """The last whole row of each key. Aggregates before the shuffle."""
+    """The last whole row of each key; null comes first in the order. Aggregates
+    before the shuffle."""
     others = [c for c in rows.columns if c not in keys]
-    order = F.struct(*order_by) if len(order_by) > 1 else _col(order_by[0])
+    # A struct is never null, so rows whose order is null take part.
+    order = F.struct(*order_by)
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_last"))
     return last.select(*[c if c in keys else F.col("_last")[c].alias(c) for c in rows.columns])
 
@@ -47,16 +35,6 @@ def parents_only(parents: DataFrame) -> DataFrame:
     return parents.select("entity_id", "name")
 
 
-def find_hot(children: DataFrame, max_list: int = MAX_LIST) -> Hot:
-    """Look for parents whose list must be split. Reads the id column only."""
-    counts = children.groupBy("entity_id").agg(F.count("*").alias("n_children"))
-    keys = counts.where(F.col("entity_id").isNotNull() & (F.col("n_children") > max_list))
-    if keys.isEmpty():
-        return Hot(max_list, None)
-    use_shared_checkpoints(children.sparkSession)
-    return Hot(max_list, keys.checkpoint())
-
-
 def restrict_to(
     rows: DataFrame, ids: DataFrame, few: bool, salt_by: Sequence[str] = ("pos",)
 ) -> DataFrame:
@@ -66,98 +44,107 @@ def restrict_to(
     return salted_join(rows, ids, ["entity_id"], "left_semi", salt_by)
 
 
+def child_rows(children: DataFrame, order_by: Sequence[str] = ("pos",)) -> DataFrame:
+    """(entity_id, rank, label): every child with its place among its parent's children.
+
+    Children are dealt to ranges of (entity_id, order), so a parent with very
+    many of them spreads over several ranges. The rank is the place within the
+    range plus the children in earlier ranges: a running sum over as many rows
+    as the parent has ranges, however its positions lie.
+    """
+    use_shared_checkpoints(children.sparkSession)
+    keys = ["entity_id", *order_by]
+    ranged = children.select(*keys, "label").repartitionByRange(*keys)
+    # Read twice below; ranges drawn anew might differ.
+    ranged = ranged.withColumn("_range", F.spark_partition_id()).checkpoint()
+    earlier = (
+        Window.partitionBy("entity_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = (
+        ranged.groupBy("entity_id", "_range")
+        .agg(F.count("*").alias("_size"))
+        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+        .drop("_size")
+    )
+    within = Window.partitionBy("entity_id", "_range").orderBy(*order_by, "label")
+    placed = ranged.withColumn("_place", F.row_number().over(within)).alias("l")
+    same = F.col("l.entity_id").eqNullSafe(F.col("r.entity_id")) & (
+        F.col("l._range") == F.col("r._range")
+    )
+    return placed.join(before.alias("r"), same).select(
+        F.col("l.entity_id").alias("entity_id"),
+        (F.col("_before") + F.col("_place") - 1).alias("rank"),
+        "label",
+    )
+
+
 def parent_child_list(
     parents: DataFrame,
     children: DataFrame,
     order_by: Sequence[str] = ("pos",),
-    max_list: int = MAX_LIST,
-    hot: Hot | None = None,
+    part_length: int | None = None,
+    part_bytes: int | None = None,
 ) -> DataFrame:
     """(entity_id, name, part, n_children, children), every parent kept, the last
     name of an id that comes twice.
 
-    ``order_by`` ends with an integer position in ``children``, unique within
-    the values of the columns before it; earlier columns, such as a file name,
-    may be of any type. ``hot`` saves the search for long lists where the caller
-    has done it, on these children or on more of them.
+    Without ``part_length`` each parent has one row, with its whole list. With
+    it, lists are cut after every ``part_length`` children, and ``part`` numbers
+    the pieces; ``part_bytes`` ends a piece sooner, once it holds so many bytes. A list without children has the one part 0.
     """
-    hot = hot or find_hot(children, max_list)
-    parents = parents.select("entity_id", "name", *order_by)
-    children = children.select("entity_id", "label", *order_by)
-    if hot.keys is None:
-        return _one_row_each(parents, children, order_by)
-
-    ids = hot.keys.select("entity_id")
-    short, long = (
-        [guarded_join(rows, ids, ["entity_id"], how, order_by) for rows in (parents, children)]
-        for how in ("left_anti", "left_semi")
-    )
-    return _one_row_each(*short, order_by).unionByName(_split_rows(*long, hot, order_by))
-
-
-def _last_names(parents: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    return last_per_key(parents, ["entity_id"], order_by).select("entity_id", "name")
-
-
-def _one_row_each(parents: DataFrame, children: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    lists = children.groupBy("entity_id").agg(
-        F.count("*").alias("n_children"), _in_order(order_by).alias("children")
-    )
-    return _last_names(parents, order_by).join(lists, "entity_id", "left").select(
+    parents = last_per_key(
+        parents.select("entity_id", "name", *order_by), ["entity_id"], order_by
+    ).select("entity_id", "name")
+    if part_length is None:
+        if part_bytes is not None:
+            raise ValueError("part_bytes goes with part_length")
+        lists = children.groupBy("entity_id").agg(
+            F.count("*").alias("n_children"), _in_order(order_by).alias("children")
+        )
+        lists = lists.withColumn("part", F.lit(0).cast("bigint"))
+    else:
+        lists = _in_parts(children, order_by, part_length, part_bytes)
+    return parents.join(lists, "entity_id", "left").select(
         "entity_id",
         "name",
-        F.lit(0).cast("bigint").alias("part"),
+        F.coalesce("part", F.lit(0).cast("bigint")).alias("part"),
         F.coalesce("n_children", F.lit(0).cast("bigint")).alias("n_children"),
         F.coalesce("children", F.array().cast("array<string>")).alias("children"),
     )
 
 
-def _split_rows(
-    parents: DataFrame, children: DataFrame, hot: Hot, order_by: Sequence[str]
+def _in_parts(
+    children: DataFrame, order_by: Sequence[str], part_length: int, part_bytes: int | None
 ) -> DataFrame:
-    """Number the children of each hot parent without bringing them together.
-
-    The rows before a block come from a running sum over block sizes, one small
-    row per block; the place within a block from a window over that block.
-    """
+    """(entity_id, part, n_children, children) without bringing a parent's rows together."""
     use_shared_checkpoints(children.sparkSession)
-    *lead, pos = order_by
-    block = [*lead, "_block"]
-    # Read twice below; positions made by a scan must be the same both times.
-    blocked = children.withColumn("_block", F.shiftright(pos, BLOCK_BITS)).checkpoint()
-
-    earlier = (
-        Window.partitionBy("entity_id")
-        .orderBy(*block)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = (
-        blocked.groupBy("entity_id", *block)
-        .agg(F.count("*").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .drop("_size")
-    )
-    within = Window.partitionBy("entity_id", *block).orderBy(pos)
-    rank = F.col("_before") + F.row_number().over(within) - 1
-    same_block = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ["entity_id", *block]]
-    lists = (
-        blocked.alias("l")
-        .join(before.alias("r"), same_block)
-        .select("l.*", "_before")
-        .withColumn("_rank", rank)
-        .groupBy("entity_id", F.floor(F.col("_rank") / hot.max_list).alias("part"))
-        .agg(_in_order(["_rank"]).alias("children"))
-    )
-    named = _last_names(parents, order_by).join(hot.keys, "entity_id")
-    return guarded_join(lists, named, ["entity_id"], "inner", ["part"]).select(
-        "entity_id", "name", "part", "n_children", "children"
+    rows = child_rows(children.where(F.col("entity_id").isNotNull()), order_by)
+    rows = rows.withColumn("_block", F.floor(F.col("rank") / part_length))
+    if part_bytes is not None:
+        # Within a block, running bytes divided by the bound number the pieces.
+        running = Window.partitionBy("entity_id", "_block").orderBy("rank")
+        size = F.coalesce(F.octet_length("label"), F.lit(0)).cast("bigint")
+        piece = F.floor((F.sum(size).over(running) - size) / part_bytes)
+    else:
+        piece = F.lit(0).cast("bigint")
+    pieces = (
+        rows.withColumn("_piece", piece)
+        .groupBy("entity_id", "_block", "_piece")
+        .agg(F.count("*").alias("_n"), _in_order(["rank"]).alias("children"))
+        .checkpoint()
     )
+    totals = pieces.groupBy("entity_id").agg(F.sum("_n").alias("n_children"))
+    numbered = pieces.join(totals, "entity_id")
+    if part_bytes is None:
+        part = F.col("_block")
+    else:
+        part = F.row_number().over(Window.partitionBy("entity_id").orderBy("_block", "_piece")) - 1
+        keys = pieces.select("entity_id", "_block", "_piece").withColumn("part", part)
+        numbered = numbered.join(keys, ["entity_id", "_block", "_piece"])
+        part = F.col("part")
+    return numbered.select("entity_id", part.cast("bigint").alias("part"), "n_children", "children")
 
 
 def _in_order(order_by: Sequence[str]) -> Column:
     rows = F.sort_array(F.collect_list(F.struct(*order_by, "label")))
     return F.transform(rows, lambda row: row["label"])
-
-
-def _col(column: str | Column) -> Column:
-    return F.col(column) if isinstance(column, str) else column

@@ -23,6 +23,11 @@ def postings(toks: DataFrame) -> DataFrame:
     return toks.groupBy("word", "doc_id").agg(F.count("*").alias("occurrences"))
 
 
+def summed_postings(posts: DataFrame) -> DataFrame:
+    """One posting per (word, doc_id) from raw or repeated ones."""
+    return posts.groupBy("word", "doc_id").agg(F.sum("occurrences").alias("occurrences"))
+
+
 def row_postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One posting per word and row of ``docs``; no shuffle.
 

@@ -19,14 +19,19 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure the rows and bytes of ``df`` with one aggregation."""
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of ``df``, measured with one aggregation."""
     widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
     width = reduce(lambda a, b: a + b, widths)
     size = df.agg(F.count("*").alias("n"), F.sum(width.cast("bigint")).alias("size")).first()
-    return size["n"] <= max_rows and (size["size"] or 0) <= max_bytes
+    return size["n"], size["size"] or 0
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    n, size = size_of(df)
+    return n <= max_rows and size <= max_bytes
 
 
 def salted_join(
@@ -44,16 +49,3 @@ def salted_join(
     right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
-
-def guarded_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str,
-    salt_by: Sequence[str],
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Broadcast ``right`` if it is measured to fit, else a salted join."""
-    if fits_broadcast(right, max_rows):
-        return left.join(F.broadcast(right), list(on), how)
-    return salted_join(left, right, on, how, salt_by)

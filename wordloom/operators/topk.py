@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.operators.joins import (
-    BROADCAST_BYTES,
-    BROADCAST_ROWS,
-    fits_broadcast,
-    salted_join,
-)
+from wordloom.operators.words import WordSet
 
 TOP = 10
 
+# Up to so many ids become a literal, which the scan of a stored table uses.
+LITERAL_IDS = 1_000
+
+ANSWER = [
+    "qid", "word", "rank", "doc_id", "occurrences", "name", "part", "n_children", "children",
+]
+
 
 def _best_first() -> list[Column]:
     return [F.desc("occurrences"), F.asc("doc_id")]
@@ -26,16 +28,13 @@ def top_per_key(
 ) -> DataFrame:
     """The first ``k`` rows of each key, with their ``rank``.
 
-    Spark cuts each input partition to k rows per key before the shuffle, up
-    to a threshold on k. Above it, a cut per salt does the same for a hot key.
+    Cut twice: first to k rows per key and salt, which bounds what one task gets
+    for a hot key to k times the salts, whatever the number of input partitions.
     """
-    spark = rows.sparkSession
-    if k > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
-        salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts))
-        rows = rows.withColumn("_salt", salt)
-        rows = _first_rows(rows, [key, "_salt"], order, k, "_cut").drop("_salt", "_cut")
-    return _first_rows(rows, [key], order, k, "rank")
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
+    cut = _first_rows(salted, [key, "_salt"], order, k, "_cut").drop("_salt", "_cut")
+    return _first_rows(cut, [key], order, k, "rank")
 
 
 def _first_rows(
@@ -60,55 +59,42 @@ def top_postings(posts: DataFrame, entity_ids: DataFrame, k: int = TOP) -> DataF
     return top_per_key(match_words(posts, entity_ids), "word", _best_first(), k, ["doc_id"])
 
 
-def few_words(words: DataFrame, k: int = TOP, broadcast_rows: int = BROADCAST_ROWS) -> bool:
-    """True if the words, and k rows for each of them, are measured to fit a broadcast."""
-    return fits_broadcast(words, broadcast_rows // k, BROADCAST_BYTES // k)
+def few_hits(words: WordSet, k: int = TOP) -> bool:
+    """True if k rows for each of the words are measured to fit a broadcast."""
+    return words.fits(copies=k)
 
 
-def search(
-    top: DataFrame,
-    entities: DataFrame,
-    words: DataFrame,
-    few: bool,
-) -> DataFrame:
+def search(top: DataFrame, entities: DataFrame, words: DataFrame, few: bool) -> DataFrame:
     """Answer every (qid, word) from ``top``, in query order.
 
-    ``top`` has at most k rows per distinct word. Where the words are ``few``, it
-    is broadcast to the entities, which then stay where they are.
-    Words are used as typed, and a repeated word is answered for each qid.
+    ``top`` has at most k rows per distinct word. Words meet it first, which
+    moves narrow rows only; names and lists come last, each list once. Words are
+    used as typed, and a repeated word is answered for each qid. Where ``top``
+    is measured to be small (``few``), it is broadcast; else a word or document
+    with very many answers is split by Spark as a skewed join.
     """
-    hits = top.withColumnRenamed("doc_id", "entity_id")
-    found = entities.join(F.broadcast(hits) if few else hits, "entity_id")
-    if few:
-        answers = found.join(F.broadcast(words), "word")
-    else:
-        answers = salted_join(words, found, ["word"], "inner", ["qid"])
-    return answers.select(
-        "qid",
-        "word",
-        "rank",
-        F.col("entity_id").alias("doc_id"),
-        "occurrences",
-        "name",
-        "part",
-        "n_children",
-        "children",
-    ).orderBy("qid", "rank", "part")
-
-
-def top_one_word(
-    posts: DataFrame, entities: DataFrame, word: str, k: int = TOP
-) -> DataFrame:
-    """The k best entities of one word: (word, doc_id, occurrences, name, children).
+    hits = words.join(F.broadcast(top) if few else top, "word")
+    hits = hits.withColumnRenamed("doc_id", "entity_id")
+    found = hits.join(entities, "entity_id").withColumnRenamed("entity_id", "doc_id")
+    return found.select(*ANSWER).orderBy("qid", "rank", "part")
+
+
+def restrict_literally(rows: DataFrame, ids: list[int]) -> DataFrame:
+    """The rows with one of few ids; the filter reaches a scan."""
+    return rows.where(F.col("entity_id").isin(ids) if ids else F.lit(False))
+
+
+def few_ids(top: DataFrame, limit: int = LITERAL_IDS) -> list[int] | None:
+    """The documents of ``top`` if it has at most ``limit`` rows, else None."""
+    found = top.select("doc_id").limit(limit + 1).collect()
+    return sorted({row["doc_id"] for row in found}) if len(found) <= limit else None
+
+
+def best_of_word(posts: DataFrame, entity_ids: DataFrame, word: str, k: int = TOP) -> DataFrame:
+    """(word, doc_id, occurrences): the k best of one word.
 
     The filter on the word reaches the scan of a stored table, and the sort
     keeps k rows per partition.
     """
-    ids = entities.where(F.col("part") == 0).select("entity_id")
-    best = match_words(posts.where(F.col("word") == word), ids).orderBy(*_best_first()).limit(k)
-    best = F.broadcast(best) if k <= BROADCAST_ROWS else best
-    return (
-        entities.join(best, F.col("entity_id") == F.col("doc_id"))
-        .select("word", "doc_id", "occurrences", "name", "part", "children")
-        .orderBy(*_best_first(), "part")
-    )
+    hits = match_words(posts.where(F.col("word") == word), entity_ids)
+    return hits.orderBy(*_best_first()).limit(k)

@@ -3,20 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import clean, tokenize
-from wordloom.operators.joins import BROADCAST_ROWS, fits_broadcast, guarded_join
-
-WordList = Sequence[str] | DataFrame | None
+from wordloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, salted_join, size_of
+from wordloom.scratch import use_shared_checkpoints
 
 # A list of up to this size becomes a set in the filter expression.
 LITERAL_WORDS = 1_000
 LITERAL_BYTES = 1024 * 1024
 
 
+@dataclass(frozen=True)
+class WordSet:
+    """The distinct words of a list, measured once.
+
+    ``listed`` holds them if they are few enough for a literal, else ``frame``
+    has them in a column ``word``.
+    """
+
+    rows: int
+    size: int
+    listed: list[str] | None
+    frame: DataFrame | None
+
+    def fits(self, copies: int = 1, max_rows: int = BROADCAST_ROWS) -> bool:
+        """Whether so many rows for each word, of about its width, fit a broadcast."""
+        return self.rows * copies <= max_rows and self.size * copies <= BROADCAST_BYTES
+
+
+WordList = Sequence[str] | DataFrame | WordSet | None
+
+
 def tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, word), one row per token of the cleaned text."""
     words = tokenize(clean(F.col(text)))
@@ -31,34 +52,57 @@ def drop_stop_words(
     """Remove the tokens that equal an entry of the list, to the letter."""
     if stop_words is None:
         return toks
-    stop = _as_words(toks, stop_words)
-    if isinstance(stop, list):
-        return toks.where(~F.col("word").isin(stop)) if stop else toks
-    return guarded_join(toks, stop, ["word"], "left_anti", ["doc_id"], broadcast_rows)
+    stop = word_set(toks, stop_words)
+    if stop.listed is not None:
+        return toks.where(~F.col("word").isin(stop.listed)) if stop.listed else toks
+    return _joined(toks, stop, "left_anti", broadcast_rows)
 
 
 def keep_query_words(
-    rows: DataFrame, words: Sequence[str] | DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    rows: DataFrame, words: WordList, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Keep the rows, tokens or postings, whose word is in the list.
 
     A short list turns into a literal IN, which the Parquet scan of a stored
     posting table uses to skip row groups.
     """
-    keep = _as_words(rows, words)
-    if isinstance(keep, list):
-        return rows.where(F.col("word").isin(keep)) if keep else rows.where(F.lit(False))
-    return guarded_join(rows, keep, ["word"], "left_semi", ["doc_id"], broadcast_rows)
+    keep = word_set(rows, words)
+    if keep.listed is not None:
+        return rows.where(F.col("word").isin(keep.listed) if keep.listed else F.lit(False))
+    return _joined(rows, keep, "left_semi", broadcast_rows)
+
+
+def _joined(rows: DataFrame, words: WordSet, how: str, broadcast_rows: int) -> DataFrame:
+    if words.fits(max_rows=broadcast_rows):
+        return rows.join(F.broadcast(words.frame), "word", how)
+    return salted_join(rows, words.frame, ["word"], how, ["doc_id"])
+
 
+def word_set(rows: DataFrame, words: WordList) -> WordSet:
+    """The distinct words of a list or a DataFrame.
 
-def _as_words(rows: DataFrame, words: Sequence[str] | DataFrame) -> list[str] | DataFrame:
-    """The distinct words: as a list if they are measured to be few, or a DataFrame."""
+    A DataFrame is read for a literal first; only a longer one is kept in the
+    shared folder and measured.
+    """
+    if isinstance(words, WordSet):
+        return words
     if not isinstance(words, DataFrame):
         distinct = sorted(set(words))
-        if len(distinct) <= LITERAL_WORDS:
-            return distinct
-        return rows.sparkSession.createDataFrame([(w,) for w in distinct], "word STRING")
+        if (literal := _literal(distinct)) is not None:
+            return literal
+        words = rows.sparkSession.createDataFrame([(w,) for w in distinct], "word STRING")
     listed = words.select("word").where(F.col("word").isNotNull()).distinct()
-    if not fits_broadcast(listed, LITERAL_WORDS, LITERAL_BYTES):
-        return listed
-    return [row["word"] for row in listed.collect()]
+    short = F.octet_length("word") <= LITERAL_BYTES // LITERAL_WORDS
+    some = listed.select(F.when(short, F.col("word")).alias("word")).limit(LITERAL_WORDS + 1)
+    found = [row["word"] for row in some.collect()]
+    if None not in found and (literal := _literal(found)) is not None:
+        return literal
+    use_shared_checkpoints(words.sparkSession)
+    listed = listed.checkpoint()
+    return WordSet(*size_of(listed), None, listed)
+
+
+def _literal(words: list[str]) -> WordSet | None:
+    size = sum(len(w.encode()) + 16 for w in words)
+    fits = len(words) <= LITERAL_WORDS and size <= LITERAL_BYTES
+    return WordSet(len(words), size, words, None) if fits else None

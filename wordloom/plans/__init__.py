@@ -7,7 +7,7 @@ from wordloom.plans.programs import (
     write_entities,
     write_index,
 )
-from wordloom.plans.search import search_documents, search_tables
+from wordloom.plans.search import search_documents, search_tables, search_word
 
 __all__ = [
     "build_entities",
@@ -19,6 +19,7 @@ __all__ = [
     "run_queries",
     "search_documents",
     "search_tables",
+    "search_word",
     "write_entities",
     "write_index",
 ]

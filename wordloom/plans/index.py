@@ -13,9 +13,9 @@ from wordloom.operators import (
     parent_child_list,
     postings,
     row_postings,
+    summed_postings,
     tokens,
 )
-from wordloom.operators.enrich import MAX_LIST
 from wordloom.operators.words import WordList
 
 
@@ -27,19 +27,29 @@ def corpus_tokens(docs: DataFrame, stop_words: WordList = None) -> DataFrame:
 def build_index(
     docs: DataFrame, stop_words: WordList = None, unique_ids: bool = False
 ) -> DataFrame:
-    """Postings without stop words. With unique ids, each row is counted by itself."""
-    if unique_ids:
-        return drop_stop_words(row_postings(docs), stop_words)
-    return postings(corpus_tokens(docs, stop_words))
+    """Postings without stop words.
+
+    With ``unique_ids`` each row is counted by itself, without a shuffle. That
+    ids are unique is checked by a pass over the id column; where they are not,
+    the counts of the rows are summed.
+    """
+    if not unique_ids:
+        return postings(corpus_tokens(docs, stop_words))
+    posts = drop_stop_words(row_postings(docs), stop_words)
+    return posts if ids_are_unique(docs) else summed_postings(posts)
+
+
+def ids_are_unique(docs: DataFrame) -> bool:
+    return docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
 
 
 def build_entities(
     parents: DataFrame,
     children: DataFrame,
     order_by: Sequence[str] = ("pos",),
-    max_list: int = MAX_LIST,
+    part_length: int | None = None,
 ) -> DataFrame:
-    return plain_entities(parent_child_list(parents, children, order_by, max_list))
+    return plain_entities(parent_child_list(parents, children, order_by, part_length))
 
 
 def plain_entities(entities: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,7 +15,7 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, or else the one checkpoints go to.
 
-    A local session may have neither and gets a new one.
+    A local session may have neither and gets a new one, which goes with the process.
     """
     context = spark.sparkContext
     folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
@@ -21,7 +23,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that all nodes can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="wordloom-"))
+    own = tempfile.mkdtemp(prefix="wordloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
     return context.getCheckpointDir()
 
 
@@ -33,3 +37,11 @@ def use_shared_checkpoints(spark: SparkSession) -> None:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to yet."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path that ``new_path`` gave, on whatever file system it is."""
+    if not path.startswith(shared_folder(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

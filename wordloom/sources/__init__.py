@@ -1,5 +1,6 @@
 from wordloom.sources.lines import (
     parse_children,
+    parse_documents,
     parse_entities,
     parse_parents,
     parse_postings,
@@ -17,13 +18,13 @@ from wordloom.sources.readers import (
     read_stop_words,
     read_table,
     split_rejected,
-    spread,
     strict,
 )
 from wordloom.sources.writers import write_delimited, write_entity_text, write_table
 
 __all__ = [
     "parse_children",
+    "parse_documents",
     "parse_entities",
     "parse_parents",
     "parse_postings",
@@ -37,7 +38,6 @@ __all__ = [
     "read_stop_words",
     "read_table",
     "split_rejected",
-    "spread",
     "stop_words_from_lines",
     "strict",
     "tokens_from_lines",

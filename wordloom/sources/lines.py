@@ -49,6 +49,20 @@ def tokens_from_lines(lines: DataFrame, id_type: str = "bigint") -> DataFrame:
     )
 
 
+def parse_documents(lines: DataFrame) -> DataFrame:
+    """(doc_id, text): the id is the first token of the cleaned line, the rest is text.
+
+    Blank lines, and lines with nothing but the id, give no row and are no fault.
+    """
+    cleaned = F.ltrim(clean(F.col("value")), F.lit(DELIMITER_CHARS))
+    rows = lines.withColumn("_words", F.split(cleaned, f"[{DELIMITER_CHARS}]+", 2))
+    rows = rows.where(F.length(F.trim(F.get("_words", 1))) > 0)
+    rows = rows.withColumns(
+        {"doc_id": lenient_bigint(F.get("_words", 0)), "text": F.get("_words", 1)}
+    )
+    return _parsed(rows, lines, ["doc_id", "text"], (F.col("doc_id").isNull(), "bad id"))
+
+
 def parse_parents(lines: DataFrame) -> DataFrame:
     """(entity_id, name): tab-separated, everything but two fields ignored."""
     fields = F.col("_fields")
@@ -105,35 +119,44 @@ def parse_postings(lines: DataFrame, sep: str = " ") -> DataFrame:
     )
 
 
-def parse_entities(lines: DataFrame) -> DataFrame:
-    """(entity_id, name, part, n_children, children): any number of children,
-    empty ones at the end dropped. The id may be ``id#part#n_children``."""
-    fields, key = F.split("value", "\t"), F.col("_key")
-    rows = lines.withColumns(
-        {
-            "_key": F.split(F.get(fields, 0), "#"),
-            "_size": F.size(fields),
-            "name": F.get(fields, 1),
-            "children": F.slice(_fields(F.col("value"), "\t"), 3, F.size(fields)),
-        }
-    )
-    whole = F.size(key) == 1
-    rows = rows.withColumns(
-        {
-            "entity_id": lenient_bigint(F.get(key, 0)),
-            "part": F.when(whole, 0).otherwise(lenient_bigint(F.get(key, 1))),
-            "n_children": F.when(whole, F.size("children")).otherwise(
-                lenient_bigint(F.get(key, 2))
-            ),
-        }
-    )
-    id_parts = [F.col(c).isNull() for c in ("entity_id", "part", "n_children")]
+def parse_entities(lines: DataFrame, in_parts: bool = False) -> DataFrame:
+    """(entity_id, name, part, n_children, children): any number of children.
+
+    A whole list stands on one line, ``id, name, child...``, of which empty
+    fields at the end are dropped. With ``in_parts`` each line is a piece, ``id,
+    part, n_children, name, child...``, and nothing is dropped.
+    """
+    plain = F.split("value", "\t")
+    if in_parts:
+        rows = lines.withColumn("_fields", plain).withColumns(
+            {
+                "entity_id": lenient_bigint(F.get("_fields", 0)),
+                "part": lenient_bigint(F.get("_fields", 1)),
+                "n_children": lenient_bigint(F.get("_fields", 2)),
+                "name": F.get("_fields", 3),
+                # A parent without children has no field behind the name.
+                "children": F.slice("_fields", 5, F.greatest(F.size("_fields"), F.lit(1))),
+            }
+        )
+        least = 4
+    else:
+        rows = lines.withColumn("_fields", plain).withColumns(
+            {
+                "entity_id": lenient_bigint(F.get("_fields", 0)),
+                "name": F.get("_fields", 1),
+                "part": F.lit(0).cast("bigint"),
+                "children": F.slice(_fields(F.col("value"), "\t"), 3, F.size("_fields")),
+            }
+        )
+        rows = rows.withColumn("n_children", F.size("children").cast("bigint"))
+        least = 2
+    bad = F.col("entity_id").isNull() | F.col("part").isNull() | F.col("n_children").isNull()
     return _parsed(
         rows,
         lines,
         ["entity_id", "name", "part", "n_children", "children"],
-        (F.col("_size") < 2, "too few fields"),
-        (id_parts[0] | id_parts[1] | id_parts[2], "bad id"),
+        (F.size("_fields") < least, "too few fields"),
+        (bad, "bad id"),
     )
 
 
@@ -147,5 +170,6 @@ def _parsed(
 
 
 def _fields(line: Column, sep: str) -> Column:
-    """Split, without the empty fields at the end of the line."""
-    return F.split(F.rtrim(line, F.lit(sep)), sep)
+    """Split at ``sep`` as it is, without the empty fields at the end of the line."""
+    quoted = "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    return F.split(F.regexp_replace(line, f"({quoted})+\\z", ""), quoted)

@@ -19,9 +19,6 @@ from wordloom.sources.lines import (
 # Fixed value: what the data files of a job's output folder are called.
 PART_FILES = "*part-*"
 
-# A scan with fewer splits per core than this is small enough to be moved.
-SPLITS_PER_CORE = 2
-
 # Column order of the input: a scan numbers rows in order within one file only.
 FILE_ORDER = ("file", "pos")
 
@@ -66,20 +63,38 @@ def query_words(spark: SparkSession, words: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(words)), schemas.QUERY_WORDS)
 
 
-def read_parents(spark: SparkSession, path: str) -> DataFrame:
-    return strict(parse_parents(read_lines(spark, path)))
+def accepted(parsed: DataFrame, rejects: str | None) -> DataFrame:
+    """The good records. Malformed lines fail the job or, with a path, are added there.
+
+    Rejects are text lines ``problem<TAB>line``. They are found by a pass of
+    their own, which reads the lines once more.
+    """
+    if rejects is None:
+        return strict(parsed)
+    good, bad = split_rejected(parsed)
+    line = F.concat_ws("\t", "problem", "value")
+    bad.select(line.alias("value")).write.mode("append").text(rejects)
+    return good
+
+
+def read_parents(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
+    return accepted(parse_parents(read_lines(spark, path)), rejects)
 
 
-def read_children(spark: SparkSession, path: str) -> DataFrame:
-    return strict(parse_children(read_lines(spark, path)))
+def read_children(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
+    return accepted(parse_children(read_lines(spark, path)), rejects)
 
 
-def read_postings(spark: SparkSession, path: str, sep: str = " ") -> DataFrame:
-    return strict(parse_postings(read_lines(spark, path, PART_FILES), sep))
+def read_postings(
+    spark: SparkSession, path: str, sep: str = " ", rejects: str | None = None
+) -> DataFrame:
+    return accepted(parse_postings(read_lines(spark, path, PART_FILES), sep), rejects)
 
 
-def read_entities(spark: SparkSession, path: str) -> DataFrame:
-    return strict(parse_entities(read_lines(spark, path, PART_FILES)))
+def read_entities(
+    spark: SparkSession, path: str, in_parts: bool = False, rejects: str | None = None
+) -> DataFrame:
+    return accepted(parse_entities(read_lines(spark, path, PART_FILES), in_parts), rejects)
 
 
 def read_table(spark: SparkSession, table: str, schema: str) -> DataFrame:
@@ -88,16 +103,3 @@ def read_table(spark: SparkSession, table: str, schema: str) -> DataFrame:
         return spark.read.schema(schema).parquet(table)
     return spark.table(table)
 
-
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on a small scan, whose few row groups may sit in few partitions.
-
-    Spark cuts a small input into about as many partitions as there are cores,
-    and some of them may be empty. Inputs of at least ``SPLITS_PER_CORE`` are
-    left as they are. Give ``keys`` only if they are unique: the rows are then
-    hashed on them, which later grouping can build on.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= SPLITS_PER_CORE * cores:
-        return scan
-    return scan.repartition(cores, *keys)

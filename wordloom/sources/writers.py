@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions import entity_line
+from wordloom.functions import entity_line, entity_part_line
+from wordloom.scratch import new_path, remove
+
+# Bytes of a file of a table, where the caller does not set their number.
+FILE_BYTES = 512 * 1024 * 1024
 
 
 def write_delimited(
@@ -18,28 +22,77 @@ def write_delimited(
     files: int | None = None,
     keys: Sequence[str] = (),
 ) -> None:
-    """One line per row. ``files`` sets the number of files, see ``_arranged``."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    """One line per row. ``files`` sets the number of files, see ``_arranged``.
+
+    Null is written as an empty field. A separator or line end within a field
+    fails the job, since the line could not be read back.
+    """
+    fields = [safe_field(F.coalesce(F.col(c).cast("string"), F.lit("")), sep) for c in columns]
     _write_lines(df, path, F.concat_ws(sep, *fields), files, keys)
 
 
-def write_entity_text(entities: DataFrame, path: str, files: int | None = None) -> None:
-    """``id, name, child...``. An entity of several parts takes several lines."""
-    line = entity_line(*map(F.col, ("entity_id", "name", "part", "n_children", "children")))
+def write_entity_text(
+    entities: DataFrame, path: str, files: int | None = None, in_parts: bool = False
+) -> None:
+    """``id, name, child...``, or with ``in_parts`` the form of ``entity_part_line``.
+
+    Null names and children are written as empty fields; a tab or line end in
+    one fails the job. Lists that are cut need ``in_parts``.
+    """
+    name = safe_field(F.col("name"), "\t")
+    children = F.transform("children", lambda c: safe_field(c, "\t"))
+    if in_parts:
+        numbers = [F.col(c) for c in ("part", "n_children")]
+        line = entity_part_line(F.col("entity_id"), name, *numbers, children)
+    else:
+        cut = F.raise_error(F.lit("a list in parts needs in_parts=True")).cast("string")
+        line = F.when(F.col("n_children") > F.size("children"), cut).otherwise(
+            entity_line(F.col("entity_id"), name, children)
+        )
     _write_lines(entities, path, line, files, ["entity_id", "part"])
 
 
-def write_table(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+def safe_field(field: Column, sep: str) -> Column:
+    """The field, or an error if it holds the separator or a line end."""
+    bad = field.contains(sep) | field.contains("\n") | field.contains("\r")
+    message = F.concat(F.lit("separator or line end in field: "), field)
+    return F.when(bad, F.raise_error(message).cast("string")).otherwise(field)
+
+
+def write_table(
+    df: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    files: int | None = None,
+    file_bytes: int = FILE_BYTES,
+) -> None:
     """A table by name, or a Parquet folder by path (anything with a slash).
 
     Files hold key ranges and are sorted, so a filter on the first key skips
-    most of them; a key with very many rows is cut by the keys after it.
+    most of them; a key with very many rows is cut by the keys after it. There
+    are ``files`` of them, or as many as give about ``file_bytes`` each.
+
+    Ranges need a sample. The rows are first kept in the shared folder, so that
+    what made them runs once and the sample reads only the keys of a stored table.
     """
-    writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    spark = df.sparkSession
+    stage = new_path(spark, "stage")
+    df.write.parquet(stage)
+    rows = spark.read.schema(df.schema).parquet(stage)
+    count = files or max(1, -(-_stored_bytes(df, stage) // file_bytes))
+    writer = rows.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+    writer = writer.write.mode("overwrite")
     if "/" in table:
         writer.parquet(table)
     else:
         writer.saveAsTable(table)
+    remove(spark, stage)
+
+
+def _stored_bytes(df: DataFrame, path: str) -> int:
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(conf).getContentSummary(folder).getLength()
 
 
 def _write_lines(
