@@ -332,6 +332,8 @@ def fit(
         _views(shipped(spark, model)), f"doc_id bigint, {META}, view binary"
     )
     found = views.toArrow().sort_by([("doc_id", "ascending")])
+    if not found.num_rows:
+        return model
     source, lang, n_chars = (found.column(c).to_pylist() for c in ("source", "lang", "n_chars"))
     for name, column in (("source", source), ("lang", lang)):
         count: dict[str, int] = {}
