@@ -126,3 +126,22 @@ def test_plans(spark):
     assert "ReadSchema: struct<text:string>" in total
     for text in (plan, one_word, total):
         assert "Python" not in text
+
+
+def test_plans_at_test_size_are_those_of_any_size(spark):
+    """Small inputs are not dealt anew: the plans below are what a large input gets."""
+    from catalog import QUERIES
+
+    total = physical_plan(QUERIES["corpus_total_terms"](spark, "/root/testdata/sf0.001"))
+    assert "ReadSchema: struct<text:string>" in total
+    assert total.count("Exchange") == 1
+    grouped = physical_plan(QUERIES["postings_grouped"](spark, "/root/testdata/sf0.001"))
+    assert grouped.count("Exchange hashpartitioning(word") == 1
+    by_row = physical_plan(QUERIES["postings"](spark, "/root/testdata/sf0.001"))
+    assert "Exchange" not in by_row
+
+
+def test_repeated_ids_are_summed_row_by_row(spark):
+    docs = spark.createDataFrame([(1, "x x"), (1, "x y"), (2, "x")], "doc_id BIGINT, text STRING")
+    got = sorted(map(tuple, build_index(docs, unique_ids=True).collect()))
+    assert got == [("x", 1, 3), ("x", 2, 1), ("y", 1, 1)]
