@@ -97,9 +97,14 @@ def read_entities(
     return accepted(parse_entities(read_lines(spark, path, PART_FILES), in_parts), rejects)
 
 
-def read_table(spark: SparkSession, table: str, schema: str) -> DataFrame:
-    """A stored table by name, or a Parquet folder by path (anything with a slash)."""
-    if "/" in table:
-        return spark.read.schema(schema).parquet(table)
-    return spark.table(table)
+def read_table(
+    spark: SparkSession, table: str, schema: str, partitions: int | None = None
+) -> DataFrame:
+    """A stored table by name, or a Parquet folder by path (anything with a slash).
+
+    ``partitions`` deals the rows anew, for a table in one row group, which a
+    scan cannot split. It is up to the caller, whatever the size.
+    """
+    rows = spark.read.schema(schema).parquet(table) if "/" in table else spark.table(table)
+    return rows.repartition(partitions) if partitions else rows
 
