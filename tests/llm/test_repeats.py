@@ -88,6 +88,16 @@ def test_small_tiles_and_tasks(spark, monkeypatch):
     check_words(spark, documents(), 6, 3)
 
 
+def test_frequent_anchors_are_dealt_by_content(spark, monkeypatch):
+    line = documents()[0][1]
+    rows = documents() + [(100 + i, f"a{i} b{i} {line} c{i % 3}") for i in range(12)]
+    for most in (0, 1, 3):
+        monkeypatch.setattr(repeats, "TASK_ANCHOR", most)
+        check_words(spark, rows, 50, 12)
+        check_words(spark, rows, 6, 3)
+        check_bytes(spark, rows, 100, 32)
+
+
 def test_loser_tree_merges_front_coded_runs():
     lines = [[b"", b"a", b"ab", b"abc"], [b"abd", b"b"], [], [b"ab", b"ab", b"zz"]]
     runs = [suffix_dedup.front_coded(x) for x in lines]

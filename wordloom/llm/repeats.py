@@ -12,6 +12,10 @@ its whole content:
   and the others are removed at once, most of them before any shuffle;
 * different segments with the same anchor share some windows or none. Only
   these, the ends of passages and the surroundings of edits, are compared.
+
+An anchor may be in a third of all texts, each time in other surroundings. A
+task that has many segments of an anchor deals them by their content, as salt,
+and tells the anchor's own place by one row that there are several.
 """
 
 from __future__ import annotations
@@ -40,10 +44,12 @@ from wordloom.scratch import new_path
 TILE = 1 << 22  # window starts handled at once; anchors keep their place in 24 bits
 TASK_SEGMENTS = 1_000_000  # distinct segments a task remembers to remove repeats before the shuffle
 LARGE_GROUP = 20_000  # segments of one anchor; beyond, windows are grouped one by one
+TASK_ANCHOR = 64  # segments of one anchor that a task deals by the anchor; beyond, by their content
 
 PLACES = "h1 bigint, h2 bigint, _id bigint, _h bigint, start int, off int, n int"
-KINDS = f"kind tinyint, {PLACES}"
-REMOVED, SEGMENT = 0, 1
+KINDS = f"kind tinyint, salt bigint, {PLACES}"
+# SEVERAL tells that an anchor has other contents, which are dealt elsewhere.
+REMOVED, SEGMENT, SEVERAL = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -157,7 +163,8 @@ def _anchored(rule: Rule) -> Callable:
                 gone = _joined_spans(rule, {c: x[later] for c, x in rows.items()})
                 rows = {c: x[~later] for c, x in rows.items()}
                 rows["kind"] = np.full(len(rows["h1"]), SEGMENT)
-                for out in (gone, rows):
+                rows["salt"], several = _salted(rows)
+                for out in (gone, rows, several):
                     for at in range(0, len(out["h1"]), 100_000):
                         yield _batch({c: x[at : at + 100_000] for c, x in out.items()}, names)
             held, size = {}, 0
@@ -195,23 +202,43 @@ def _joined_spans(rule: Rule, rows: dict[str, np.ndarray]) -> dict[str, np.ndarr
         rows["n"] = end[last] - rows["start"]
         rows["h1"] = mixed(keys[new] + rows["start"].astype(np.uint64))
     rows["kind"] = np.full(len(rows["h1"]), REMOVED)
+    rows["salt"] = np.zeros(len(rows["h1"]), dtype=np.int64)
     return rows
 
 
+def _salted(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """The salt of sorted segments, 0 where their anchor has few, and a row for each that has many.
+
+    Segments dealt by content are all compared. Where one content makes an anchor
+    frequent, from repeats in one document, that is needless but right.
+    """
+    h1 = rows["h1"]
+    begin = np.flatnonzero(np.concatenate([[True], h1[1:] != h1[:-1]])[: len(h1)])
+    counts = np.diff(np.append(begin, len(h1)))
+    many = counts > TASK_ANCHOR
+    salt = np.where(np.repeat(many, counts), rows["h2"].view(np.int64), np.int64(0))
+    several = {c: np.zeros(many.sum(), dtype=x.dtype) for c, x in rows.items()}
+    several["salt"] = np.zeros(many.sum(), dtype=np.int64)
+    several["h1"] = h1[begin[many]]
+    several["kind"] = np.full(many.sum(), SEVERAL)
+    return salt, several
+
+
 def _repeats(rule: Rule, rows: dict[str, np.ndarray], before: tuple | None = None) -> np.ndarray:
     """Of sorted rows, those whose windows all occur earlier, in the first of the equal segments.
 
-    ``before`` is (h1, h2, _id, _h, start) of the first segment equal to the
-    first rows, where that came with an earlier batch.
+    ``before`` is (h1, salt, h2, _id, _h, start) of the first segment equal to
+    the first rows, where that came with an earlier batch.
     """
-    h1, h2 = rows["h1"], rows["h2"]
+    same = [rows[c] for c in ("h1", "salt", "h2") if c in rows]
+    h1 = rows["h1"]
     new = np.ones(len(h1), dtype=bool)
-    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    new[1:] = np.any([x[1:] != x[:-1] for x in same], axis=0)
     keys = [rows[c] for c in ("_id", "_h", "start")]
     lead = np.maximum.accumulate(np.where(new, np.arange(len(h1)), 0))
     leads = [k[lead] for k in keys]
-    if before is not None and len(h1) and (h1[0], h2[0]) == before[:2]:
-        for k, value in zip(leads, before[2:]):
+    if before is not None and len(h1) and tuple(x[0] for x in same) == before[:3]:
+        for k, value in zip(leads, before[3:]):
             k[lead == 0] = value
     later = keys[0] != leads[0]  # rows are sorted, so what differs comes later
     if rule.own:
@@ -222,47 +249,50 @@ def _repeats(rule: Rule, rows: dict[str, np.ndarray], before: tuple | None = Non
 def _classified(rule: Rule) -> Callable:
     """Of sorted segments: those to remove, and those whose anchor has several contents.
 
-    Goes through the rows in order and remembers only the group it is in.
+    Goes through the rows in order and remembers only the group it is in, the
+    rows of one anchor and salt. Segments with a salt have an anchor with several.
     """
     names = _names(rule, KINDS)
 
+    def segments_of(rows: dict[str, np.ndarray], where: np.ndarray) -> Iterator[pa.RecordBatch]:
+        where = where & (rows["kind"] != SEVERAL)
+        if where.any():
+            yield _batch({c: x[where] for c, x in rows.items()}, names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead: tuple | None = None  # the first segment equal to the last row
-        several = False  # whether the last row's anchor has had two contents
+        several = False  # whether the last row's group has had two contents
         waiting: dict[str, np.ndarray] | None = None  # its first content, while that is the only one
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
             done = {c: x[rows["kind"] == REMOVED] for c, x in rows.items()}
-            rows = {c: x[rows["kind"] == SEGMENT] for c, x in rows.items()}
+            rows = {c: x[rows["kind"] != REMOVED] for c, x in rows.items()}
             if len(done["h1"]):
                 yield _batch(done, names)
             size = len(rows["h1"])
             if not size:
                 continue
             later = _repeats(rule, rows, lead)
-            h1, h2 = rows["h1"], rows["h2"]
-            gone = {c: x[later] for c, x in rows.items()}
-            gone["kind"] = np.full(len(gone["h1"]), REMOVED)
-            if len(gone["h1"]):
-                yield _batch(gone, names)
+            h1, salt, h2 = rows["h1"], rows["salt"], rows["h2"]
+            gone = dict(rows, kind=np.where(later & (rows["kind"] == SEGMENT), REMOVED, rows["kind"]))
+            yield from segments_of(gone, later)
             # Groups of this batch; the first may have begun in an earlier one.
-            group = np.cumsum(np.concatenate([[0], h1[1:] != h1[:-1]]))
-            changes = np.concatenate([[0], (h1[1:] == h1[:-1]) & (h2[1:] != h2[:-1])])
-            goes_on = lead is not None and lead[0] == h1[0]
+            same = (h1[1:] == h1[:-1]) & (salt[1:] == salt[:-1])
+            group = np.cumsum(np.concatenate([[0], ~same]))
+            changes = np.concatenate([[0], same & (h2[1:] != h2[:-1])])
+            goes_on = lead is not None and lead[:2] == (h1[0], salt[0])
             if goes_on:
-                changes[0] = lead[1] != h2[0]
-            many = np.bincount(group, weights=changes, minlength=group[-1] + 1) > 0
+                changes[0] = lead[2] != h2[0]
+            many = np.bincount(group, weights=changes + (salt != 0), minlength=group[-1] + 1) > 0
             if goes_on:
                 if many[0] and waiting is not None:
-                    yield _batch(waiting, names)
+                    yield from segments_of(waiting, np.ones(len(waiting["h1"]), dtype=bool))
                 many[0] |= several
             if not goes_on or many[0]:
                 waiting = None
-            out = ~later & many[group]
-            if out.any():
-                yield _batch({c: x[out] for c, x in rows.items()}, names)
+            yield from segments_of(rows, ~later & many[group])
             several = bool(many[-1])
             if several:
                 waiting = None
@@ -272,10 +302,10 @@ def _classified(rule: Rule) -> Callable:
                 if waiting is not None and group[-1] == 0:  # the same group, still with one content
                     rest = {c: np.concatenate([waiting[c], x]) for c, x in rest.items()}
                 waiting = rest
-            same = lead is not None and lead[:2] == (h1[-1], h2[-1])
-            begin = np.flatnonzero((h1 == h1[-1]) & (h2 == h2[-1]))[0]
-            if not (same and begin == 0):
-                lead = tuple(rows[c][begin] for c in ("h1", "h2", "_id", "_h", "start"))
+            last = (h1[-1], salt[-1], h2[-1])
+            begin = np.flatnonzero((h1 == last[0]) & (salt == last[1]) & (h2 == last[2]))[0]
+            if not (lead is not None and lead[:3] == last and begin == 0):
+                lead = (*last, *(rows[c][begin] for c in ("_id", "_h", "start")))
 
     return run
 
@@ -288,9 +318,10 @@ def by_document(docs: DataFrame) -> DataFrame:
 def found_segments(keyed: DataFrame, rule: Rule) -> DataFrame:
     """What to remove and what to compare, stored in the shared folder."""
     rows = keyed.select("text", "_id", "_h").mapInArrow(_anchored(rule), _schema(rule, KINDS))
-    rows = rows.repartition("h1").sortWithinPartitions("h1", "h2", "_id", "_h", "start")
+    rows = rows.repartition("h1", "salt")
+    rows = rows.sortWithinPartitions("h1", "salt", "h2", "_id", "_h", "start")
     path = new_path(keyed.sparkSession, "segments")
-    sorted_out = rows.mapInArrow(_classified(rule), _schema(rule, KINDS))
+    sorted_out = rows.mapInArrow(_classified(rule), _schema(rule, KINDS)).drop("salt")
     sorted_out.write.option("compression", "zstd").parquet(path)
     return keyed.sparkSession.read.parquet(path)
 
