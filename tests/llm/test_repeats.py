@@ -98,6 +98,19 @@ def test_frequent_anchors_are_dealt_by_content(spark, monkeypatch):
         check_bytes(spark, rows, 100, 32)
 
 
+def test_documents_that_repeat_themselves(spark, monkeypatch):
+    phrase, tail = "Is onhe. ", " ".join(f"t{i}" for i in range(60))
+    texts = [phrase * 90, f"a b c {phrase * 70} d", f"{tail} x {tail} y {phrase * 60}", tail, phrase * 40]
+    texts += [f"{tail} {tail} {tail} z", f"q {phrase * 30} {tail} {phrase * 33}", "x y z " * 50]
+    rows = [(30 - i, text) for i, text in enumerate(texts)] + [(40, texts[2]), (40, texts[5])]
+    rows += [(40, texts[2]), (None, texts[1]), *documents()]
+    for most in (0, 64):
+        monkeypatch.setattr(repeats, "TASK_ANCHOR", most)
+        check_words(spark, rows, 50, 12)
+        check_words(spark, rows, 6, 3)
+    check_bytes(spark, rows[:14], 100, 32)
+
+
 def test_loser_tree_merges_front_coded_runs():
     lines = [[b"", b"a", b"ab", b"abc"], [b"abd", b"b"], [], [b"ab", b"ab", b"zz"]]
     runs = [suffix_dedup.front_coded(x) for x in lines]

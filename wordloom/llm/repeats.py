@@ -15,7 +15,9 @@ its whole content:
 
 An anchor may be in a third of all texts, each time in other surroundings. A
 task that has many segments of an anchor deals them by their content, as salt,
-and tells the anchor's own place by one row that there are several.
+and tells the anchor's own place by one row that there are several. Where only
+other documents count, a document that says the same over and over is compared
+once: its further segments are copies, which lose what the first one loses.
 """
 
 from __future__ import annotations
@@ -48,8 +50,9 @@ TASK_ANCHOR = 64  # segments of one anchor that a task deals by the anchor; beyo
 
 PLACES = "h1 bigint, h2 bigint, _id bigint, _h bigint, start int, off int, n int"
 KINDS = f"kind tinyint, salt bigint, {PLACES}"
-# SEVERAL tells that an anchor has other contents, which are dealt elsewhere.
-REMOVED, SEGMENT, SEVERAL = 0, 1, 2
+# SEVERAL tells that an anchor has other contents, which are dealt elsewhere. COPY is
+# a segment that repeats one of its own document, which starts at ``off``.
+REMOVED, SEGMENT, SEVERAL, COPY = 0, 1, 2, 3
 
 
 @dataclass(frozen=True)
@@ -162,9 +165,10 @@ def _anchored(rule: Rule) -> Callable:
                 later = _repeats(rule, rows)
                 gone = _joined_spans(rule, {c: x[later] for c, x in rows.items()})
                 rows = {c: x[~later] for c, x in rows.items()}
+                rows, copies = _without_copies(rows)
                 rows["kind"] = np.full(len(rows["h1"]), SEGMENT)
                 rows["salt"], several = _salted(rows)
-                for out in (gone, rows, several):
+                for out in (gone, copies, rows, several):
                     for at in range(0, len(out["h1"]), 100_000):
                         yield _batch({c: x[at : at + 100_000] for c, x in out.items()}, names)
             held, size = {}, 0
@@ -206,11 +210,24 @@ def _joined_spans(rule: Rule, rows: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return rows
 
 
+def _without_copies(rows: dict[str, np.ndarray]) -> tuple[dict, dict]:
+    """Of sorted segments, the first of those equal in a document, and the others as copies of it."""
+    keys = [rows[c] for c in ("h1", "h2", "_id", "_h")]
+    first = np.ones(len(keys[0]), dtype=bool)
+    first[1:] = np.any([x[1:] != x[:-1] for x in keys], axis=0)
+    lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+    copies = {c: x[~first] for c, x in rows.items()}
+    copies["off"] = rows["start"][lead][~first]
+    copies["h1"] = mixed(copies["h1"] + copies["start"].astype(np.uint64))  # spreads them evenly
+    copies["kind"] = np.full(len(copies["h1"]), COPY)
+    copies["salt"] = np.zeros(len(copies["h1"]), dtype=np.int64)
+    return {c: x[first] for c, x in rows.items()}, copies
+
+
 def _salted(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """The salt of sorted segments, 0 where their anchor has few, and a row for each that has many.
 
-    Segments dealt by content are all compared. Where one content makes an anchor
-    frequent, from repeats in one document, that is needless but right.
+    Segments dealt by content are all compared.
     """
     h1 = rows["h1"]
     begin = np.flatnonzero(np.concatenate([[True], h1[1:] != h1[:-1]])[: len(h1)])
@@ -267,8 +284,9 @@ def _classified(rule: Rule) -> Callable:
             if not batch.num_rows:
                 continue
             rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-            done = {c: x[rows["kind"] == REMOVED] for c, x in rows.items()}
-            rows = {c: x[rows["kind"] != REMOVED] for c, x in rows.items()}
+            settled = (rows["kind"] == REMOVED) | (rows["kind"] == COPY)
+            done = {c: x[settled] for c, x in rows.items()}
+            rows = {c: x[~settled] for c, x in rows.items()}
             if len(done["h1"]):
                 yield _batch(done, names)
             size = len(rows["h1"])
@@ -439,7 +457,73 @@ def removed_spans(
         spans = spans.unionByName(spans_by_window(with_passages(texts, ones, rule), rule))
         open_ones = open_ones.join(most, "h1", "left_anti")
     spans = spans.unionByName(resolve(with_passages(texts, grouped(open_ones), rule)))
-    return spans.groupBy("_id", "_h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    if rule.own:  # repeats in a document are removed, so there are no copies
+        return spans.groupBy("_id", "_h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    copies = found.where(F.col("kind") == COPY).select(
+        "_id", "_h", "start", (F.col("start") + F.col("n")).alias("end"), F.col("off").alias("lead")
+    )
+    places = spans.withColumn("lead", F.lit(-1)).unionByName(copies).groupBy("_id", "_h")
+    places = places.agg(
+        F.collect_list(F.struct("start", "end", "lead")).alias("places"), F.min("lead").alias("least")
+    )
+    places = places.where("least < 0").select("_id", "_h", "places")
+    return places.mapInArrow(_copied(rule), f"_id bigint, _h bigint, spans {SPAN_LIST}")
+
+
+SPAN_LIST = "array<struct<start: int, end: int>>"
+
+
+def _copied(rule: Rule) -> Callable:
+    """The spans of each document with those that copies take over from the segment they repeat.
+
+    Each window start belongs to one segment. So of the window starts that the
+    spans remove, a copy takes over those of its segment, moved to its own place.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.column("places")
+            flat = places.flatten()
+            start, end, lead = (flat.field(i).to_numpy().astype(np.int64) for i in range(3))
+            stops = np.cumsum(np.diff(places.offsets.to_numpy()))
+            sizes, starts, ends = [0], [], []
+            for a, b in zip([0, *stops[:-1].tolist()], stops.tolist()):
+                own = lead[a:b] < 0
+                low, high = start[a:b][own], end[a:b][own]
+                if not own.all():
+                    low, high = _taken_over(
+                        low, high - rule.window + 1, start[a:b][~own], end[a:b][~own], lead[a:b][~own]
+                    )
+                    high = high + rule.window - 1
+                starts.append(low)
+                ends.append(high)
+                sizes.append(len(low))
+            both = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends)]
+            both = [pa.array(x.astype(np.int32)) for x in both]
+            spans = pa.ListArray.from_arrays(
+                pa.array(np.cumsum(sizes).astype(np.int32)),
+                pa.StructArray.from_arrays(both, names=["start", "end"]),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), batch.column("_h"), spans], names=["_id", "_h", "spans"]
+            )
+
+    return run
+
+
+def _taken_over(
+    low: np.ndarray, high: np.ndarray, start: np.ndarray, end: np.ndarray, lead: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of removed window starts: those from low to high, and the copies' from start to end."""
+    size = int(max(high.max(), end.max()))
+    edge = np.zeros(size + 1, dtype=np.int64)
+    np.add.at(edge, low, 1)
+    np.add.at(edge, high, -1)
+    gone = np.cumsum(edge)[:-1] > 0
+    for a, b, first in zip(start.tolist(), end.tolist(), lead.tolist()):
+        gone[a:b] |= gone[first : first + b - a]
+    edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
 def merged_runs(spans: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
