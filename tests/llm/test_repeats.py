@@ -79,6 +79,8 @@ def test_large_groups_go_by_window(spark, monkeypatch):
     monkeypatch.setattr(repeats.removed_spans, "__defaults__", (1,))
     check_words(spark, documents(), 50, 12)
     check_bytes(spark, documents(), 100, 32)
+    monkeypatch.setattr(substring_dedup, "fits_broadcast", lambda rows: False)
+    check_words(spark, documents(), 50, 12)
 
 
 def test_small_tiles_and_tasks(spark, monkeypatch):

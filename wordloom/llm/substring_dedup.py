@@ -27,6 +27,8 @@ from wordloom.llm.repeats import (
 )
 from wordloom.llm.suffix_dedup import _lists
 from wordloom.llm.texts import blocks, words_of
+from wordloom.operators.joins import fits_broadcast, salted_join
+from wordloom.scratch import use_shared_checkpoints
 
 WINDOW, GRAM = 50, 12
 PREFIXES = (2, 4, 8)  # words; then the whole anchor
@@ -131,6 +133,11 @@ def _subtrees(rule: Rule) -> Callable:
     return run
 
 
+def _kept(rows: DataFrame) -> DataFrame:
+    use_shared_checkpoints(rows.sparkSession)
+    return rows.checkpoint()
+
+
 def repeated_spans(
     texts: DataFrame, window: int = WINDOW, gram: int = GRAM, large: int = LARGE_GROUP
 ) -> DataFrame:
@@ -138,13 +145,19 @@ def repeated_spans(
     rule = Rule("word", window, gram, own=False, prefixes=tuple(p for p in PREFIXES if p < gram))
 
     def grouped(rows: DataFrame) -> DataFrame:
-        """The shortest prefix that at most ``large`` suffixes have, or else the anchor."""
+        """The shortest prefix that at most ``large`` suffixes have, or else the anchor.
+
+        There are few long lists of suffixes, so these prefixes come to the rows.
+        """
         group = F.col("h1")
         for length in reversed(rule.prefixes):
             prefix = f"p{length}"
             many = rows.groupBy(prefix).agg(F.count("*").alias("m")).where(F.col("m") > large)
-            many = many.select(prefix, F.lit(True).alias(f"long{length}"))
-            rows = rows.join(many, prefix, "left")
+            many = _kept(many.select(prefix, F.lit(True).alias(f"long{length}")))
+            if fits_broadcast(many):
+                rows = rows.join(F.broadcast(many), prefix, "left")
+            else:
+                rows = salted_join(rows, many, [prefix], "left", ["_id", "start"])
             group = F.when(F.col(f"long{length}").isNull(), F.col(prefix)).otherwise(group)
         return rows.withColumn("group", group)
 
