@@ -223,3 +223,24 @@ def test_quality_without_labels(spark):
         assert quality.score(docs, labels).where("kept").count() == len(documents())
     assert quality.score(frame(spark, []), none).count() == 0
 
+
+
+def test_all_unlabelled_documents_pass_labels_on(spark):
+    """Those stored last too: what the text says of them, the metadata view learns."""
+    docs, labels = labelled(700)
+    rows = [(i, t, f"src{i % 3}") for i, t in docs]
+    good = next(t for i, t in docs if i % 5 and i % 7)
+    bad = next(t for i, t in docs if not i % 5 and i % 7)
+    rows += [(1000 + i, good, f"src{i % 3}") for i in range(12_000)]
+    rows += [(20_000 + i, bad, "late") for i in range(500)]
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    frames = [
+        spark.createDataFrame(r, "doc_id bigint, text string, source string") for r in (rows, rows[::-1])
+    ]
+    models = [quality.fit(docs, known) for docs in frames]
+    found = []
+    for model in models:
+        late, other = model.targets["low"].meta.logit(model.meta_view(["late", "src1"], [None] * 2, [None] * 2))
+        assert late > other + 2
+        found.append((late, other))
+    assert np.allclose(*found, atol=1e-6)

@@ -2,10 +2,11 @@
 
 Two views of a document vote: its text, as shape statistics and telling words or
 word ends, and its metadata, source, language and length. A logistic model per
-view is fitted on labelled documents; then, round by round, each gives the
-documents it is surest of, with its label, to the other. Both views are
-calibrated on labelled documents held back, and joined by a last logistic model,
-which scores all documents.
+view is fitted on labelled documents; then, round by round, each gives all
+unlabelled documents it is sure of, with its label, to the other. These are
+scored, and their gradients summed, in Spark tasks over the stored views of all
+documents. Both views are calibrated on labelled documents held back, and joined
+by a last logistic model, which scores all documents.
 """
 
 from __future__ import annotations
@@ -15,21 +16,22 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.decontamination import NOT_WORD
 from wordloom.llm.repeats import Hashes
 from wordloom.llm.texts import BASE, BYTE_CODE, LOWER, blocks, mixed, opened, shipped, word_hashes, words_of
+from wordloom.scratch import new_path, remove
 
-# Bounds of what is fitted on: labelled documents, and unlabelled ones for the rounds.
-MAX_LABELLED = 20_000
-MAX_UNLABELLED = 10_000
+MAX_LABELLED = 20_000  # bound of the labelled documents fitted on; unlabelled ones have none
 TELLING = 300  # words and word ends of each target
 SIGNIFICANT = 30.0  # chi-squared from which one is telling
 ROUNDS = 3
 SURE = 0.97  # probability from which a view passes a document on
-PASSED_ON = 0.1  # of the labelled ones, at most, by each view in a round
+PASSED_ON = 0.1  # of the weight of the labelled ones, at most, by each view in a round
+STEPS = 12  # of Newton's method, at most
 HELD_BACK = 5  # one labelled document in so many is for calibration
 REJECT = 0.5
 CALIBRATION_PENALTY = 0.01  # two columns need little
@@ -121,21 +123,39 @@ class Logistic:
     def fit(cls, x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> Logistic:
         """By Newton steps; the penalty is on the squares of all weights but the constant."""
         mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-        z = np.concatenate([(x - mean) / scale, np.ones((len(x), 1))], axis=1).astype(np.float64)
-        ridge = np.full(z.shape[1], penalty)
-        ridge[-1] = 1e-6
-        w = np.zeros(z.shape[1])
+        w = np.zeros(x.shape[1] + 1)
         w[-1] = np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))
-        for _ in range(12):
-            p = _sigmoid(z @ w)
-            slope = z.T @ (p - y) + ridge * w
-            bend = (z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z + np.diag(ridge)
-            step = np.linalg.solve(bend, slope)
-            step *= min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
-            w -= step
-            if np.abs(step).max() < 1e-4:
+        model = cls(mean, scale, w)
+        for _ in range(STEPS):
+            if model.step(*model.sums(x, y), penalty) < 1e-4:
                 break
-        return cls(mean, scale, w)
+        return model
+
+    def sums(
+        self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and Hessian of the weighted loss over these rows, without the penalty."""
+        z = np.concatenate([(x - self.mean) / self.scale, np.ones((len(x), 1))], axis=1)
+        z = z.astype(np.float64)
+        p = _sigmoid(z @ self.weights)
+        slope = z.T @ (weight * (p - y))
+        bend = (z * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z
+        return slope, bend
+
+    def step(self, slope: np.ndarray, bend: np.ndarray, penalty: float = 1.0) -> float:
+        """Take one Newton step; the largest change of a weight."""
+        ridge = np.full(len(self.weights), penalty)
+        ridge[-1] = 1e-6
+        step = np.linalg.solve(bend + np.diag(ridge), slope + ridge * self.weights)
+        step *= min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
+        self.weights = self.weights - step
+        return float(np.abs(step).max())
+
+    def rescaled(self, mean: np.ndarray, scale: np.ndarray) -> Logistic:
+        """The same function over columns standardised anew."""
+        plain = self.weights[:-1] / self.scale
+        constant = self.weights[-1] + plain @ (mean - self.mean)
+        return Logistic(mean, scale, np.append(plain * scale, constant))
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return ((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]
@@ -198,42 +218,174 @@ class Model:
         return np.concatenate(columns, axis=1).astype(np.float32)
 
 
-def co_train(
-    text: np.ndarray, meta: np.ndarray, label: np.ndarray, held: np.ndarray
-) -> Target | None:
-    """The model of one target; label -1 is unlabelled, ``held`` marks rows for calibration.
+@dataclass
+class Taker:
+    """A view of a target while it learns, and what the other view passed on to it.
 
-    A view is only as sure as it proves on the rows held back, so one that knows
-    nothing passes nothing on. None if either class is missing among the rows to fit on.
+    ``givers`` has the other view's model, its calibration and the weight of each
+    document it passes on, round by round. ``moments`` are the weighted sums of
+    ones, columns and their squares over all it is fitted on.
     """
-    views = [text, meta]
-    fit_rows = np.flatnonzero((label >= 0) & ~held)
-    pool = np.flatnonzero((label < 0) & ~held)
-    if len(np.unique(label[fit_rows])) < 2:
-        return None
-    own = [label.copy(), label.copy()]
-    rows = [fit_rows, fit_rows]
-    judged = np.flatnonzero((label >= 0) & held)
-    if len(np.unique(label[judged])) < 2:
-        judged = fit_rows
-    models = [Logistic.fit(v[r], o[r]) for v, o, r in zip(views, own, rows)]
-    for _ in range(ROUNDS):
-        most = int(PASSED_ON * len(fit_rows))
-        for giver, taker in ((0, 1), (1, 0)):
-            logit = models[giver].logit(views[giver])[:, None]
-            checked = Logistic.fit(logit[judged], label[judged], CALIBRATION_PENALTY)
-            free = pool[own[taker][pool] < 0]
-            p = _sigmoid(checked.logit(logit[free]))
-            sure = np.flatnonzero(np.maximum(p, 1 - p) >= SURE)
-            sure = sure[np.argsort(-np.abs(p[sure] - 0.5), kind="stable")][:most]
-            own[taker][free[sure]] = p[sure] > 0.5
-            rows[taker] = np.concatenate([rows[taker], free[sure]])
-        models = [Logistic.fit(v[r], o[r]) for v, o, r in zip(views, own, rows)]
-    y = label[judged]
-    logits = [m.logit(v[judged])[:, None] for m, v in zip(models, views)]
-    calibration = [Logistic.fit(x, y, CALIBRATION_PENALTY) for x in logits]
-    both = np.stack([c.logit(x) for c, x in zip(calibration, logits)], axis=1)
-    return Target(*models, calibration, Logistic.fit(both, y, CALIBRATION_PENALTY))
+
+    target: int
+    view: int
+    model: Logistic
+    moments: list
+    givers: list[tuple[Logistic, Logistic, float]] = field(default_factory=list)
+
+    def passed(self, views: list[np.ndarray], label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Label and weight of each document, from the first round that was sure of it."""
+        free = label < 0
+        y, weight = np.zeros(len(label)), np.zeros(len(label))
+        for model, checked, each in self.givers:
+            p = _sigmoid(checked.logit(model.logit(views[1 - self.view])[:, None]))
+            sure = free & (np.maximum(p, 1 - p) >= SURE)
+            y[sure] = p[sure] > 0.5
+            weight[sure] = each
+            free &= ~sure
+        return y, weight
+
+
+def _matrices(part: pa.RecordBatch | pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    """Both views and the labels of stored rows."""
+    views = [
+        np.frombuffer(b"".join(part.column(c).to_pylist()), np.float32).reshape(part.num_rows, -1)
+        for c in ("text_view", "meta_view")
+    ]
+    return views, np.stack([part.column(c).to_numpy() for c in TARGETS], axis=1)
+
+
+def _moments(x: np.ndarray) -> list:
+    x = x.astype(np.float64)
+    return [float(len(x)), x.sum(axis=0), (x * x).sum(axis=0)]
+
+
+def _passed_sums(shared, counting: bool) -> Callable:
+    """What a task's unlabelled documents add for each taker: weight, gradient and Hessian.
+
+    Or else, counting, the moments of those with a weight.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        takers = opened(shared)
+        sums: list = [[0.0, 0.0, 0.0] for _ in takers]
+        for part in batches:
+            if not part.num_rows:
+                continue
+            views, label = _matrices(part)
+            for taker, own in zip(takers, sums):
+                y, weight = taker.passed(views, label[:, taker.target])
+                taken = weight > 0
+                x = views[taker.view][taken]
+                if counting:
+                    more = _moments(x)
+                else:
+                    more = [weight.sum(), *taker.model.sums(x, y[taken], weight[taken])]
+                own[:] = [a + b for a, b in zip(own, more)]
+        columns = zip(*((n, np.array(slope).tobytes(), np.array(bend).tobytes()) for n, slope, bend in sums))
+        weights, slopes, bends = columns
+        task = TaskContext.get().partitionId()
+        yield pa.record_batch(
+            [
+                pa.array([task] * len(takers), pa.int32()),
+                pa.array(range(len(takers)), pa.int32()),
+                pa.array(weights, pa.float64()),
+                pa.array(slopes, pa.binary()),
+                pa.array(bends, pa.binary()),
+            ],
+            names=["task", "taker", "n", "slope", "bend"],
+        )
+
+    return run
+
+
+def _over_unlabelled(views: DataFrame, takers: list[Taker], counting: bool = False) -> list:
+    """The sums of each taker over all stored rows, added up in the order of tasks."""
+    shared = shipped(views.sparkSession, takers)
+    kind = "task int, taker int, n double, slope binary, bend binary"
+    rows = views.mapInArrow(_passed_sums(shared, counting), kind).toArrow()
+    shared.destroy()
+    sums: list = [[0.0, 0.0, 0.0] for _ in takers]
+    for row in rows.sort_by([("task", "ascending"), ("taker", "ascending")]).to_pylist():
+        own = sums[row["taker"]]
+        if row["n"]:
+            slope, bend = np.frombuffer(row["slope"]), np.frombuffer(row["bend"])
+            own[0] += row["n"]
+            own[1] = own[1] + slope
+            own[2] = own[2] + (bend if counting else bend.reshape(len(slope), -1))
+    return sums
+
+
+def co_train(
+    stored: DataFrame, views: list[np.ndarray], labels: np.ndarray, held: np.ndarray
+) -> list[Target | None]:
+    """The model of each target; ``stored`` has the views of all documents.
+
+    ``views`` and ``labels`` are those of the labelled documents, label -1 is
+    none; ``held`` marks rows for calibration. A view is only as sure as it
+    proves on the rows held back, so one that knows nothing passes nothing on.
+    All unlabelled documents it is sure of count, with equal weights that sum to
+    no more than a tenth of the labelled ones. None if either class is missing
+    among the rows to fit on.
+    """
+    fitted, judged, takers = {}, {}, []
+    for target in range(len(TARGETS)):
+        label = labels[:, target]
+        rows = np.flatnonzero((label >= 0) & ~held)
+        if len(np.unique(label[rows])) < 2:
+            continue
+        fitted[target] = rows
+        judged[target] = np.flatnonzero((label >= 0) & held)
+        if len(np.unique(label[judged[target]])) < 2:
+            judged[target] = rows
+        for view, x in enumerate(views):
+            takers.append(Taker(target, view, Logistic.fit(x[rows], label[rows]), _moments(x[rows])))
+
+    def checked(taker: Taker) -> tuple[np.ndarray, Logistic]:
+        rows = judged[taker.target]
+        logit = taker.model.logit(views[taker.view][rows])[:, None]
+        return logit, Logistic.fit(logit, labels[rows, taker.target], CALIBRATION_PENALTY)
+
+    for _ in range(ROUNDS if takers else 0):
+        # Takers of a target stand side by side, so the other view is at place ^ 1.
+        now = [(takers[i ^ 1].model, checked(takers[i ^ 1])[1]) for i in range(len(takers))]
+        tried = [
+            Taker(t.target, t.view, t.model, [], [*((m, c, 0.0) for m, c, _ in t.givers), (*giver, 1.0)])
+            for t, giver in zip(takers, now)
+        ]
+        sure = _over_unlabelled(stored, tried, counting=True)
+        if not any(n for n, _, _ in sure):
+            break  # the models stay as they are, and so would what they are sure of
+        moving = []
+        for taker, (model, check), found in zip(takers, now, sure):
+            if found[0]:
+                each = min(1.0, PASSED_ON * len(fitted[taker.target]) / found[0])
+                taker.givers.append((model, check, each))
+                taker.moments = [a + each * b for a, b in zip(taker.moments, found)]
+                mean, squares = (m / taker.moments[0] for m in taker.moments[1:])
+                scale = np.sqrt(np.maximum(squares - mean**2, 0)) + 1e-3
+                # A new model, as the one of this round may have given to the other view.
+                taker.model = taker.model.rescaled(mean, scale)
+                moving.append(taker)
+        for _ in range(STEPS):
+            sums = _over_unlabelled(stored, moving)
+            still = []
+            for taker, (_, slope, bend) in zip(moving, sums):
+                rows = fitted[taker.target]
+                own = taker.model.sums(views[taker.view][rows], labels[rows, taker.target])
+                if taker.model.step(own[0] + slope, own[1] + bend) >= 1e-4:
+                    still.append(taker)
+            moving = still
+            if not moving:
+                break
+    out: list[Target | None] = [None] * len(TARGETS)
+    for text, meta in zip(takers[::2], takers[1::2]):
+        y = labels[judged[text.target], text.target]
+        (a, by_text), (b, by_meta) = checked(text), checked(meta)
+        both = np.stack([by_text.logit(a), by_meta.logit(b)], axis=1)
+        joined = Logistic.fit(both, y, CALIBRATION_PENALTY)
+        out[text.target] = Target(text.model, meta.model, [by_text, by_meta], joined)
+    return out
 
 
 def _rows(docs: DataFrame, *first: Column) -> DataFrame:
@@ -247,34 +399,34 @@ def _rows(docs: DataFrame, *first: Column) -> DataFrame:
 
 
 def _views(shared) -> Callable:
-    """The views of sampled documents, as bytes of their arrays."""
+    """The views of all documents, as bytes of their arrays, and the labels drawn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = opened(shared)
+        model, known = opened(shared)
         for part, data, offsets in blocks(batches):
             text = model.text_view(data, offsets)
+            meta = model.meta_view(*(part.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
+            ids = part.column("doc_id")
+            label = np.array([known.get(i, (-1, -1)) for i in ids.to_pylist()], np.int32).reshape(-1, 2)
             yield pa.record_batch(
                 [
-                    *(part.column(c) for c in ("doc_id", "source", "lang", "n_chars")),
-                    pa.array([row.tobytes() for row in text], pa.binary()),
+                    ids,
+                    *(pa.array(c, pa.int32()) for c in label.T),
+                    *(pa.array([row.tobytes() for row in v], pa.binary()) for v in (text, meta)),
                 ],
-                names=["doc_id", "source", "lang", "n_chars", "view"],
+                names=["doc_id", *TARGETS, "text_view", "meta_view"],
             )
 
     return run
 
 
-def fit(
-    docs: DataFrame,
-    labels: DataFrame,
-    max_labelled: int = MAX_LABELLED,
-    max_unlabelled: int = MAX_UNLABELLED,
-) -> Model:
-    """Fit on at most so many labelled and unlabelled documents, drawn by a hash of the id.
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
+    """Fit on at most so many labelled documents, drawn by a hash of the id, and all others.
 
     Rows of ``labels`` without an id or without both labels are left out, and of
     those that repeat an id the greatest labels count. Documents with a label in
-    the draw are found by a broadcast of the drawn ids.
+    the draw are found by a broadcast of the drawn ids. The views of all documents
+    are in the shared folder while this runs.
     """
     spark = docs.sparkSession
     context = spark.sparkContext
@@ -324,31 +476,26 @@ def fit(
     tokens = np.array(list(odds), dtype=np.int64).view(np.uint64)
     order = np.argsort(tokens)
     model.tokens, model.odds = tokens[order], np.array(list(odds.values())).reshape(-1, 2)[order]
-    n_docs = rows.count()
-    rate = max(1, n_docs // max(1, 2 * max_unlabelled))
-    others = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rate)) == 0)
-    others = others.join(F.broadcast(ids), "doc_id", "left_anti").limit(max_unlabelled)
-    views = labelled.unionByName(others).mapInArrow(
-        _views(shipped(spark, model)), f"doc_id bigint, {META}, view binary"
-    )
-    found = views.toArrow().sort_by([("doc_id", "ascending")])
-    if not found.num_rows:
-        return model
-    source, lang, n_chars = (found.column(c).to_pylist() for c in ("source", "lang", "n_chars"))
-    for name, column in (("source", source), ("lang", lang)):
-        count: dict[str, int] = {}
-        for value in column:
-            count[value] = count.get(value, 0) + 1
-        common = sorted(count, key=lambda v: (-count[v], str(v)))[:256]
-        model.values[name] = {v: i for i, v in enumerate(common) if v is not None}
-    text = np.frombuffer(b"".join(found.column("view").to_pylist()), np.float32)
-    text = text.reshape(found.num_rows, -1)
-    meta = model.meta_view(source, lang, n_chars)
-    order = np.array([i if i is not None else -1 for i in found.column("doc_id").to_pylist()])
-    label = np.array([known.get(i, (-1, -1)) for i in order.tolist()]).reshape(-1, 2)
-    held = (order * 0x9E3779B1 >> 7) % HELD_BACK == 0
-    for place, target in enumerate(TARGETS):
-        model.targets[target] = co_train(text, meta, label[:, place], held)
+    for name in ("source", "lang"):
+        common = rows.groupBy(name).count().where(F.col(name).isNotNull())
+        common = common.orderBy(F.desc("count"), name).limit(256).collect()
+        model.values[name] = {r[name]: i for i, r in enumerate(common)}
+    path = new_path(spark, "quality_views")
+    try:
+        rows.mapInArrow(
+            _views(shipped(spark, (model, known))),
+            "doc_id bigint, low int, toxic int, text_view binary, meta_view binary",
+        ).write.parquet(path)
+        stored = spark.read.parquet(path)
+        found = stored.where("low >= 0 OR toxic >= 0").toArrow()
+        if found.num_rows:
+            order = [(c, "ascending") for c in ("doc_id", "text_view", "meta_view")]
+            found = found.sort_by(order)
+            views, label = _matrices(found)
+            held = (found.column("doc_id").to_numpy() * 0x9E3779B1 >> 7) % HELD_BACK == 0
+            model.targets = dict(zip(TARGETS, co_train(stored, views, label, held)))
+    finally:
+        remove(spark, path)
     return model
 
 
