@@ -21,6 +21,34 @@ def test_article_without_what_surrounds_it():
     assert text_of(inner) == "Title & more\nOne two.\nThree"
 
 
+def test_wrappers_do_not_drop_an_article():
+    main = "<main><h1>Title</h1><p>Text</main>"
+    for wrapper in (
+        'div class="content-sidebar-wrap"', 'div class="layout with-sidebar"', 'div class="page no-sidebar"',
+        'div class="overflow-hidden"', 'div style="overflow:hidden"', "div class=sidebar", 'div data-hidden="1"',
+        "div aria-hidden='false'", "form id=aspnetForm", "header class=menu",
+    ):
+        end = wrapper.split()[0]
+        for inner in (main, main.replace("main", "article")):
+            assert text_of(f"<{wrapper}>{inner}</{end}><footer>us</footer>") == "Title\nText", wrapper
+    for mark in ('class="overflow-hidden"', 'style="overflow:hidden"', 'class="with-sidebar"'):
+        assert text_of(f"<article {mark}><p>Text</article>") == "Text"
+        page = f"<html><body {mark}><article><p>Text</article></body></html>"
+        assert main_text(lines_of(page), None) == "Text"
+
+
+def test_names_and_hiding_inside_an_article():
+    inner = "<article><p>Text<section class='related-work'><p>Related work</section>{}</article>"
+    for beside in (
+        "<div class='box ad'>Buy</div>", "<div class=ad-slot>Buy</div>", "<div id=related-posts>More</div>",
+        "<div hidden>Gone</div>", "<div style='color:red; display: none'>Gone</div>", "<div hidden=hidden>Gone</div>",
+        "<div id=comments><article>Nice!</article></div>",
+    ):
+        assert main_text(lines_of(inner.replace("{}", beside)), None) == "Text\nRelated work", beside
+    shown = "<div hidden><article>Gone</article></div><article>Shown</article>"
+    assert text_of(shown) == "Shown"
+
+
 def test_shared_lines_go_unless_they_are_of_an_article():
     a = "<div>Home</div><div>Own text</div><div>Contact</div>"
     b = "<div>Home</div><div>Other text</div><div>Contact</div>"

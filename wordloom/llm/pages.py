@@ -34,6 +34,8 @@ ASIDE = {
     "noscript", "template", "iframe", "object", "svg", "math", "canvas", "head", "title",
 }
 HEADER = "header"
+LOOSE = {HEADER, "form"}  # may stand around a whole page
+WHOLE = {"html", "body"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp"}
 CONTAINERS = ASIDE | MAIN | {
     HEADER, "body", "html", "div", "section", "ul", "ol", "dl", "table", "figure", "blockquote",
@@ -45,12 +47,16 @@ BLOCKS = CONTAINERS | {
 }
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "wbr", "source"}
 
-# Names in class, id and role that mark text beside the article.
+# Whole tokens of class, id and role that mark text beside the article: a name, or a name and
+# a word for a box. Names inside other tokens, as in with-sidebar or related-work, mark nothing.
 ASIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookies?|consent|notices?|alerts?"
-    r"|popup|modal|newsletter|subscribe|signup|login|search|share|sharing|social|related"
-    r"|recommend\w*|sidebar|side-bar|widget|menu|nav\w*|breadcrumbs?|pagination|footer|comments?"
-    r"|replies|disqus|complementary|contentinfo|masthead|topbar|skip\w*|toolbar)(?:$|[\s_-])",
+    r"(?:(?:site|global)[_-])?"
+    r"(?:ads?|advert(?:s|ising|isements?)?|sponsor(?:s|ed)?|promo(?:s|tions?|ted)?|banners?|cookies?|consent"
+    r"|notices?|alerts?|popup|modal|newsletter|subscribe|signup|login|search|share|sharing|social|related"
+    r"|recommend(?:ed|ations?)|sidebar|side-bar|widget|menu|nav(?:bar|igation)?|breadcrumbs?|pagination"
+    r"|footer|comments?|replies|disqus|complementary|contentinfo|masthead|topbar|skip(?:-?links?)?|toolbar)"
+    r"(?:[_-](?:slot|box|unit|banner|bar|buttons?|links?|icons?|list|posts|articles|stories|form|popup|modal"
+    r"|widget|menu|nav|notice))?",
     re.I,
 )
 
@@ -60,22 +66,43 @@ TOKEN = re.compile(
     r"|([^<]+|<)",
     re.S,
 )
-NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NAMING = {"class", "id", "role"}
+NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+
+# Share of the characters from which two pages without a main element are copies of each other.
+COPY = 0.9
 
 URL_PARTS = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://([^/?#]*))?([^?#]*)"
 
 
+def _marks(attributes: str) -> tuple[bool, bool]:
+    """Whether the attributes of an element hide it, and name it as beside the article."""
+    hidden = named = False
+    for found in ATTRIBUTE.finditer(attributes):
+        name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if name == "hidden":
+            hidden = hidden or value.lower() in ("", "hidden", "true")
+        elif name == "style":
+            hidden = hidden or bool(NOT_SHOWN.search(value))
+        elif name in NAMING:
+            named = named or any(ASIDE_NAMES.fullmatch(x) for x in value.split())
+    return hidden, named
+
+
 def lines_of(page: str) -> list[tuple[str, bool, bool]]:
     """(text, in an article, beside the article) of each block of a page."""
     out: list[tuple[str, bool, bool]] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    # Of each open element its name, whether it is in main text and in an article, and whether it
+    # is beside the article: for good, or until an article or main begins inside it.
+    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
 
     def flush() -> None:
         line = " ".join("".join(text).split())
         if line:
-            out.append((line, *stack[-1][1:]))
+            _, main, _, aside, until = stack[-1]
+            out.append((line, main, aside or until))
         text.clear()
 
     at, size = 0, len(page)
@@ -105,14 +132,16 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
             at = end.end() if end else size
             continue
         if name in CONTAINERS and name not in VOID and not attributes.endswith("/"):
-            _, main, aside = stack[-1]
-            names = " ".join(x[1] or x[2] or x[3] for x in NAMES.findall(attributes))
-            aside = aside or name in ASIDE or (name == HEADER and not main)
-            if name not in MAIN and name not in ("body", "html"):
-                aside = aside or bool(ASIDE_NAMES.search(names))
-            if HIDDEN.search(attributes):
-                aside = True
-            stack.append((name, main or name in MAIN, aside))
+            _, main, article, aside, until = stack[-1]
+            hidden, named = _marks(attributes)
+            if name in MAIN:
+                until = until and article
+            elif name in LOOSE:
+                until = until or name != HEADER or not main
+            if name not in MAIN and name not in WHOLE:
+                until = until or named
+            aside = aside or (name in ASIDE and name not in LOOSE) or (hidden and name not in WHOLE)
+            stack.append((name, main or name in MAIN, article or name == "article", aside, until))
     flush()
     return out
 
