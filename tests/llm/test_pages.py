@@ -58,6 +58,17 @@ def test_shared_lines_go_unless_they_are_of_an_article():
     assert text_of(article, article) == "Copied"
 
 
+def test_copies_without_an_article_keep_their_text(spark):
+    inner = "<nav>Home</nav><div>Contact</div>" + "".join(f"<p>Paragraph {i} of the text</p>" for i in range(20))
+    own = inner + "<p>Print</p>"
+    want = "\n".join(["Contact", *(f"Paragraph {i} of the text" for i in range(20))])
+    rows = [(1, "http://a.example/x", page(inner)), (2, "http://a.example/x;sid=1", page(inner))]
+    rows += [(3, "http://a.example/x;sid=1/print", page(own))]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract_main_text(pages).collect()}
+    assert got == {1: want, 2: want, 3: want + "\nPrint"}
+
+
 def test_longest_common_subsequence():
     def length(a, b):
         table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]

@@ -7,7 +7,8 @@ to the page, are deleted.
 
 Sharing alone is wrong both ways: copies of an article share all lines, and
 adverts differ from page to page. So shared lines inside an article element
-stay, and lines inside elements that are no article text go even if unshared.
+stay, and so do those of a page without one that is a copy of its neighbour;
+lines inside elements that are no article text go even if unshared.
 """
 
 from __future__ import annotations
@@ -183,10 +184,21 @@ def _common(a: str, b: str) -> int:
 def main_text(
     own: list[tuple[str, bool, bool]], other: list[tuple[str, bool, bool]] | None
 ) -> str:
-    """The lines of a page that are its own, set against those of its neighbour."""
+    """The lines of a page that are its own, set against those of its neighbour.
+
+    Of two pages without a main element that share nearly all text, one is a copy
+    of the other, and what they share tells nothing: then shared lines stay.
+    """
     texts = [line for line, _, _ in own]
     common = shared(texts, [line for line, _, _ in other]) if other else [False] * len(own)
     has_main = any(main and not aside for _, main, aside in own)
+    if other and not has_main:
+        size, size_other, both = (
+            sum(len(line) for line, _, aside in page if not aside)
+            for page in (own, other, [x for x, c in zip(own, common) if c])
+        )
+        if both >= COPY * max(size, size_other):
+            common = [False] * len(own)
     kept = []
     for (line, main, aside), both in zip(own, common):
         if aside or (has_main and not main) or (both and not main):
