@@ -77,6 +77,17 @@ def test_kept_documents_keep_their_columns(spark):
     assert 20 not in ids and 13 in ids and 30 not in ids and 50 in ids and 51 in ids
 
 
+def test_one_row_of_a_component_stays_whatever_the_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join([*words[:i], "edit", *words[i + 1 :]]) for i in range(12)]
+    far = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, t) for t in near] + [(None, far), (None, far), (7, far + " a"), (None, ""), (8, None)]
+    rows += [(9, t.replace("w", "x")) for t in near]
+    left = near_duplicates.without_near_duplicates(frame(spark, rows), 3, 70).collect()
+    kept = [(r["doc_id"], (r["text"] or "")[-3:-2]) for r in left]
+    assert sorted(kept, key=repr) == sorted([(None, "w"), (None, "v"), (None, ""), (8, ""), (9, "x")], key=repr)
+
+
 def contaminated(docs, items, size=10):
     windows = []
     for item, text in items:

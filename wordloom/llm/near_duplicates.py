@@ -321,20 +321,8 @@ def similar_classes(
     return labels
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
-) -> DataFrame:
-    """(doc_id, _id, _h, n_shingles, component_id, kept), one row per row of ``docs``.
-
-    A set of ``shingle``-word shingles, lower case A-Z, links with those of which
-    the intersection is at least ``percent`` hundredths of the union. A text with
-    fewer words is one shingle as a whole; one without words, null included, is
-    linked with nothing. ``component_id`` is the least doc_id of the component,
-    null standing before all numbers; ``kept`` tells whether it is the row's own.
-    Of rows that repeat a doc_id with another text, each is a document. Other
-    columns are not read. (``_id``, ``_h``) names the row in ``identified(docs)``.
-    Shingles are told apart by 64-bit hashes.
-    """
+def _with_least(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(doc_id, _id, _h, n_shingles, least, ...): each row with the least node of its component."""
     keyed = identified(docs)
     features = _kept(keyed.mapInArrow(_features(shingle, BANDS, ROWS), FEATURES))
     classes = features.where("n_shingles > 0").groupBy("set1", "set2")
@@ -352,10 +340,28 @@ def near_duplicates(
         least = least.join(labels, "node", "left").select(
             "set1", "set2", F.coalesce("label", "node").alias("node")
         )
-    least = least.select("set1", "set2", F.col("node._id").alias("least"))
+    least = least.withColumnRenamed("node", "least")
     rows = features.drop("bands").join(least, ["set1", "set2"], "left")
-    least_id = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("_id"))
-    return rows.select(
+    own = F.struct("_id", "_h")
+    return rows.withColumn("least", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(own))
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """(doc_id, _id, _h, n_shingles, component_id, kept), one row per row of ``docs``.
+
+    A set of ``shingle``-word shingles, lower case A-Z, links with those of which
+    the intersection is at least ``percent`` hundredths of the union. A text with
+    fewer words is one shingle as a whole; one without words, null included, is
+    linked with nothing. ``component_id`` is the least doc_id of the component,
+    null standing before all numbers; ``kept`` tells whether it is the row's own.
+    Of rows that repeat a doc_id with another text, each is a document. Other
+    columns are not read. (``_id``, ``_h``) names the row in ``identified(docs)``.
+    Shingles are told apart by 64-bit hashes.
+    """
+    least_id = F.col("least._id")
+    return _with_least(docs, shingle, percent).select(
         "doc_id",
         "_id",
         "_h",
@@ -368,12 +374,13 @@ def near_duplicates(
 def without_near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """The rows of ``docs``, with all columns, that are kept: one of each component.
+    """One row of each component of ``docs``, with all columns: that of the least id.
 
-    Of rows with the same doc_id and text one stays; of other rows that share the
-    least id of a component, all.
+    Of rows of a component that share the least id, the one with the least hash of
+    the text. Of rows without words, those with the same doc_id and text are one.
     """
-    kept = near_duplicates(docs, shingle, percent).where("kept").select("_id", "_h").distinct()
+    kept = _with_least(docs, shingle, percent).where(F.col("least") == F.struct("_id", "_h"))
+    kept = kept.select("_id", "_h").distinct()
     names = {"_id": "_id", "_h": "_h"}
     for name in names:
         while names[name] in docs.columns:
