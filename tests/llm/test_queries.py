@@ -31,9 +31,9 @@ def texts(spark):
     return {r["doc_id"]: r["text"] or "" for r in rows}
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = {name.split("_")[0] for name in QUERIES}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 

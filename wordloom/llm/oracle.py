@@ -110,9 +110,30 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
+EMBEDDING_LINKS = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, CASE WHEN len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        THEN list_transform(embedding, lambda x: x::DOUBLE) END AS v
+    FROM embeddings),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM vectors
+    UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": REPEATED_WORDS,
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op6_suffix_array_dedup": REPEATED_BYTES,
     "op9_decontamination": CONTAMINATION,
+    "op11_embedding_links": EMBEDDING_LINKS,
 }

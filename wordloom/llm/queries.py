@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wordloom.llm.backoff import backoff_scores
 from wordloom.llm.byte_bpe import round_trip
 from wordloom.llm.decontamination import contamination
+from wordloom.llm.embedding_links import embedding_links
 from wordloom.llm.fingerprints import fingerprint_documents
 from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.oracle import ORACLE
@@ -79,6 +80,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("edited_sha256", edited).drop("edited_text")
 
 
+def op11_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontamination": op9_decontamination,
     "op10_fingerprints": op10_fingerprints,
+    "op11_embedding_links": op11_embedding_links,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
