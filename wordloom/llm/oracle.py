@@ -130,10 +130,59 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM vectors JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
 """
 
+# crc(bytes) by the table of the polynomial, which is made from its rule.
+PREFIX_TRIE = """
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+        xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS crc
+    FROM (SELECT unnest(range(256)) AS i)),
+turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+            md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p,
+        md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w
+    FROM conversations),
+own AS (
+    SELECT conv_id, list(id ORDER BY p) AS ids, list(w ORDER BY p) AS ws FROM turns GROUP BY conv_id),
+hashed AS (
+    SELECT conv_id, ids, ws, xor(list_reduce(
+        list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''),
+            lambda c: ascii(c)::BIGINT)),
+        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 4 AS h
+    FROM own, crc_table),
+convs AS (
+    SELECT a.conv_id, list_concat(coalesce(b.ids, [])[1:a.h], a.ids[a.h + 1:]) AS ids,
+        list_concat(coalesce(b.ws, [])[1:a.h], a.ws[a.h + 1:]) AS ws
+    FROM hashed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+members AS (
+    SELECT conv_id, d AS depth, array_to_string(ids[1:d], '') AS path,
+        array_to_string(ids[1:d - 1], '') AS above, coalesce(ws[d], 0) AS w, d = len(ids) AS ending
+    FROM (SELECT *, unnest(range(len(ids) + 1)) AS d FROM convs)),
+nodes AS (
+    SELECT path, depth, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+        any_value(w) AS w,
+        coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (ending), '') AS ends
+    FROM members GROUP BY path, depth),
+children AS (
+    SELECT p.path, count(c.path) AS n_children
+    FROM nodes p LEFT JOIN nodes c ON c.above = p.path AND c.depth = p.depth + 1 GROUP BY p.path),
+below AS (
+    SELECT a.path, count(*) FILTER (n_children = 0) AS n_leaves,
+        sum(CASE WHEN b.depth > 0 THEN (b.n_convs - 1) * b.w ELSE 0 END) AS saved
+    FROM nodes a JOIN nodes b ON starts_with(b.path, a.path) JOIN children c ON c.path = b.path
+    GROUP BY a.path)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+    n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+    sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN children USING (path) JOIN below USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.above
+"""
+
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": REPEATED_WORDS,
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op6_suffix_array_dedup": REPEATED_BYTES,
     "op9_decontamination": CONTAMINATION,
     "op11_embedding_links": EMBEDDING_LINKS,
+    "op12_prefix_trie": PREFIX_TRIE,
 }

@@ -16,6 +16,7 @@ from wordloom.llm.fingerprints import fingerprint_documents
 from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.oracle import ORACLE
 from wordloom.llm.pages import extract_main_text
+from wordloom.llm.prefix_trie import prefix_trie
 from wordloom.llm.quality import score
 from wordloom.llm.substring_dedup import without_repeated_words
 from wordloom.llm.suffix_dedup import without_repeated_bytes
@@ -84,6 +85,10 @@ def op11_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_fingerprints": op10_fingerprints,
     "op11_embedding_links": op11_embedding_links,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
