@@ -15,6 +15,7 @@ import tiktoken
 from __spark_entry__ import oracle_sql, queries
 from check_oracle import connect, difference, type_difference
 from tests.llm.katz import Model
+from tests.llm.test_alignment import brute as aligned
 from wordloom.llm import fingerprints
 from wordloom.llm.queries import ORACLE, QUERIES
 
@@ -139,3 +140,8 @@ def test_quality_on_labelled_documents(spark):
     clean = [r for r in labels if r["quality"] == 1 and r["toxic"] == 0 and not got[r["doc_id"]]["kept"]]
     missed = [r for r in labels if r["toxic"] == 1 and got[r["doc_id"]]["toxic_score"] < 0.5]
     assert len(low) <= 4 and len(clean) <= 4 and len(missed) <= 30
+
+
+def test_token_alignment(spark, texts):
+    got = rows_of(spark, "op13_token_alignment")
+    assert {i: tuple(r.values())[1:] for i, r in got.items()} == dict(zip(texts, aligned(texts.values())))

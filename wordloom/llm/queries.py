@@ -20,10 +20,12 @@ from wordloom.llm.prefix_trie import prefix_trie
 from wordloom.llm.quality import score
 from wordloom.llm.substring_dedup import without_repeated_words
 from wordloom.llm.suffix_dedup import without_repeated_bytes
+from wordloom.llm.token_alignment import align_tokens
 from wordloom.llm.token_counts import count_tokens
 
 # The tokenizer files of the queries, as parameters.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -89,6 +91,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECE_MODEL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
@@ -102,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
     "op11_embedding_links": op11_embedding_links,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
