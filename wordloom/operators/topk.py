@@ -19,7 +19,7 @@ ANSWER = [
 ]
 
 
-def _best_first() -> list[Column]:
+def best_first() -> list[Column]:
     return [F.desc("occurrences"), F.asc("doc_id")]
 
 
@@ -56,7 +56,12 @@ def top_postings(posts: DataFrame, entity_ids: DataFrame, k: int = TOP) -> DataF
     Only ids of the entities take part here. Their names and lists are joined
     to what is left after the cut.
     """
-    return top_per_key(match_words(posts, entity_ids), "word", _best_first(), k, ["doc_id"])
+    return top_matched(match_words(posts, entity_ids), k)
+
+
+def top_matched(posts: DataFrame, k: int = TOP) -> DataFrame:
+    """(word, doc_id, occurrences, rank): k per word, for postings of entities."""
+    return top_per_key(posts, "word", best_first(), k, ["doc_id"])
 
 
 def few_hits(words: WordSet, k: int = TOP) -> bool:
@@ -97,4 +102,4 @@ def best_of_word(posts: DataFrame, entity_ids: DataFrame, word: str, k: int = TO
     keeps k rows per partition.
     """
     hits = match_words(posts.where(F.col("word") == word), entity_ids)
-    return hits.orderBy(*_best_first()).limit(k)
+    return hits.orderBy(*best_first()).limit(k)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import clean, tokenize
+from wordloom.operators.bitmaps import bitmaps_fit, filter_by_bitmaps
 from wordloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, salted_join, size_of
 from wordloom.scratch import use_shared_checkpoints
 
@@ -75,6 +76,8 @@ def keep_query_words(
 def _joined(rows: DataFrame, words: WordSet, how: str, broadcast_rows: int) -> DataFrame:
     if words.fits(max_rows=broadcast_rows):
         return rows.join(F.broadcast(words.frame), "word", how)
+    if bitmaps_fit(words.rows):
+        return filter_by_bitmaps(rows, words.frame, words.rows, how)
     return salted_join(rows, words.frame, ["word"], how, ["doc_id"])
 
 

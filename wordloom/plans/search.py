@@ -16,6 +16,7 @@ from wordloom.operators.topk import (
     few_ids,
     restrict_literally,
     search,
+    top_matched,
     top_postings,
 )
 from wordloom.operators.words import WordList, word_set
@@ -41,6 +42,25 @@ def search_tables(
     return search(top, entities, words, few_hits(wanted, k))
 
 
+def search_bucketed(
+    posts: DataFrame, entities: DataFrame, words: DataFrame, k: int = TOP
+) -> DataFrame:
+    """As ``search_tables``, for tables stored in the same buckets, of ``doc_id`` and ``entity_id``.
+
+    Postings meet the ids of the entities bucket by bucket, so that neither moves,
+    however many postings the words have.
+    """
+    wanted = word_set(posts, words)
+    ids = entities.where(F.col("part") == 0).select(F.col("entity_id").alias("doc_id"))
+    use_shared_checkpoints(posts.sparkSession)
+    met = keep_query_words(posts, wanted).join(ids.hint("merge"), "doc_id")
+    top = top_matched(met.select(*posts.columns), k).checkpoint()
+    found = few_ids(top)
+    if found is not None:
+        entities = restrict_literally(entities, found)
+    return search(top, entities, words, few_hits(wanted, k))
+
+
 def search_documents(
     docs: DataFrame,
     parents: DataFrame,

@@ -1,3 +1,4 @@
+from wordloom.sources.buckets import write_bucketed
 from wordloom.sources.lines import (
     parse_children,
     parse_documents,
@@ -20,9 +21,11 @@ from wordloom.sources.readers import (
     split_rejected,
     strict,
 )
+from wordloom.sources.upsert import create_ranged, read_ranged, upsert
 from wordloom.sources.writers import write_delimited, write_entity_text, write_table
 
 __all__ = [
+    "create_ranged",
     "parse_children",
     "parse_documents",
     "parse_entities",
@@ -35,12 +38,15 @@ __all__ = [
     "read_parents",
     "read_postings",
     "read_query_words",
+    "read_ranged",
     "read_stop_words",
     "read_table",
     "split_rejected",
     "stop_words_from_lines",
     "strict",
     "tokens_from_lines",
+    "upsert",
+    "write_bucketed",
     "write_delimited",
     "write_entity_text",
     "write_table",
