@@ -1,8 +1,9 @@
 """Where the tokens of two vocabularies end together, and how often their ids do so.
 
-A task encodes a block of texts by both vocabularies and merges the ends of
-their tokens by paths: diagonals at equal distances, found by binary search, cut
-the merge into pieces of equal work, whatever the lengths of the texts. Each
+Texts fall apart at white space that no token of either vocabulary reaches over, so a
+task encodes and merges each distinct part once. The ends of the tokens of all new
+parts of a block are merged by paths: diagonals at equal distances, found by binary search, cut
+the merge into pieces of equal work, whatever the lengths of the parts. Each
 piece emits the ends that both have; an end that a diagonal parts is found at the
 seam, and groups that reach over seams close at the next common end.
 
@@ -13,7 +14,11 @@ broadcast table of bounded size; only the rare ones are joined.
 from __future__ import annotations
 
 import hashlib
+import json
+import os
+import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +31,7 @@ from wordloom.scratch import new_path
 
 PIECE = 16_384  # token ends that a piece of the merge reads
 BLOCK_BYTES = 1024 * 1024  # of texts that are encoded and merged at once
+CACHE_PARTS, CACHE_BYTES = 300_000, 32 * 1024 * 1024  # that a task remembers; beyond, it starts anew
 TABLE_PAIRS = 1 << 19  # id pairs of the broadcast table, at most
 STEPS = 8  # counts are told apart by so many steps a doubling when the table is chosen
 
@@ -33,6 +39,13 @@ STEPS = 8  # counts are told apart by so many steps a doubling when the table is
 MARK = "▁"
 PLAIN_BYTES = [(0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)]
 
+# A part is blanks and line ends with all up to the next ones. Before them words end in either
+# vocabulary, unless other white space or an odd character stands there.
+PARTS = re.compile("[ \n]+[^ \n]*|[^ \n]+")
+OTHER_SPACE = re.compile(
+    "[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
+)
+
 ALIGNED = (
     "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint,"
     " groups_sha256 string, pairs array<bigint>, times array<int>"
@@ -51,8 +64,6 @@ class Vocabularies:
     """Both encoders, and for each the bytes of every id."""
 
     def __init__(self, byte_level: bytes, pieces: bytes):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
@@ -70,25 +81,49 @@ class Vocabularies:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.size_a = np.array([len(x) for x in self.bytes_a])
         self.size_b = np.array([len(x) for x in self.bytes_b])
+        form = json.loads(byte_level)
+        first = form.get("pre_tokenizer") or {}
+        words = first.get("type") == "ByteLevel" and first.get("use_regex", True)
+        inside = any(MARK in x.lstrip(MARK) or "\n" in x for x in self._plain_pieces())
+        same = f"{MARK} aﬁ b  ".replace(" ", MARK)
+        self.falls_apart = bool(
+            words and not form.get("normalizer") and not inside and self.b.normalize(" aﬁ b  ") == same
+        )
+        self.front = len(self.b.encode("\n"))
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode()
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """The ids by both; none for texts whose bytes they do not give back."""
-        spaced = [" " + text for text in texts]
-        first = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        second = self.b.encode(texts, num_threads=1)
-        out = []
-        for text, spaced_text, x, y in zip(texts, spaced, first, second):
-            a, want = x.ids, spaced_text.encode()
-            same = text and all(
-                b"".join(map(table.__getitem__, ids)) == want
-                for table, ids in ((self.bytes_a, a), (self.bytes_b, y))
-            )
-            out.append((a, y) if same else ([], []))
-        return out
+    def _plain_pieces(self) -> list[str]:
+        return [self.b.id_to_piece(i) for i in range(self.b.get_piece_size()) if not self.b.is_byte(i)]
+
+    def parts(self, text: str) -> list[str]:
+        """Space and text, cut before blanks and line ends where that is safe, else as one part."""
+        spaced = " " + text
+        if not self.falls_apart or OTHER_SPACE.search(spaced):
+            return [spaced]
+        return PARTS.findall(spaced)
+
+    def encode(self, parts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """(ids, number of ids of each part) by both, and which parts both give back byte by byte."""
+        first = [x.ids for x in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+        if self.falls_apart:  # no piece reaches over the line end put in front
+            second = [x[self.front :] for x in self.b.encode(["\n" + p for p in parts], num_threads=1)]
+        else:
+            second = self.b.encode([p[1:] for p in parts], num_threads=1)
+        same, want = np.ones(len(parts), dtype=bool), list(map(str.encode, parts))
+        joined = b"".join(want)
+        sizes = np.array(list(map(len, want)))
+        ids, counts = [], []
+        for found, table, size in ((first, self.bytes_a, self.size_a), (second, self.bytes_b, self.size_b)):
+            counts.append(np.array(list(map(len, found))))
+            flat = list(chain.from_iterable(found))
+            ids.append(np.array(flat, np.int64))
+            ends = np.concatenate([[0], np.cumsum(size[ids[-1]])])[np.cumsum(counts[-1])]
+            if not np.array_equal(ends, np.cumsum(sizes)) or b"".join(map(table.__getitem__, flat)) != joined:
+                same &= [b"".join(map(table.__getitem__, x)) == w for x, w in zip(found, want)]
+        return ids, counts, same
 
 
 def cuts(a: np.ndarray, b: np.ndarray, piece: int) -> np.ndarray:
@@ -125,13 +160,72 @@ def common_ends(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[np.nd
     return tuple(np.concatenate([none, *x]).astype(np.int64) for x in (found_a, found_b))
 
 
+class Aligned:
+    """What is known of parts, by number: tokens and groups, groups as text, linked pairs."""
+
+    def __init__(self, both: Vocabularies):
+        self.both = both
+        last = [[f"{i},".encode(), f"{i}|".encode()] for i in range(len(both.bytes_a))]
+        self.offset = 2 * len(last)
+        last += [[f"{i},".encode(), f"{i};".encode()] for i in range(len(both.bytes_b))]
+        self.written = [x for pair in last for x in pair]
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.texts: list[bytes] = []
+        self.size = 0  # bytes of the texts
+        self.same = np.zeros(0, dtype=bool)  # whether both vocabularies give the part back
+        self.counts = np.zeros((0, 3), np.int64)  # n_a, n_b, n_groups
+        self.begins = np.zeros(0, np.int64)  # of a part's pairs, one for each group
+        self.pairs = np.zeros(0, np.int64)
+
+    def numbers(self, parts: list[str]) -> np.ndarray:
+        """The number of each part; new ones are encoded and merged."""
+        new = list(dict.fromkeys(p for p in parts if p not in self.number))
+        at = 0
+        while at < len(new):
+            end, size = at, 0
+            while end < len(new) and (end == at or size + len(new[end]) <= BLOCK_BYTES):
+                size += len(new[end])
+                end += 1
+            self._learn(new[at:end])
+            at = end
+        return np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+
+    def _learn(self, parts: list[str]) -> None:
+        (a, b), (n_a, n_b), same = self.both.encode(parts)
+        if not same.all():  # such parts have no tokens
+            a, b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)]
+            n_a, n_b = n_a * same, n_b * same
+        i, j = common_ends(np.cumsum(self.both.size_a[a]), np.cumsum(self.both.size_b[b]))
+        # The end of a part is one of both, so groups of different parts stay apart.
+        closes_a, closes_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        closes_a[i], closes_b[j] = 1, 1
+        n_groups = np.diff(np.concatenate([[0], np.cumsum(closes_a)])[np.cumsum(n_a)], prepend=0)
+        # Each token's place when groups are written one after another, those of A first.
+        order = np.empty(len(a) + len(b), np.int64)
+        behind_b = np.concatenate([[0], j + 1])[np.cumsum(closes_a) - closes_a]
+        behind_a = (i + 1)[np.cumsum(closes_b) - closes_b]
+        order[np.arange(len(a)) + behind_b] = 2 * a + closes_a
+        order[np.arange(len(b)) + behind_a] = self.offset + 2 * b + closes_b
+        words = list(map(self.written.__getitem__, order.tolist()))
+        stops = np.cumsum(n_a + n_b).tolist()
+        texts = [b"".join(words[x:y]) for x, y in zip([0, *stops], stops)]
+        known = len(self.texts)
+        self.number.update(zip(parts, range(known, known + len(parts))))
+        self.texts += texts
+        self.size += sum(map(len, texts))
+        self.same = np.concatenate([self.same, same])
+        self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, n_groups], axis=1)])
+        begins = len(self.pairs) + np.cumsum(n_groups) - n_groups
+        self.begins = np.concatenate([self.begins, begins])
+        self.pairs = np.concatenate([self.pairs, (a[i] << 32) | b[j]])
+
+
 def _align(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = Vocabularies(*opened(shared))
-        last_a = [[f"{i},".encode(), f"{i}|".encode()] for i in range(len(both.bytes_a))]
-        last_b = [[f"{i},".encode(), f"{i};".encode()] for i in range(len(both.bytes_b))]
-        written = [x for pair in [*last_a, *last_b] for x in pair]
-        offset = 2 * len(last_a)
+        known = Aligned(Vocabularies(*opened(shared)))
         for batch in batches:
             ids = batch.column(0)
             texts = [text or "" for text in batch.column(1).to_pylist()]
@@ -141,48 +235,45 @@ def _align(shared) -> Callable:
                 while end < len(texts) and (end == at or size + len(texts[end]) <= BLOCK_BYTES):
                     size += len(texts[end])
                     end += 1
-                encoded = both.encode(texts[at:end])
-                yield _block(both, encoded, ids.slice(at, end - at), written, offset)
+                yield _block(known, texts[at:end], ids.slice(at, end - at))
                 at = end
 
     return run
 
 
-def _block(both: Vocabularies, encoded, doc_ids: pa.Array, written: list, offset: int) -> pa.RecordBatch:
-    n_a, n_b = (np.array([len(x[k]) for x in encoded]) for k in (0, 1))
-    a, b = (np.concatenate([np.array(x[k], np.int64) for x in encoded]) for k in (0, 1))
-    i, j = common_ends(np.cumsum(both.size_a[a]), np.cumsum(both.size_b[b]))
-    doc = np.searchsorted(np.cumsum(n_a), i, side="right")
-    n_groups = np.bincount(doc, minlength=len(encoded))
-
-    # Each token's place when groups are written one after another, those of A first.
-    group_a = np.searchsorted(i, np.arange(len(a)))
-    group_b = np.searchsorted(j, np.arange(len(b)))
-    before_b = np.concatenate([[0], j + 1])
-    order = np.empty(len(a) + len(b), np.int64)
-    order[np.arange(len(a)) + before_b[group_a]] = 2 * a + np.isin(np.arange(len(a)), i)
-    order[np.arange(len(b)) + (i + 1)[group_b]] = offset + 2 * b + np.isin(np.arange(len(b)), j)
-    ends = np.cumsum(n_a + n_b)
-    digests = [
-        hashlib.sha256(b"".join(map(written.__getitem__, order[end - n : end].tolist()))[:-1]).hexdigest()
-        if n
-        else ""
-        for n, end in zip((n_a + n_b).tolist(), ends.tolist())
-    ]
-
-    pair = (a[i] << 32) | b[j]
+def _block(known: Aligned, texts: list[str], doc_ids: pa.Array) -> pa.RecordBatch:
+    split = [known.both.parts(text) if text else [] for text in texts]
+    at = known.numbers(list(chain.from_iterable(split)))
+    n_parts = np.array(list(map(len, split)))
+    row = np.repeat(np.arange(len(texts)), n_parts)
+    broken = np.bincount(row, ~known.same[at], len(texts)) > 0
+    at, row = at[~broken[row]], row[~broken[row]]
+    n_parts = n_parts * ~broken
+    rows = np.stack([np.bincount(row, known.counts[at, k], len(texts)) for k in range(3)]).astype(np.int64)
+    digests, stop = [], np.cumsum(n_parts).tolist()
+    listed = at.tolist()
+    for first, last in zip([0, *stop], stop):
+        said = b"".join([known.texts[k] for k in listed[first:last]])
+        digests.append(hashlib.sha256(said[:-1]).hexdigest() if said else "")
+
+    n = known.counts[at, 2]
+    place = np.arange(n.sum()) + np.repeat(known.begins[at] - (np.cumsum(n) - n), n)
+    pair, doc = known.pairs[place], np.repeat(row, n)
     by = np.lexsort((pair, doc))
     doc, pair = doc[by], pair[by]
-    first = np.ones(len(pair), dtype=bool)
-    first[1:] = (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])
-    at = np.flatnonzero(first)
-    times = np.diff(np.append(at, len(pair)))
-    lists = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc[at], minlength=len(encoded)))]), pa.int32())
-    columns = [doc_ids, *(pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups, n_groups))]
+    new = np.ones(len(pair), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])
+    first = np.flatnonzero(new)
+    times = np.diff(np.append(first, len(pair)))
+    sizes = np.bincount(doc[first], minlength=len(texts))
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    if len(known.texts) > CACHE_PARTS or known.size > CACHE_BYTES:
+        known.forget()
+    columns = [doc_ids, *(pa.array(rows[k], pa.int64()) for k in (0, 1, 2, 2))]
     columns += [pa.array(digests, pa.string())]
     columns += [
-        pa.ListArray.from_arrays(lists, pa.array(pair[at], pa.int64())),
-        pa.ListArray.from_arrays(lists, pa.array(times, pa.int32())),
+        pa.ListArray.from_arrays(offsets, pa.array(pair[first], pa.int64())),
+        pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
     ]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ALIGNED.split(", ")])
 
@@ -263,7 +354,8 @@ def align_tokens(
     included; ``count_sum`` sums the counts of the pairs over the links. Texts that
     are null or empty, or that one of the vocabularies does not give back byte by
     byte, have no tokens: zeros and an empty string. Rows that repeat an id, or
-    have none, stand for themselves. Other columns are not read.
+    have none, stand for themselves. Texts with other white space than blanks and line ends are
+    encoded as a whole. Other columns are not read.
     """
     spark = docs.sparkSession
     model = [open(path, "rb").read() for path in (byte_level, pieces)]
