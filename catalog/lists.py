@@ -68,11 +68,12 @@ def sparse_positions(spark, sf_dir):
 
 def last_row_null_order(spark, sf_dir):
     """Every third turn has no number; such rows are last only among themselves."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "role", "turn")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "role", "turn", "text")
     key = F.when(F.col("turn") % 3 != 0, F.col("turn"))
     rows = turns.select(F.concat("conv_id", F.lit("-"), F.col("turn") % 2).alias("k"), "role",
-                        key.alias("pos"))
-    return last_per_key(rows, ["k"], ["pos"]).select("k", F.coalesce("pos", F.lit(-1)).alias("pos"))
+                        "text", key.alias("pos"), "turn")
+    last = last_per_key(rows, ["k"], ["pos", "turn"])
+    return last.select("k", F.coalesce("pos", F.lit(-1)).alias("pos"), "role", "text")
 
 
 QUERIES = {
@@ -137,8 +138,11 @@ ORACLE = {
         SELECT entity_id, name, n_children, children, children AS joined
         FROM ({sql_lists(CUSTOMERS, ORDERS)})""",
     "last_row_null_order": """
-        SELECT concat(conv_id, '-', turn % 2) AS k, coalesce(max(CASE WHEN turn % 3 <> 0 THEN turn END), -1) AS pos
-        FROM conversations GROUP BY ALL""",
+        SELECT k, coalesce(pos, -1) AS pos, role, text FROM (
+            SELECT *, row_number() OVER (PARTITION BY k ORDER BY pos DESC NULLS LAST, turn DESC) AS n
+            FROM (SELECT *, concat(conv_id, '-', turn % 2) AS k,
+                         CASE WHEN turn % 3 <> 0 THEN turn END AS pos FROM conversations))
+        WHERE n = 1""",
     "parent_child_list": sql_lists(CUSTOMERS, ORDERS),
     "parent_child_list_parts": f"""
         SELECT c_custkey AS entity_id, c_name AS name, coalesce(part, 0) AS part,

@@ -35,6 +35,7 @@ from wordloom.sources import (
     query_words,
     read_entities,
     read_postings,
+    read_rejects,
     read_table,
     write_delimited,
     write_entity_text,
@@ -94,17 +95,17 @@ def search_stored_tables(spark, sf_dir):
     return answers(found)
 
 
-def _files(spark, sf_dir, bad=()):
+def _files(spark, sf_dir, bad=None):
     """The tables as text files: documents, parents, children, stop words, query words.
 
     ``bad`` lines are added to the documents, parents and children.
     """
 
-    def lines(df, *fields, more=()):
+    def lines(df, *fields, more=None):
         path = new_path(spark, "lines")
         rows = df.select(F.concat_ws("\t", *fields).alias("value"))
-        if more:
-            rows = rows.unionByName(spark.createDataFrame([(m,) for m in more], "value STRING"))
+        if more is not None:
+            rows = rows.unionByName(more)
         rows.write.text(path)
         return path
 
@@ -120,7 +121,7 @@ def _files(spark, sf_dir, bad=()):
     )
 
 
-def _chained(spark, sf_dir, files=4, part_length=None, bad=(), rejects=None, **options):
+def _chained(spark, sf_dir, files=4, part_length=None, bad=None, rejects=None, **options):
     """From files over index, entities and tables to the answers."""
     docs, parents, children, stop, words = _files(spark, sf_dir, bad)
     index_text, entity_text, posts, entities = (
@@ -144,29 +145,42 @@ def programs_chained_raw(spark, sf_dir):
     return answers(run_queries(spark, *_chained(spark, sf_dir, files=0, part_length=3)))
 
 
-BAD_LINES = ["no number\tbut text", "x1"]
+# Every so many-th document and label has an id that is no number, every so many-th lacks fields.
+BAD_IDS, SHORT = 50, 70
+
+
+def _damaged(spark, sf_dir):
+    """The lines of the tables once more, as malformed ones: no id, or too few fields."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.lit(None).alias("quality"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.lit(None).alias("source"), "quality")
+    bad_id = F.concat(F.lit("x"), "doc_id", F.lit("\tno number"))
+    short = F.concat(F.lit("y"), "doc_id")
+    return (
+        docs.unionByName(labels, allowMissingColumns=True)
+        .where((F.col("doc_id") % BAD_IDS == 0) | (F.col("doc_id") % SHORT == 0))
+        .select(F.when(F.col("doc_id") % BAD_IDS == 0, bad_id).otherwise(short).alias("value"))
+    )
 
 
 def programs_chained_rejects(spark, sf_dir):
     """Answers in spite of malformed lines."""
     rejects = new_path(spark, "rejects")
-    return answers(run_queries(spark, *_chained(spark, sf_dir, bad=BAD_LINES, rejects=rejects)))
+    bad = _damaged(spark, sf_dir)
+    return answers(run_queries(spark, *_chained(spark, sf_dir, bad=bad, rejects=rejects)))
 
 
 def programs_rejected_lines(spark, sf_dir):
-    """What the programs put aside, with the reason."""
+    """What the programs put aside, with the reason, after two runs."""
     rejects = new_path(spark, "rejects")
-    _chained(spark, sf_dir, bad=BAD_LINES, rejects=rejects)
-    parts = F.split("value", "\t", 2)
-    return spark.read.text(rejects).select(
-        F.get(parts, 0).alias("problem"), F.get(parts, 1).alias("line")
-    )
+    for _ in range(2):
+        _chained(spark, sf_dir, bad=_damaged(spark, sf_dir), rejects=rejects)
+    return read_rejects(spark, rejects).withColumnRenamed("value", "line")
 
 
 def loaded_tables_options(spark, sf_dir):
     """The id of a posting and the display text of an entity, as stored columns."""
     posts, entities, _ = _chained(spark, sf_dir, with_id=True, text="compat")
-    found = spark.read.parquet(posts).where(F.col("word").isin(SEARCH_WORDS))
+    found = spark.read.parquet(posts)
     named = spark.read.parquet(entities).select("entity_id", "children_text")
     return found.join(named, F.col("doc_id") == F.col("entity_id")).drop("entity_id")
 
@@ -195,15 +209,21 @@ ORACLE = {
         SELECT * REPLACE (CASE WHEN n_children = 0 THEN 0 ELSE part END AS part)
         FROM ({SEARCHES["search_top10"]})""",
     "programs_chained_rejects": SEARCHES["search_top10"],
-    "programs_rejected_lines": """
-        SELECT * FROM (VALUES ('bad id', 'no number\tbut text'), ('too few fields', 'no number\tbut text'),
-            ('too few fields', 'x1'), ('too few fields', 'no number\tbut text'),
-            ('too few fields', 'x1')) v(problem, line)""",
+    "programs_rejected_lines": f"""
+        WITH bad AS (
+            SELECT doc_id, doc_id % {BAD_IDS} = 0 AS no_id
+            FROM (SELECT doc_id FROM documents UNION ALL SELECT doc_id FROM labels)
+            WHERE doc_id % {BAD_IDS} = 0 OR doc_id % {SHORT} = 0)
+        SELECT 'documents' AS kind, 'bad id' AS problem, concat('x', doc_id, chr(9), 'no number') AS line
+        FROM bad WHERE no_id
+        UNION ALL
+        SELECT kind, 'too few fields' AS problem, CASE WHEN no_id THEN concat('x', doc_id, chr(9), 'no number')
+            ELSE concat('y', doc_id) END AS line
+        FROM bad, (VALUES ('parents'), ('children')) k(kind)""",
     "loaded_tables_options": f"""
         SELECT word, doc_id, occurrences, concat(word, doc_id) AS id,
             CASE WHEN quality IS NULL THEN '' ELSE quality || ' ' END AS children_text
-        FROM ({sql_postings()}) LEFT JOIN labels USING (doc_id)
-        WHERE word IN ({sql_list(SEARCH_WORDS)})""",
+        FROM ({sql_postings()}) LEFT JOIN labels USING (doc_id)""",
     "text_roundtrip_bar": f"SELECT * FROM ({sql_postings()}) WHERE NOT contains(word, '|')",
     "entity_text_empty_labels": f"""
         SELECT c_custkey AS entity_id, c_name AS name, coalesce(part, 0) AS part,

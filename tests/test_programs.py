@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from wordloom import schemas
@@ -9,7 +11,9 @@ from wordloom.plans import (
     write_entities,
     write_index,
 )
-from wordloom.sources import read_table
+from wordloom.scratch import shared_folder
+from wordloom.sources import parse_parents, read_lines, read_rejects, read_table, reject_counts
+from wordloom.sources.readers import accepted
 
 NAMES = ["docs", "stop", "parents", "children", "words"]
 
@@ -42,8 +46,6 @@ def paths(tmp_path):
 
 
 def written(path):
-    from pathlib import Path
-
     parts = sorted(Path(path).glob("part-*"))
     return [line for part in parts for line in part.read_text().splitlines()]
 
@@ -121,11 +123,52 @@ def test_bad_lines_are_put_aside(spark, paths, tmp_path):
     assert "dog 2 1" in written(out)
     write_entities(spark, parents, children, out, 1, rejects=rejects)
     assert written(out)[-1] == "10\tHeat\tAl P\tBob D\tVal K"
-    count_corpus(spark, docs, stop, out, rejects)
-    assert written(out) == ["\t5"]
-    assert sorted(written(rejects)) == sorted(
-        ["bad id\tx y"] * 2 + ["bad id\tz\t\tName", "too few fields\tshort"]
-    )
+    for _ in range(2):  # a second run leaves the same
+        count_corpus(spark, docs, stop, out, rejects)
+        assert written(out) == ["\t5"]
+        assert sorted(map(tuple, read_rejects(spark, rejects).collect())) == [
+            ("children", "too few fields", "short"),
+            ("documents", "bad id", "x y"),
+            ("parents", "bad id", "z\t\tName"),
+        ]
+        # Blank lines, and those with an id alone, are no records.
+        assert sorted(map(tuple, reject_counts(spark, rejects).collect())) == [
+            ("children", 5, 1),
+            ("documents", 3, 1),
+            ("parents", 4, 1),
+        ]
+
+
+def test_lines_are_read_once_with_rejects(spark, paths, tmp_path):
+    """Every line that is parsed raises the counter, in whatever pass it is."""
+    parsed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    lines = "\n".join(f"{i}\t\tName {i}" if i % 4 else f"x{i}" for i in range(100))
+    (tmp_path / "lines").write_text(lines)
+    rows = read_lines(spark, paths("lines")).mapInArrow(counted, "file string, pos bigint, value string")
+    good = accepted(parse_parents(rows), paths("rejects"), "parents")
+    assert good.count() == 75 and good.select("name").distinct().count() == 75
+    assert read_rejects(spark, paths("rejects")).count() == 25
+    assert parsed.value == 100
+
+
+def test_programs_leave_nothing_in_the_shared_folder(spark, paths):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in folder.iterdir() if not p.name.startswith("rdd-")}
+    write_index(spark, paths("docs"), paths("stop"), paths("index"), 2, paths("rejects"))
+    write_entities(spark, paths("parents"), paths("children"), paths("ents"), 2, 2, paths("rejects"))
+    load_tables(
+        spark, paths("index"), paths("ents"), paths("posts"), paths("named"), in_parts=True,
+        rejects=paths("rejects"),
+    )
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        load_tables(spark, paths("index"), paths("none"), paths("posts"), paths("named"))
+    assert {p.name for p in folder.iterdir() if not p.name.startswith("rdd-")} == before
 
 
 def test_raw_postings_load_as_counts(spark, paths, tmp_path):

@@ -114,7 +114,7 @@ def test_hot_query_word_beyond_broadcast(spark, hot_word, monkeypatch):
     words = [(i, "w0" if i % 3 == 0 else f"w{i}") for i in range(300)]
     query = spark.createDataFrame(words, schemas.QUERY_WORDS)
     wanted = keep_query_words(post_df, query, broadcast_rows=5)
-    assert "_salt" in physical_plan(wanted)
+    assert "getbit" in physical_plan(wanted) or "bit_get" in physical_plan(wanted)
     top = top_postings(wanted, entities.select("entity_id"), 4)
     found = search(top, entities, query, few=False)
     columns = ("qid", "word", "rank", "doc_id", "occurrences")

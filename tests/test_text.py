@@ -11,6 +11,7 @@ from wordloom.functions import (
     strict_bigint,
 )
 from wordloom.operators import drop_stop_words, tokens
+from wordloom.operators import words as word_lists
 from wordloom.sources import stop_words_from_lines, tokens_from_lines
 
 
@@ -66,13 +67,18 @@ def test_stop_words_match_to_the_letter(spark):
     assert drop_stop_words(toks, None).count() == 3
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 10])
-def test_long_stop_list(spark, broadcast_rows):
+@pytest.mark.parametrize("form", ["broadcast", "bitmaps", "salted"])
+def test_long_stop_list(spark, monkeypatch, form):
+    """Lists that are too long to broadcast go by bitmaps, and beyond those by a salted join."""
+    broadcast_rows = 500_000 if form == "broadcast" else 10
+    if form == "salted":
+        monkeypatch.setattr(word_lists, "bitmaps_fit", lambda n: False)
     toks = spark.range(20_000).selectExpr("id AS doc_id", "concat('w', id % 3000) AS word")
     stop = spark.range(1_500).selectExpr("concat('w', 2 * id) AS word")
     kept = drop_stop_words(toks, stop, broadcast_rows)
     plan = physical_plan(kept)
-    assert ("_salt" in plan) == (broadcast_rows == 10)
+    assert ("_salt" in plan) == (form == "salted")
+    assert ("getbit" in plan or "bit_get" in plan) == (form == "bitmaps")
     odd = [i for i in range(20_000) if (i % 3000) % 2]
     assert sorted(row["doc_id"] for row in kept.collect()) == odd
 

@@ -89,11 +89,12 @@ def filter_by_bitmaps(rows: DataFrame, words: DataFrame, count: int, how: str) -
     if how == "left_semi":
         hits = tested.where("_maybe").drop("_maybe")
         if few:
-            return hits.join(F.broadcast(wrong), "word", "left_anti")
-        return salted_join(hits, wrong, ["word"], "left_anti", ["doc_id"])
+            return hits.join(F.broadcast(wrong), "word", "left_anti").select(rows.columns)
+        return salted_join(hits, wrong, ["word"], "left_anti", ["doc_id"]).select(rows.columns)
     marked = wrong.withColumn("_wrong", F.lit(True))
     if few:
         joined = tested.join(F.broadcast(marked), "word", "left")
     else:
         joined = salted_join(tested, marked, ["word"], "left", ["doc_id"])
-    return joined.where(~F.col("_maybe") | F.coalesce("_wrong", F.lit(False))).drop("_maybe", "_wrong")
+    passed = joined.where(~F.col("_maybe") | F.coalesce("_wrong", F.lit(False)))
+    return passed.select(rows.columns)

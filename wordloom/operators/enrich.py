@@ -47,14 +47,14 @@ def restrict_to(
 def child_rows(children: DataFrame, order_by: Sequence[str] = ("pos",)) -> DataFrame:
     """(entity_id, rank, label): every child with its place among its parent's children.
 
-    Children are dealt to ranges of (entity_id, order), so a parent with very
-    many of them spreads over several ranges. The rank is the place within the
+    Children are dealt to ranges of (entity_id, order, label), so a parent with very
+    many of them spreads over several ranges, those in equal places, too. The rank is the place within the
     range plus the children in earlier ranges: a running sum over as many rows
     as the parent has ranges, however its positions lie.
     """
     use_shared_checkpoints(children.sparkSession)
     keys = ["entity_id", *order_by]
-    ranged = children.select(*keys, "label").repartitionByRange(*keys)
+    ranged = children.select(*keys, "label").repartitionByRange(*keys, "label")
     # Read twice below; ranges drawn anew might differ.
     ranged = ranged.withColumn("_range", F.spark_partition_id()).checkpoint()
     earlier = (

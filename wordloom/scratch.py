@@ -6,9 +6,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+# The paths given inside the innermost ``cleared``.
+_given: ContextVar[list[str] | None] = ContextVar("given", default=None)
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -36,7 +42,28 @@ def use_shared_checkpoints(spark: SparkSession) -> None:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to yet."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    given = _given.get()
+    if given is not None:
+        given.append(path)
+    return path
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """All that goes to paths of ``new_path`` inside is deleted at the end, also after a failure.
+
+    For jobs that write their results elsewhere; a DataFrame that is read later
+    must not leave this.
+    """
+    token = _given.set([])
+    try:
+        yield
+    finally:
+        paths = _given.get() or []
+        _given.reset(token)
+        for path in paths:
+            remove(spark, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

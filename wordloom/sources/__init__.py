@@ -16,8 +16,10 @@ from wordloom.sources.readers import (
     read_parents,
     read_postings,
     read_query_words,
+    read_rejects,
     read_stop_words,
     read_table,
+    reject_counts,
     split_rejected,
     strict,
 )
@@ -39,8 +41,10 @@ __all__ = [
     "read_postings",
     "read_query_words",
     "read_ranged",
+    "read_rejects",
     "read_stop_words",
     "read_table",
+    "reject_counts",
     "split_rejected",
     "stop_words_from_lines",
     "strict",

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom import schemas
+from wordloom.scratch import new_path
 from wordloom.sources.lines import (
     parse_children,
     parse_entities,
@@ -19,6 +20,8 @@ from wordloom.sources.lines import (
 # Fixed value: what the data files of a job's output folder are called.
 PART_FILES = "*part-*"
 
+REJECT_COUNTS = "lines bigint, rejected bigint"
+
 # Column order of the input: a scan numbers rows in order within one file only.
 FILE_ORDER = ("file", "pos")
 
@@ -63,38 +66,66 @@ def query_words(spark: SparkSession, words: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(words)), schemas.QUERY_WORDS)
 
 
-def accepted(parsed: DataFrame, rejects: str | None) -> DataFrame:
-    """The good records. Malformed lines fail the job or, with a path, are added there.
+def accepted(parsed: DataFrame, rejects: str | None, kind: str) -> DataFrame:
+    """The good records. Malformed lines fail the job or, with a path, are put aside there.
 
-    Rejects are text lines ``problem<TAB>line``. They are found by a pass of
-    their own, which reads the lines once more.
+    The lines are read and parsed once: records are staged in the shared folder by
+    the reason of their rejection, good ones without the line, and read from there.
+    ``rejects`` gets the bad lines, and how many lines there were, each in a folder for ``kind``,
+    which replaces what an earlier run left. ``read_rejects`` reads them.
     """
     if rejects is None:
         return strict(parsed)
-    good, bad = split_rejected(parsed)
-    line = F.concat_ws("\t", "problem", "value")
-    bad.select(line.alias("value")).write.mode("append").text(rejects)
-    return good
+    spark = parsed.sparkSession
+    stage = new_path(spark, "parsed")
+    bad = F.col("problem").isNotNull()
+    seen = Observation()
+    rows = parsed.withColumn("value", F.when(bad, F.col("value"))).observe(
+        seen, F.count("*").alias("lines"), F.count("problem").alias("rejected")
+    )
+    rows.write.partitionBy("problem").parquet(stage)
+    staged = spark.read.schema(parsed.schema).parquet(stage)
+    staged.where(bad).select(F.concat_ws("\t", "problem", "value").alias("value")).write.mode(
+        "overwrite"
+    ).text(f"{rejects}/lines/kind={kind}")
+    counts = spark.createDataFrame([(seen.get["lines"], seen.get["rejected"])], REJECT_COUNTS)
+    counts.coalesce(1).write.mode("overwrite").json(f"{rejects}/counts/kind={kind}")
+    return staged.where(~bad).select(*[c for c in parsed.columns if c not in ("problem", "value")])
+
+
+def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    """(kind, problem, value): the lines put aside by the last run of each kind of reader."""
+    lines = spark.read.schema("value string, kind string").text(f"{rejects}/lines")
+    parts = F.split("value", "\t", 2)
+    return lines.select("kind", F.get(parts, 0).alias("problem"), F.get(parts, 1).alias("value"))
+
+
+def reject_counts(spark: SparkSession, rejects: str) -> DataFrame:
+    """(kind, lines, rejected) of the last run of each kind of reader."""
+    counts = spark.read.schema(f"{REJECT_COUNTS}, kind string").json(f"{rejects}/counts")
+    return counts.select("kind", "lines", "rejected")
 
 
 def read_parents(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
-    return accepted(parse_parents(read_lines(spark, path)), rejects)
+    return accepted(parse_parents(read_lines(spark, path)), rejects, "parents")
 
 
 def read_children(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
-    return accepted(parse_children(read_lines(spark, path)), rejects)
+    return accepted(parse_children(read_lines(spark, path)), rejects, "children")
 
 
 def read_postings(
     spark: SparkSession, path: str, sep: str = " ", rejects: str | None = None
 ) -> DataFrame:
-    return accepted(parse_postings(read_lines(spark, path, PART_FILES), sep), rejects)
+    lines = read_lines(spark, path, PART_FILES)
+    return accepted(parse_postings(lines, sep), rejects, "postings")
 
 
 def read_entities(
     spark: SparkSession, path: str, in_parts: bool = False, rejects: str | None = None
 ) -> DataFrame:
-    return accepted(parse_entities(read_lines(spark, path, PART_FILES), in_parts), rejects)
+    lines = read_lines(spark, path, PART_FILES)
+    return accepted(parse_entities(lines, in_parts), rejects, "entities")
 
 
 def read_table(

@@ -77,16 +77,18 @@ def write_table(
     """
     spark = df.sparkSession
     stage = new_path(spark, "stage")
-    df.write.parquet(stage)
-    rows = spark.read.schema(df.schema).parquet(stage)
-    count = files or max(1, -(-_stored_bytes(df, stage) // file_bytes))
-    writer = rows.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
-    writer = writer.write.mode("overwrite")
-    if "/" in table:
-        writer.parquet(table)
-    else:
-        writer.saveAsTable(table)
-    remove(spark, stage)
+    try:
+        df.write.parquet(stage)
+        rows = spark.read.schema(df.schema).parquet(stage)
+        count = files or max(1, -(-_stored_bytes(df, stage) // file_bytes))
+        writer = rows.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+        writer = writer.write.mode("overwrite")
+        if "/" in table:
+            writer.parquet(table)
+        else:
+            writer.saveAsTable(table)
+    finally:
+        remove(spark, stage)
 
 
 def _stored_bytes(df: DataFrame, path: str) -> int:
