@@ -24,34 +24,21 @@ from pyspark.sql.types import ArrayType, FloatType
 
 from wordloom.llm.cover_tree import CoverTree, links_between, links_within
 from wordloom.llm.near_duplicates import components
+from wordloom.llm.tables import attached, kept
 from wordloom.llm.texts import NULL_ID
-from wordloom.operators.joins import fits_broadcast, salted_join
-from wordloom.scratch import use_shared_checkpoints
 
 COSINE = 0.95
 SAMPLE = 1_024  # classes on which the upper levels are fitted
-SHARD = 8_192  # classes below one shard
+SHARD = 2_048  # classes below one shard
 SHARD_BYTES = 32 * 1024 * 1024  # of their vectors in double precision
 GROUP = 256  # shards that are compared as one first
-CHUNK = 4  # trees that meet one copy of another
+CHUNK = 16  # trees that meet one copy of another
 
 ROW = "dim int, class bigint, n bigint"
 NODES = ("first", "last", "down", "fan", "radius")
 LINKS = "class bigint, links bigint, root bigint, other bigint"
 
 
-def _kept(rows: DataFrame) -> DataFrame:
-    use_shared_checkpoints(rows.sparkSession)
-    return rows.checkpoint()
-
-
-def _attached(left: DataFrame, right: DataFrame, on: list[str], salt_by: list[str]) -> DataFrame:
-    """``left`` with the row of ``right`` for its key, if any; a key may hold most of ``left``."""
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), on, "left")
-    return salted_join(left, right, on, "left", salt_by)
-
-
 def _usable(e: Column) -> Column:
     """Vectors of finite components that are not all zero."""
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
@@ -109,8 +96,11 @@ def _placed(shared) -> Callable:
     return run
 
 
-def _shards(placed: DataFrame, most: int) -> DataFrame:
-    """(dim, cell, start, parts): which shards a cell is dealt to. A row for each cell, so few."""
+def _shards(placed: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """(dim, cell, start, parts), which shards a cell is dealt to, and how many shards there are.
+
+    There is a row for each cell, so few.
+    """
     sizes = placed.groupBy("dim", "cell").count().collect()
     rows, shard, room, before = [], -1, 0, None
     for dim, cell, count in sorted(map(tuple, sizes)):
@@ -122,14 +112,23 @@ def _shards(placed: DataFrame, most: int) -> DataFrame:
         if parts > 1:
             shard, room = shard + parts - 1, 0
         room, before = room - count, dim
-    return placed.sparkSession.createDataFrame(rows, "dim int, cell int, start int, parts int")
+    spark = placed.sparkSession
+    return spark.createDataFrame(rows, "dim int, cell int, start int, parts int"), shard + 1
 
 
 def _build(least: float, element: pa.DataType) -> Callable:
-    """A shard's tree as one row, with counts and roots of the links within it."""
+    """Each shard's tree as one row, with counts and roots of the links within it."""
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [batch for batch in batches if batch.num_rows]
+        if not found:
+            return
+        rows = pa.Table.from_batches(found)
+        shards = rows.column("shard").to_numpy()
+        for shard in np.unique(shards).tolist():
+            yield tree_row(shard, rows.filter(pa.array(shards == shard)).combine_chunks())
+
+    def tree_row(shard: int, table: pa.Table) -> pa.RecordBatch:
         values = _matrix(table.column("e"))
         tree = CoverTree(values)
         weights = table.column("n").to_numpy()[tree.order]
@@ -140,7 +139,7 @@ def _build(least: float, element: pa.DataType) -> Callable:
         lists += [getattr(tree, name) for name in NODES]
         kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.float64()]
         columns = [
-            pa.array([table.column("shard")[0].as_py()], pa.int32()),
+            pa.array([shard], pa.int32()),
             pa.array([values.shape[1]], pa.int32()),
             pa.array([centre], pa.list_(pa.float64())),
             pa.array([tree.radius[0]], pa.float64()),
@@ -148,7 +147,7 @@ def _build(least: float, element: pa.DataType) -> Callable:
             pa.array([values[tree.order].ravel()], pa.list_(element)),
         ]
         names = ["shard", "dim", "centre", "bound", "classes", "weights", "links", "roots"]
-        return pa.table(columns, names=[*names, *NODES, "vectors"])
+        return pa.RecordBatch.from_arrays(columns, names=[*names, *NODES, "vectors"])
 
     return run
 
@@ -254,7 +253,7 @@ def _meet(least: float) -> Callable:
 def _met(trees: DataFrame, least: float) -> DataFrame:
     """Links between shards: (class, links) counts, and (root, other) that they join."""
     chunk = F.floor(F.col("b") / CHUNK).cast("int").alias("chunk")
-    pairs = _kept(_pairs(trees, least).select("a", "b", chunk))
+    pairs = kept(_pairs(trees, least).select("a", "b", chunk))
     trees = trees.drop("centre", "bound", "links")
     behind = pairs.join(trees.withColumnRenamed("shard", "b"), "b").withColumn("role", F.lit(1))
     front = pairs.select("a", "chunk").distinct().withColumn("b", F.lit(-1))
@@ -292,16 +291,18 @@ def embedding_links(
     keys = (F.xxhash64("e"), F.xxhash64(F.lit(1), "e"))  # of a class, 128 bits
     found = usable.groupBy("e").agg(F.min("_id").alias("least"), F.count("*").alias("n"))
     found = found.withColumns({"h1": keys[0], "h2": keys[1], "dim": F.size("e")})
-    found = _kept(found.withColumn("class", F.monotonically_increasing_id()))
+    found = kept(found.withColumn("class", F.monotonically_increasing_id()))
 
     shared = spark.sparkContext.broadcast(_drawn(found, sample))
     placed = found.select("dim", "class", "n", "e")
-    placed = _kept(placed.mapInArrow(_placed(shared), f"{ROW}, e array<{element}>, cell int"))
-    cells = F.broadcast(_shards(placed, shard))
+    placed = kept(placed.mapInArrow(_placed(shared), f"{ROW}, e array<{element}>, cell int"))
+    cells, shards = _shards(placed, shard)
     number = F.col("start") + F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
-    dealt = placed.join(cells, ["dim", "cell"]).select("class", "n", "e", number.alias("shard"))
-    trees = _kept(dealt.groupBy("shard").applyInArrow(_build(least, arrow), _tree_schema(element)))
-    met = _kept(_met(trees, least))
+    dealt = placed.join(F.broadcast(cells), ["dim", "cell"])
+    dealt = dealt.select("class", "n", "e", number.alias("shard"))
+    dealt = dealt.repartitionById(max(1, shards), "shard")  # a shard is a task
+    trees = kept(dealt.mapInArrow(_build(least, arrow), _tree_schema(element)))
+    met = kept(_met(trees, least))
 
     own = trees.select(F.explode(F.arrays_zip("classes", "links", "roots")).alias("c"))
     own = own.select(
@@ -314,16 +315,16 @@ def embedding_links(
         met.where("root IS NOT NULL").select(F.col("root").alias("a"), F.col("other").alias("b"))
     )
     joined = joined.select(F.col("node").alias("root"), F.col("label"))
-    linked = _attached(linked, joined, ["root"], ["class"])
+    linked = attached(linked, joined, ["root"], ["class"])
     linked = linked.select("class", "links", F.coalesce("label", "root").alias("label"))
-    linked = _kept(
+    linked = kept(
         found.select("class", "least", "n", "h1", "h2")
         .join(linked, "class", "left")
         .where("links IS NOT NULL OR n > 1")
         .withColumn("label", F.coalesce("label", "class"))
     )
     reached = linked.groupBy("label").agg(F.min("least").alias("reached"))
-    linked = _attached(linked, reached, ["label"], ["class"])
+    linked = attached(linked, reached, ["label"], ["class"])
     told = linked.select(
         "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "reached"
     )
@@ -331,7 +332,7 @@ def embedding_links(
         "vec_id", "_id", *(F.when(_usable(F.col("e")), k).alias(c) for k, c in zip(keys, ("h1", "h2")))
     )
     reached = F.coalesce("reached", "_id")
-    return _attached(keyed, _kept(told), ["h1", "h2"], ["vec_id"]).select(
+    return attached(keyed, kept(told), ["h1", "h2"], ["vec_id"]).select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.when(reached != NULL_ID, reached).alias("component_id"),
