@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -482,10 +483,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         model.values[name] = {r[name]: i for i, r in enumerate(common)}
     path = new_path(spark, "quality_views")
     try:
+        shared = shipped(spark, (model, known))
         rows.mapInArrow(
-            _views(shipped(spark, (model, known))),
+            _views(shared),
             "doc_id bigint, low int, toxic int, text_view binary, meta_view binary",
         ).write.parquet(path)
+        shared.destroy()
         stored = spark.read.parquet(path)
         found = stored.where("low >= 0 OR toxic >= 0").toArrow()
         if found.num_rows:
@@ -531,11 +534,35 @@ def score(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> DataFra
     return scored.withColumn("kept", F.greatest("low_score", "toxic_score") < reject)
 
 
+def _accepter(shared, reject: float) -> Callable:
+    """The whole rows that are kept, block by block; the text is read from the row itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = opened(shared)
+        for batch in batches:
+            doc = batch.column("doc")
+            columns = {"doc": doc, "text": pc.struct_field(doc, "text")}
+            columns |= {c: batch.column(c) for c in ("source", "lang", "n_chars")}
+            whole = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            for part, data, offsets in blocks(iter([whole])):
+                text = model.text_view(data, offsets)
+                meta = model.meta_view(
+                    *(part.column(c).to_pylist() for c in ("source", "lang", "n_chars"))
+                )
+                keep = np.ones(part.num_rows, dtype=bool)
+                for target in model.targets.values():
+                    if target:
+                        keep &= target.probability(text, meta).astype(np.float64) < reject
+                kept = part.column("doc").filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([kept], names=["doc"])
+
+    return run
+
+
 def accepted(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> DataFrame:
-    """The rows of ``docs``, all columns, that are kept."""
+    """The rows of ``docs``, all columns, that are kept. Rejected rows do not leave their task."""
     shared = shipped(docs.sparkSession, fit(docs, labels))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    rows = _rows(docs, whole)
+    rows = _rows(docs, whole).drop("text")
     kind = rows.schema["doc"].dataType.simpleString()
-    scored = rows.mapInArrow(_scorer(shared, ["doc"]), f"doc {kind}, {SCORES}")
-    return scored.where(F.greatest("low_score", "toxic_score") < reject).select("doc.*")
+    return rows.mapInArrow(_accepter(shared, reject), f"doc {kind}").select("doc.*")

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.texts import (
     BASE,
+    BLOCK_BYTES,
     BYTE_CODE,
     INVERSE,
     blocks,
@@ -44,7 +45,9 @@ from wordloom.llm.texts import (
 from wordloom.scratch import new_path
 
 TILE = 1 << 22  # window starts handled at once; anchors keep their place in 24 bits
-TASK_SEGMENTS = 1_000_000  # distinct segments a task remembers to remove repeats before the shuffle
+# Segments, 52 bytes each, that a task remembers to remove repeats before the shuffle.
+TASK_SEGMENTS = 500_000
+SYMBOL_BYTES = {"word": 1, "byte": 4}  # a block's arrays have one place a symbol, so shorter blocks of bytes
 LARGE_GROUP = 20_000  # segments of one anchor; beyond, windows are grouped one by one
 TASK_ANCHOR = 64  # segments of one anchor that a task deals by the anchor; beyond, by their content
 
@@ -148,6 +151,17 @@ def _batch(columns: dict[str, np.ndarray], names: list[str]) -> pa.RecordBatch:
     )
 
 
+def _each(rows: dict[str, np.ndarray], change: Callable[[np.ndarray], np.ndarray]) -> None:
+    """Every column changed in its place."""
+    for c in rows:
+        rows[c] = change(rows[c])
+
+
+def _slices(rows: dict[str, np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(rows["h1"]), 50_000):
+        yield _batch({c: x[at : at + 50_000] for c, x in rows.items()}, names)
+
+
 def _anchored(rule: Rule) -> Callable:
     """The segments of a task's texts; those that repeat within the task are removed already."""
     names = _names(rule, KINDS)
@@ -159,21 +173,27 @@ def _anchored(rule: Rule) -> Callable:
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held, size
             if size:
-                rows = {c: np.concatenate(x) for c, x in held.items()}
+                rows, size = {}, 0
+                while held:  # one column after another, so that hardly any is there twice
+                    c, pieces = held.popitem()
+                    rows[c] = np.concatenate(pieces)
+                    del pieces
                 order = np.lexsort((rows["start"], rows["_h"], rows["_id"], rows["h2"], rows["h1"]))
-                rows = {c: x[order] for c, x in rows.items()}
+                _each(rows, lambda x: x[order])
                 later = _repeats(rule, rows)
                 gone = _joined_spans(rule, {c: x[later] for c, x in rows.items()})
-                rows = {c: x[~later] for c, x in rows.items()}
+                yield from _slices(gone, names)
+                _each(rows, lambda x: x[~later])
+                del order, later, gone
                 rows, copies = _without_copies(rows)
-                rows["kind"] = np.full(len(rows["h1"]), SEGMENT)
+                yield from _slices(copies, names)
+                del copies
+                rows["kind"] = np.full(len(rows["h1"]), SEGMENT, np.int8)
                 rows["salt"], several = _salted(rows)
-                for out in (gone, copies, rows, several):
-                    for at in range(0, len(out["h1"]), 100_000):
-                        yield _batch({c: x[at : at + 100_000] for c, x in out.items()}, names)
-            held, size = {}, 0
+                yield from _slices(rows, names)
+                yield from _slices(several, names)
 
-        for part, data, offsets in blocks(batches):
+        for part, data, offsets in blocks(batches, limit=BLOCK_BYTES // SYMBOL_BYTES[rule.unit]):
             codes, first, _, _ = symbols_of(rule, data, offsets)
             ids = part.column("_id").to_numpy(zero_copy_only=False)
             texts = part.column("_h").to_numpy(zero_copy_only=False)
@@ -181,7 +201,7 @@ def _anchored(rule: Rule) -> Callable:
                 row = found.pop("row")
                 found["_id"], found["_h"] = ids[row], texts[row]
                 for c, x in found.items():
-                    held.setdefault(c, []).append(x)
+                    held.setdefault(c, []).append(x.astype(np.int32) if c in ("start", "off", "n") else x)
                 size += len(row)
             if size >= TASK_SEGMENTS:
                 yield from flush()
