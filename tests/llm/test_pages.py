@@ -1,3 +1,10 @@
+import random
+import time
+import tracemalloc
+
+import pytest
+
+from wordloom.llm import pages as module
 from wordloom.llm.pages import extract_main_text, lines_of, main_text, shared
 
 SHELL = "<html><head><title>t</title><style>p{}</style></head><body>{}</body></html>"
@@ -69,7 +76,10 @@ def test_copies_without_an_article_keep_their_text(spark):
     assert got == {1: want, 2: want, 3: want + "\nPrint"}
 
 
-def test_longest_common_subsequence():
+@pytest.mark.parametrize("bits", [1 << 27, 60, 3])
+def test_longest_common_subsequence(monkeypatch, bits):
+    monkeypatch.setattr(module, "TABLE_BITS", bits)
+
     def length(a, b):
         table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
         for i, x in enumerate(a):
@@ -78,8 +88,62 @@ def test_longest_common_subsequence():
                 table[i + 1][j + 1] = max(best, table[i][j] + (x == y))
         return table[-1][-1]
 
-    for a, b in (("abcbdab", "bdcaba"), ("", "a"), ("aaaa", "aa"), ("xayb", "ab"), ("ab", "cd")):
-        assert sum(shared(list(a), list(b))) == length(a, b)
+    rng = random.Random(bits)
+    cases = [("abcbdab", "bdcaba"), ("", "a"), ("aaaa", "aa"), ("xayb", "ab"), ("ab", "cd")]
+    cases += [["".join(rng.choices("abc" + x, k=rng.randint(0, 25))) for x in "de"] for _ in range(150)]
+    for a, b in cases:
+        hits = shared(list(a), list(b))
+        left = iter(b)
+        assert all(x in left for x, hit in zip(a, hits) if hit)
+        assert sum(hits) == length(a, b)
+
+
+def test_pages_of_very_many_lines_in_bounded_memory():
+    rng = random.Random(3)
+    a, b = ([str(rng.randrange(3000)) for _ in range(60_000)] for _ in range(2))
+    tracemalloc.start()
+    assert 0 < sum(shared(a, b)) < 60_000
+    assert tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
+    same = [f"line {i}" for i in range(200_000)]
+    changed = [*same[:70_000], "own", *same[70_001:]]
+    assert shared(changed, same).index(False) == 70_000 and sum(shared(changed, same)) == 199_999
+
+
+@pytest.mark.parametrize(
+    "bad", ["<a ", '<a "', "<!", "<a 'b", "<", "<div>", "</section>", '<p x="a>', "&amp", "<a b='c\" ", "<!--", "<b x>"]
+)
+def test_malformed_pages_take_linear_time(bad):
+    began = time.process_time()
+    lines_of(bad * (5_000_000 // len(bad)))
+    lines_of("<div>" * 100_000 + "</section>" * 100_000)
+    assert time.process_time() - began < 30
+
+
+def test_tags_end_at_the_first_bracket_outside_quotes():
+    assert [x[0] for x in lines_of('<p a="x>y" b=\'>\'>One</p><p "c>Two</p>')] == ["One", '<p "c>Two']
+    assert [x[0] for x in lines_of('a <p x="1>b</p> c <p y="2">d</p>')] == ['a <p x="1>b', "c", "d"]
+    assert [x[0] for x in lines_of("1 < 2 <3> <p>x")] == ["1 < 2 <3>", "x"]
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "comments-section", "comment-thread", "post-comments", "newsletter-signup", "ad-container", "sponsored-content",
+        "cookie-consent", "related-content", "share-tools", "advert-top", "reader-comments", "article-comments",
+        "social_links", "newsletter_box", "promo-block",
+    ],
+)
+def test_names_that_mark_text_beside_the_article(name):
+    inner = f"<article><p>Text</p><section class='x {name}'><p>Beside</p></section><p>More</p></article>"
+    assert text_of(inner) == "Text\nMore"
+
+
+@pytest.mark.parametrize(
+    "name", ["related-work", "with-sidebar", "share-price", "ad-hoc", "social-science", "commentary", "content", "adverb"]
+)
+def test_names_that_mark_nothing(name):
+    assert text_of(f"<article><p>Text</p><section class='{name}'><p>Own</p></section></article>") == "Text\nOwn"
 
 
 def test_broken_and_empty_pages(spark):

@@ -17,7 +17,9 @@ from pyspark.sql.types import DataType
 SAMPLES = 32  # keys drawn for each range
 
 
-def in_ranges(rows: DataFrame, key: str, tie: str, wrap: bool = False) -> DataFrame:
+def in_ranges(
+    rows: DataFrame, key: str, tie: str, wrap: bool = False, least: int = 0
+) -> DataFrame:
     """``rows`` sorted by (key, tie) within ranges of the key, with two columns more.
 
     ``_range`` numbers the ranges upwards. ``_side`` is 0, or -1 for a copy of
@@ -25,10 +27,11 @@ def in_ranges(rows: DataFrame, key: str, tie: str, wrap: bool = False) -> DataFr
     last one. Both columns must have no nulls. Bounds are drawn by a hash of the
     key; they only decide how even the ranges are. All rows of one key are in
     one range, so keys must be nearly unique. With ``wrap`` the very first row
-    also follows the very last one.
+    also follows the very last one. There are as many ranges as partitions of a shuffle,
+    or ``least``, if that is more; each is one task.
     """
     spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
     number = _count_at_most(_bounds(rows, key, n), F.col(key), rows.schema[key].dataType)
     placed = rows.withColumn("_range", number.cast("int"))
     ends = placed.groupBy("_range").agg(
@@ -53,7 +56,7 @@ def in_ranges(rows: DataFrame, key: str, tie: str, wrap: bool = False) -> DataFr
         "_place", F.explode(F.concat(own, some))
     )
     dealt = dealt.select(*rows.columns, "_place._range", "_place._side")
-    return dealt.repartition(n, "_range").sortWithinPartitions("_range", "_side", key, tie)
+    return dealt.repartitionById(n, "_range").sortWithinPartitions("_range", "_side", key, tie)
 
 
 def _bounds(rows: DataFrame, key: str, n: int) -> list:

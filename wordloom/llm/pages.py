@@ -13,10 +13,13 @@ lines inside elements that are no article text go even if unshared.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +28,8 @@ from wordloom.llm.neighbours import in_ranges, neighbours
 from wordloom.llm.texts import NULL_ID
 
 TOGETHER = 64
+RANGE_BYTES = 64 * 1024 * 1024  # of pages in one range
+TABLE_BITS = 1 << 27  # of an alignment's table, which is parted beyond that
 
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
 
@@ -48,25 +53,27 @@ BLOCKS = CONTAINERS | {
 }
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "wbr", "source"}
 
-# Whole tokens of class, id and role that mark text beside the article: a name, or a name and
-# a word for a box. Names inside other tokens, as in with-sidebar or related-work, mark nothing.
+# Tokens of class, id and role that mark text beside the article. Some names do so whatever
+# follows them in the token; others only alone or before a word for a box. Names further inside, as in
+# with-sidebar, and other words behind, as in related-work, mark nothing.
 ASIDE_NAMES = re.compile(
-    r"(?:(?:site|global)[_-])?"
-    r"(?:ads?|advert(?:s|ising|isements?)?|sponsor(?:s|ed)?|promo(?:s|tions?|ted)?|banners?|cookies?|consent"
-    r"|notices?|alerts?|popup|modal|newsletter|subscribe|signup|login|search|share|sharing|social|related"
-    r"|recommend(?:ed|ations?)|sidebar|side-bar|widget|menu|nav(?:bar|igation)?|breadcrumbs?|pagination"
-    r"|footer|comments?|replies|disqus|complementary|contentinfo|masthead|topbar|skip(?:-?links?)?|toolbar)"
+    r"(?:(?:site|global|post|page|article|entry|reader|user)[_-])?"
+    r"(?:(?:comments?|newsletters?|advert(?:s|ising|isements?)?|sponsored|cookies?|disqus|breadcrumbs?)"
+    r"(?:[_-]\S*)?"
+    r"|(?:ads?|sponsors?|promo(?:s|tions?|ted)?|banners?|consent|notices?|alerts?|popup|modal|subscribe"
+    r"|signup|login|search|share|sharing|social|related|recommend(?:ed|ations?)|sidebar|side-bar|widget"
+    r"|menu|nav(?:bar|igation)?|pagination|footer|replies|complementary|contentinfo|masthead|topbar"
+    r"|skip(?:-?links?)?|toolbar)"
     r"(?:[_-](?:slot|box|unit|banner|bar|buttons?|links?|icons?|list|posts|articles|stories|form|popup|modal"
-    r"|widget|menu|nav|notice))?",
+    r"|widget|menu|nav|notice|container|content|section|wrap(?:per)?|block|thread|area|panel|tools?|inner"
+    r"|holder|items?|group|feed|overlay|dialog|prompt))?)",
     re.I,
 )
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|([^<]+|<)",
-    re.S,
-)
+# A tag up to its attributes; these end at the first > that is in no quotes.
+OPENING = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+ATTRIBUTES = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+STOPS = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAMING = {"class", "id", "role"}
 NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
@@ -91,13 +98,55 @@ def _marks(attributes: str) -> tuple[bool, bool]:
     return hidden, named
 
 
+class TagEnds:
+    """Where a tag ends, for any place in a page, in time linear in the page.
+
+    As long as tags end, each is read once. After one that does not, the places of
+    all quotes and > are listed, and what follows from each is remembered, so
+    that tags that never end cost nothing more.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.stops: list[int] | None = None
+        self.known: dict[int, int] = {}
+
+    def of(self, at: int) -> int:
+        """The place of the > that ends the tag whose attributes begin at ``at``, or -1."""
+        if self.stops is None:
+            end = ATTRIBUTES.match(self.page, at).end()
+            if self.page[end : end + 1] == ">":
+                return end
+            self.stops = [found.start() for found in STOPS.finditer(self.page)]
+            self.last = {quote: self.page.rfind(quote) for quote in "\"'"}
+        passed, end = [], -1
+        while True:
+            place = bisect.bisect_left(self.stops, at)
+            if place == len(self.stops):
+                break
+            stop = self.stops[place]
+            if stop in self.known:
+                end = self.known[stop]
+                break
+            passed.append(stop)
+            if self.page[stop] == ">":
+                end = stop
+                break
+            if stop >= self.last[self.page[stop]]:
+                break
+            at = self.page.index(self.page[stop], stop + 1) + 1
+        self.known.update(dict.fromkeys(passed, end))
+        return end
+
+
 def lines_of(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, in an article, beside the article) of each block of a page."""
+    """(text, in an article, beside the article) of each block of a page, in time linear in it."""
     out: list[tuple[str, bool, bool]] = []
     text: list[str] = []
     # Of each open element its name, whether it is in main text and in an article, and whether it
     # is beside the article: for good, or until an article or main begins inside it.
     stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+    open_names: Counter[str] = Counter()
 
     def flush() -> None:
         line = " ".join("".join(text).split())
@@ -107,30 +156,40 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
         text.clear()
 
     at, size = 0, len(page)
+    ends, last = TagEnds(page), page.rfind(">")
     while at < size:
-        found = TOKEN.match(page, at)
-        if found is None:  # a tag that never ends
-            text.append("<")
-            at += 1
+        if page[at] != "<":
+            end = page.find("<", at)
+            end = size if end < 0 else end
+            text.append(html.unescape(page[at:end]))
+            at = end
+            continue
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = size if end < 0 else end + 3
             continue
-        at = found.end()
-        closing, name, attributes, words = found.groups()
-        if words is not None:
-            text.append(html.unescape(words))
+        if page.startswith(("<!", "<?"), at) and at < last:
+            at = page.index(">", at) + 1
             continue
-        if name is None:
+        found = OPENING.match(page, at)
+        end = ends.of(found.end()) if found and at < last else -1
+        if end < 0:  # no tag, or one that never ends
+            text.append("<")
+            at += 1
             continue
-        name = name.lower()
+        (closing, name), attributes = found.groups(), page[found.end() : end]
+        at, name = end + 1, name.lower()
         if name in BLOCKS:
             flush()
         if closing:
-            if name in CONTAINERS and any(e[0] == name for e in stack):
-                while stack.pop()[0] != name:
-                    pass
+            if name in CONTAINERS and open_names[name]:
+                while (gone := stack.pop()[0]) != name:
+                    open_names[gone] -= 1
+                open_names[name] -= 1
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else size
+            found = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
+            at = found.end() if found else size
             continue
         if name in CONTAINERS and name not in VOID and not attributes.endswith("/"):
             _, main, article, aside, until = stack[-1]
@@ -143,6 +202,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
                 until = until or named
             aside = aside or (name in ASIDE and name not in LOOSE) or (hidden and name not in WHOLE)
             stack.append((name, main or name in MAIN, article or name == "article", aside, until))
+            open_names[name] += 1
     flush()
     return out
 
@@ -150,27 +210,80 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
 def shared(a: list[str], b: list[str]) -> list[bool]:
     """Which lines of ``a`` a longest common subsequence with ``b`` holds.
 
-    Bit-parallel: bit j of a row is 0 where the length grows at line j of ``b``.
+    Lines that both begin or end with belong to one, and lines that only one has to
+    none; the others are aligned in parts whose tables fit a bound.
     """
-    where: dict[str, int] = {}
+    out = [False] * len(a)
+    first, last, last_b = 0, len(a), len(b)
+    while first < min(last, last_b) and a[first] == b[first]:
+        out[first] = True
+        first += 1
+    while min(last, last_b) > first and a[last - 1] == b[last_b - 1]:
+        last, last_b = last - 1, last_b - 1
+        out[last] = True
+    both = set(a[first:last]) & set(b[first:last_b])
+    places = [i for i in range(first, last) if a[i] in both]
+    own, other = [a[i] for i in places], [line for line in b[first:last_b] if line in both]
+    for i, hit in zip(places, _aligned(own, other)):
+        out[i] = hit
+    return out
+
+
+def _rows(a: list[str], b: list[str]) -> Iterator[int]:
+    """After each line of ``a``, bits that are 0 where the common length grows at line j of ``b``."""
+    where: dict[str, list[int]] = {}
     for j, line in enumerate(b):
-        where[line] = where.get(line, 0) | (1 << j)
+        where.setdefault(line, []).append(j)
+    masks = {line: _bits(places) for line, places in where.items()}
     full = (1 << len(b)) - 1
-    row, rows = full, []
+    row = full
     for line in a:
-        both = row & where.get(line, 0)
+        both = row & masks.get(line, 0)
         row = ((row + both) | (row - both)) & full
-        rows.append(row)
-    out = [False] * len(a)
-    i, j = len(a), len(b)
-    while i and j:
-        if a[i - 1] == b[j - 1]:
-            out[i - 1] = True
-            i, j = i - 1, j - 1
-        elif rows[i - 1] >> (j - 1) & 1:
-            j -= 1
-        else:
-            i -= 1
+        yield row
+
+
+def _bits(places: list[int]) -> int:
+    raw = bytearray(places[-1] // 8 + 1)
+    for j in places:
+        raw[j >> 3] |= 1 << (j & 7)
+    return int.from_bytes(raw, "little")
+
+
+def _lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """The common length of ``a`` with the first 0, 1, ... lines of ``b``."""
+    row = (1 << len(b)) - 1
+    for row in _rows(a, b):
+        pass
+    raw = np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8)
+    grows = 1 - np.unpackbits(raw, bitorder="little")[: len(b)].astype(np.int64)
+    return np.concatenate([[0], np.cumsum(grows)])
+
+
+def _aligned(a: list[str], b: list[str]) -> list[bool]:
+    """``shared`` by bit-parallel rows; a table beyond the bound is parted where halves of ``a`` meet."""
+    out, todo = [False] * len(a), [(0, len(a), 0, len(b))]
+    while todo:
+        a0, a1, b0, b1 = todo.pop()
+        if a0 == a1 or b0 == b1:
+            continue
+        if a1 - a0 > 1 and (a1 - a0) * (b1 - b0) > TABLE_BITS:
+            middle = (a0 + a1) // 2
+            before = _lengths(a[a0:middle], b[b0:b1])
+            behind = _lengths(a[middle:a1][::-1], b[b0:b1][::-1])[::-1]
+            cut = b0 + int((before + behind).argmax())
+            todo += [(a0, middle, b0, cut), (middle, a1, cut, b1)]
+            continue
+        rows = list(_rows(a[a0:a1], b[b0:b1]))
+        i, j = a1, b1
+        while i > a0 and j > b0:
+            if a[i - 1] == b[j - 1]:
+                out[i - 1] = True
+                i, j = i - 1, j - 1
+            elif rows[i - 1 - a0] >> (j - 1 - b0) & 1:
+                j -= 1
+            else:
+                i -= 1
     return out
 
 
@@ -247,4 +360,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     )
     number = F.hex(F.coalesce("page_id", F.lit(NULL_ID)))
     key = F.concat_ws("\x01", "_host", "_path", F.lpad(number, 16, "0"))
-    return in_ranges(rows.withColumn("_key", key), "_key", "_tie").mapInArrow(_extract, SCHEMA)
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    bytes_ = pages.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    rows = in_ranges(rows.withColumn("_key", key), "_key", "_tie", least=-(-bytes_ // RANGE_BYTES))
+    return rows.mapInArrow(_extract, SCHEMA)
