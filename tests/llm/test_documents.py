@@ -1,7 +1,9 @@
 import base64
 import re
+from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.cases import documents, frame
 from tests.llm.katz import Model
@@ -188,6 +190,72 @@ def test_fingerprints(spark):
     assert len(empty) == 1
 
 
+def paragraphs(text):
+    """The numbered paragraphs of a text, without digests."""
+    seen, out = Counter(), set()
+    for line in re.split(r"(?<=[.!?])\s+|\n+", text or ""):
+        for at in range(0, len(line), 256):
+            part = line[at : at + 256]
+            out.add((part, seen[part]))
+            seen[part] += 1
+    return out
+
+
+def test_fingerprints_equal_sets_of_paragraphs(spark):
+    """Null and repeated ids as well: rows of one id follow each other by a hash of their text."""
+    rows = documents()
+    df = frame(spark, rows)
+    hashed = df.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()
+    order = sorted(hashed, key=lambda r: (-(2**63) if r[0] is None else r[0], -r[2]), reverse=True)
+    want = []
+    for row, after in zip(order, [*order[1:], order[0]]):
+        text, following = row["text"] or "", after["text"] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        own, alike = paragraphs(text), []
+        for other in (paragraphs(edited), paragraphs(following)):
+            alike.append(len(own & other) / len(own | other) if own | other else 1.0)
+        want.append((row["doc_id"], len(text), edited, *alike))
+    got = fingerprints.fingerprint_documents(df)
+    got = got.select("doc_id", "n_chars", "edited_text", "near_edited", "near_next").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_changes_between_versions(spark):
+    rows = [(i, t) for i, t in documents() if i is not None and i >= 20]
+    new = [(i, (t or "") + "\nA new paragraph.") for i, t in rows if i % 2] + [(999, "x")]
+    found = fingerprints.paragraph_changes(frame(spark, rows), frame(spark, new))
+    old = dict(rows)
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert set(got) == {i for i, _ in new if i in old}
+    for i, r in got.items():
+        a, b = (set(fingerprints.digests(x or "").view(np.int64).tolist()) for x in (old[i], dict(new)[i]))
+        assert set(r["removed"]) == a - b and set(r["added"]) == b - a
+        assert len(r["added"]) == len(paragraphs(dict(new)[i]) - paragraphs(old[i]))
+    empty = frame(spark, [])
+    assert fingerprints.paragraph_changes(empty, empty).count() == 0
+
+
+def test_peeling_gives_digests_and_sides():
+    rng = np.random.default_rng(4)
+    a = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (0, 3, 40, 900)]
+    b = [np.concatenate([g[1:], rng.integers(0, 2**63, len(g) // 3).astype(np.uint64)]) for g in a]
+    only_a, only_b = fingerprints.differences(a, b)
+    for x, y, p, q in zip(a, b, only_a, only_b):
+        assert set(p.tolist()) == set(x.tolist()) - set(y.tolist())
+        assert set(q.tolist()) == set(y.tolist()) - set(x.tolist())
+
+
+def test_digests_that_never_peel_are_compared(monkeypatch):
+    """Every digest in the same three cells, whatever the size of the sketch."""
+    monkeypatch.setattr(
+        fingerprints, "_places", lambda keys, cells: [np.full(len(keys), i * (cells // 3)) for i in range(3)]
+    )
+    a, b = [np.arange(9, dtype=np.uint64)], [np.arange(5, 20, dtype=np.uint64)]
+    only_a, only_b = fingerprints.differences(a, b)
+    assert only_a[0].tolist() == [0, 1, 2, 3, 4] and only_b[0].tolist() == list(range(9, 20))
+
+
 def test_sketches_recover_differences():
     rng = np.random.default_rng(1)
     groups = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (0, 1, 5, 400, 3000)]

@@ -28,6 +28,9 @@ HASHES = 3
 LONGEST = 256  # code points; a longer paragraph is cut from its start
 TOGETHER = 256  # pairs of texts handled at once
 LARGEST = 1 << 22  # cells handled at once
+ENOUGH = 8  # cells for each digest of a pair, with which sketches peel
+RANGE_BYTES = 64 * 1024 * 1024  # of texts in one range
+NO_DIGESTS = np.zeros(0, np.uint64)
 
 PARAGRAPHS = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -40,7 +43,7 @@ Sketch = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def digests(text: str) -> np.ndarray:
-    """A 64-bit digest of each paragraph; repeats get other digests, by their number."""
+    """A 64-bit digest of each paragraph, sorted; repeats get other digests, by their number."""
     seen: dict[str, int] = {}
     out = []
     for line in PARAGRAPHS.split(text):
@@ -49,7 +52,7 @@ def digests(text: str) -> np.ndarray:
             number = seen.get(part, 0)
             seen[part] = number + 1
             out.append(xxhash.xxh64_intdigest(part.encode(), seed=number))
-    return np.array(out, dtype=np.uint64)
+    return np.unique(np.array(out, dtype=np.uint64))
 
 
 def _check(keys: np.ndarray) -> np.ndarray:
@@ -91,11 +94,15 @@ def subtract(a: Sketch, b: Sketch) -> Sketch:
     return a[0] - b[0], a[1] ^ b[1], a[2] ^ b[2]
 
 
-def peel(difference: Sketch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each row: whether it peeled to nothing, and the digests only one side has."""
+def peel(difference: Sketch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(done, row, digest, side): which rows peeled to nothing, and the digests recovered.
+
+    A digest of side 1 is only in the first of the two versions, one of side -1 only
+    in the second. What a row that is not done has given up is true as well, but not all.
+    """
     n, cells = difference[0].shape
     counts, keys, checks = (x.reshape(-1).copy() for x in difference)
-    sides = np.zeros((2, n), dtype=np.int64)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     active = np.flatnonzero((counts == 1) | (counts == -1))
     while len(active):
         pure = active[
@@ -110,28 +117,34 @@ def peel(difference: Sketch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         new = np.ones(len(row), dtype=bool)
         new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
         row, key, sign = row[new], key[new], sign[new]
-        np.add.at(sides[0], row[sign > 0], 1)
-        np.add.at(sides[1], row[sign < 0], 1)
+        found.append((row, key, sign))
         at = np.concatenate([row * cells + p for p in _places(key, cells)])
         np.subtract.at(counts, at, np.tile(sign, HASHES))
         np.bitwise_xor.at(keys, at, np.tile(key, HASHES))
         np.bitwise_xor.at(checks, at, np.tile(_check(key), HASHES))
         active = np.unique(at)
     stuck = (counts != 0) | (keys != 0) | (checks != 0)
-    return ~stuck.reshape(n, cells).any(axis=1), sides[0], sides[1]
+    none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    row, key, side = (np.concatenate(x) for x in zip(none, *found))
+    return ~stuck.reshape(n, cells).any(axis=1), row, key, side
 
 
-def likeness(
+def differences(
     a: list[np.ndarray], b: list[np.ndarray], first: tuple[Sketch, Sketch] | None = None
-) -> np.ndarray:
-    """The share of common digests among all of both, for each pair of texts.
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each pair of texts the digests only in the first, and those only in the second, sorted.
 
-    ``first`` are the sketches of CELLS cells, where they are at hand. Two texts
-    without paragraphs are alike.
+    ``first`` are the sketches of CELLS cells, where they are at hand. Pairs that do
+    not peel get larger sketches; with ENOUGH cells for each digest and still stuck,
+    which takes digests made for it, the lists themselves are compared.
     """
-    out = np.ones(len(a))
+    only: tuple[list[np.ndarray], list[np.ndarray]] = ([NO_DIGESTS] * len(a), [NO_DIGESTS] * len(a))
     left, cells = np.arange(len(a)), CELLS
     while len(left):
+        sizes = np.array([len(a[i]) + len(b[i]) for i in left])
+        for i in left[(cells > CELLS) & (cells > ENOUGH * GROWTH * sizes)].tolist():
+            only[0][i], only[1][i] = np.setdiff1d(a[i], b[i]), np.setdiff1d(b[i], a[i])
+        left = left[(cells <= CELLS) | (cells <= ENOUGH * GROWTH * sizes)]
         stuck = []
         step = max(1, LARGEST // cells)
         for at in range(0, len(left), step):
@@ -140,14 +153,30 @@ def likeness(
                 one, two = (tuple(x[some] for x in s) for s in first)
             else:
                 one, two = (sketches([g[i] for i in some], cells) for g in (a, b))
-            done, only_a, only_b = peel(subtract(one, two))
-            size_a = np.array([len(a[i]) for i in some])
-            size_b = np.array([len(b[i]) for i in some])
-            common, union = size_a - only_a, size_b + only_a
-            out[some[done]] = (common / np.maximum(union, 1) + (union == 0))[done]
+            done, row, key, side = peel(subtract(one, two))
+            order = np.lexsort((key, row))
+            row, key, side = row[order], key[order], side[order]
+            for lists, sign in zip(only, (1, -1)):
+                ends = np.searchsorted(row[side == sign], np.arange(len(some) + 1))
+                mine = key[side == sign]
+                for k in np.flatnonzero(done & (np.diff(ends) > 0)).tolist():
+                    lists[some[k]] = mine[ends[k] : ends[k + 1]]
             stuck.append(some[~done])
-        left, cells = np.concatenate(stuck), cells * GROWTH
-    return out
+        left, cells = np.concatenate([np.zeros(0, np.int64), *stuck]), cells * GROWTH
+    return only
+
+
+def likeness(
+    a: list[np.ndarray], b: list[np.ndarray], first: tuple[Sketch, Sketch] | None = None
+) -> np.ndarray:
+    """The share of common digests among all of both, from their ``differences``.
+
+    Two texts without paragraphs are alike.
+    """
+    only_a, only_b = (np.array(list(map(len, x))) for x in differences(a, b, first))
+    common = np.array(list(map(len, a))) - only_a
+    union = common + only_a + only_b
+    return common / np.maximum(union, 1) + (union == 0)
 
 
 def written(sketch: Sketch) -> list[str]:
@@ -203,4 +232,35 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     A single row is its own next. Other columns are not read.
     """
     rows = identified(docs).select("doc_id", "text", F.bitwise_not("_id").alias("_down"), "_h")
-    return in_ranges(rows, "_down", "_h", wrap=True).mapInArrow(_fingerprint, SCHEMA)
+    size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))).first()[0] or 0
+    rows = in_ranges(rows, "_down", "_h", wrap=True, least=-(-size // RANGE_BYTES))
+    return rows.mapInArrow(_fingerprint, SCHEMA)
+
+
+def _changed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, TOGETHER):
+            part = batch.slice(at, TOGETHER)
+            sides = [[digests(x or "") for x in part.column(c).to_pylist()] for c in ("old", "new")]
+            lists = [
+                pa.array([x.view(np.int64) for x in side], pa.list_(pa.int64()))
+                for side in differences(*sides)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), *lists], names=["doc_id", "removed", "added"]
+            )
+
+
+def paragraph_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(doc_id, removed, added): digests of the paragraphs in which two versions of a document differ.
+
+    One row for each pair of a row of ``old`` and one of ``new`` that share a doc_id; ids
+    must not repeat in both, and rows without an id have no other version. Null
+    texts count as empty. Digests are those of ``digests``, as signed numbers.
+    """
+    sides = [
+        x.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias(name))
+        for x, name in ((old, "old"), (new, "new"))
+    ]
+    pairs = sides[0].join(sides[1], "doc_id").select("doc_id", "old", "new")
+    return pairs.mapInArrow(_changed, "doc_id bigint, removed array<bigint>, added array<bigint>")
