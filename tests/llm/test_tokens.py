@@ -9,6 +9,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tests.llm.cases import documents, frame
+from tests.plans import physical_plan
 from wordloom.llm.byte_bpe import Ranks, encode_texts, round_trip, with_tokens
 from wordloom.llm.token_counts import count_tokens
 
@@ -45,14 +46,24 @@ def test_piece_counts(spark, rows, table):
     assert sorted_rows(got) == sorted(want, key=repr)
 
 
-def test_json_counts(spark, rows):
-    path = public_tokenizers.path("word_bpe_49k.json")
+@pytest.mark.parametrize("table", [0, 100, 32_768])
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_json_counts(spark, rows, name, table):
+    path = public_tokenizers.path(name)
     model = Tokenizer.from_file(path)
-    got = count_tokens(frame(spark, rows), path).select("doc_id", "n_tokens")
+    special = "<|startoftext|>a <|endoftext|> b<|EndOfText|>"
+    rows = rows + [(200, special), (201, "Ünï  Côdé\u00a0x\u3000y don't WE'LL 123abc")]
+    got = count_tokens(frame(spark, rows), path, table_tokens=table).select("doc_id", "n_tokens")
     want = [(i, len(model.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
     assert sorted_rows(got) == sorted(want, key=repr)
 
 
+def test_counting_shuffles_nothing(spark, rows):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id bigint, text string")
+    assert "Exchange" not in physical_plan(count_tokens(docs, path))
+
+
 def test_byte_bpe_equals_the_library(spark, rows, tiktoken_encode):
     want = []
     for i, text in rows:

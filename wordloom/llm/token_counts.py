@@ -2,9 +2,10 @@
 
 A text falls apart into pre-tokens over whose ends no token reaches, so the
 count of a text is the sum over its pre-tokens. Lengths of pre-tokens come from
-two tiers: a broadcast table of the most frequent ones, then a cache in each
-task that encodes what it has not met. No pre-token is shuffled but for the
-heaviest of each task, from which the table is made.
+two tiers: a broadcast table of frequent ones, then a cache in each task that
+encodes what it has not met. No pre-token is shuffled. The table is made from a
+bounded draw of texts; which pre-tokens it holds decides what is encoded again in
+each task, and no count.
 """
 
 from __future__ import annotations
@@ -12,15 +13,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TABLE_TOKENS = 32_768  # entries of the broadcast table
-TASK_TOKENS = 4_096  # of each task, towards the table
-SUMMARY_TOKENS = 200_000  # kept while a task counts
+DRAWN_TEXTS, DRAWN_BYTES = 4_000, 8_192  # texts the table is made from, and bytes of each, at most
 CACHE_TOKENS = 400_000  # of a task's cache; a full cache starts anew
 LONGEST_KEY = 64  # longer pre-tokens are encoded each time, so tables are bounded in bytes
 OVER_LIMIT = 4_096
@@ -63,7 +63,14 @@ class PieceLengths:
 
 
 class JsonLengths:
-    """Token counts by a tokenizers file, with whole texts as pre-tokens."""
+    """Token counts by a tokenizers file.
+
+    The file's own normalizer and splitter give the pre-tokens, which its model counts one by
+    one. A text that holds an added token, or all texts of a file without a
+    splitter, are one part and go through the whole tokenizer.
+    """
+
+    whole = "\x00whole:"  # in front of such a text
 
     def __init__(self, model: bytes):
         from tokenizers import Tokenizer
@@ -71,12 +78,28 @@ class JsonLengths:
         self.model = Tokenizer.from_str(model.decode())
         self.model.no_truncation()
         self.model.no_padding()
+        added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)), re.I) if added else None
 
     def split(self, text: str) -> list[str]:
-        return [text] if text else []
+        if not text:
+            return []
+        splitter, normalizer = self.model.pre_tokenizer, self.model.normalizer
+        if splitter is None or self.added and self.added.search(text):
+            return [self.whole + text]
+        if normalizer is not None:
+            text = normalizer.normalize_str(text)
+        return [part for part, _ in splitter.pre_tokenize_str(text)]
 
     def lengths(self, parts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.model.encode_batch(parts, add_special_tokens=False)]
+        out = []
+        for is_whole, some in groupby(parts, lambda p: p.startswith(self.whole)):
+            if is_whole:
+                texts = [p[len(self.whole) :] for p in some]
+                out += [len(e.ids) for e in self.model.encode_batch(texts, add_special_tokens=False)]
+            else:
+                out += [len(self.model.model.tokenize(p)) for p in some]
+        return out
 
 
 def lengths_of(kind: str, model: bytes) -> PieceLengths | JsonLengths:
@@ -104,31 +127,20 @@ def count_tokens(
 
 
 def _frequent(docs: DataFrame, kind: str, model: bytes, most: int) -> dict[str, int]:
-    """The lengths of the most frequent pre-tokens of all texts, at most ``most``."""
-    if kind != "model" or not most:
-        return {}
-    tops = docs.select("text").mapInArrow(_heaviest(kind, model), "part string, n bigint")
-    top = tops.groupBy("part").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "part").limit(most)
-    parts = [row["part"] for row in top.collect()]
-    return dict(zip(parts, lengths_of(kind, model).lengths(parts))) if parts else {}
-
+    """The lengths of at most ``most`` frequent pre-tokens of a draw of texts.
 
-def _heaviest(kind: str, model: bytes) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = lengths_of(kind, model).split
-        seen: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                seen.update(split(text.as_py() or ""))
-                if len(seen) > SUMMARY_TOKENS:
-                    seen = Counter(dict(seen.most_common(SUMMARY_TOKENS // 4)))
-        top = [x for x in seen.most_common(TASK_TOKENS) if len(x[0]) <= LONGEST_KEY]
-        yield pa.record_batch(
-            [pa.array([x[0] for x in top], pa.string()), pa.array([x[1] for x in top], pa.int64())],
-            names=["part", "n"],
-        )
-
-    return run
+    Whole texts of at most DRAWN_BYTES, drawn by a hash of the row, come to the driver.
+    """
+    if not most:
+        return {}
+    rate = max(1, docs.count() // DRAWN_TEXTS)
+    drawn = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rate)) == 0)
+    drawn = drawn.where(F.octet_length("text") <= DRAWN_BYTES).select("text").limit(DRAWN_TEXTS)
+    lengths = lengths_of(kind, model)
+    seen = Counter(chain.from_iterable(lengths.split(row["text"]) for row in drawn.collect()))
+    top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))
+    parts = [part for part, _ in top if len(part) <= LONGEST_KEY][:most]
+    return dict(zip(parts, lengths.lengths(parts)))
 
 
 def _counter(shared) -> Callable:
