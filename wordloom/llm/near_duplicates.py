@@ -23,9 +23,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.llm.tables import attached, kept
 from wordloom.llm.texts import LOWER, NULL_ID, blocks, identified, mixed, word_hashes, words_of
 from wordloom.operators.joins import fits_broadcast
-from wordloom.scratch import use_shared_checkpoints
 
 SHINGLE = 3
 PERCENT = 85
@@ -203,20 +203,17 @@ def _compare(percent: int) -> Callable:
     return run
 
 
-def _kept(rows: DataFrame) -> DataFrame:
-    use_shared_checkpoints(rows.sparkSession)
-    return rows.checkpoint()
-
-
 def _compared(texts: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(node, pivot, n, linked, diff) of the pairs (node, pivot).
 
     A pivot with many members is copied once for every GROUP of them.
     """
     sizes = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
-    members = pairs.join(sizes, "pivot").select(
+    sizes = kept(sizes)
+    # Only pivots with several parts are looked up: at most one for every GROUP pairs.
+    members = attached(pairs, sizes.where("parts > 1"), ["pivot"], ["node"]).select(
         "pivot",
-        F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"),
+        F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"),
         F.lit(True).alias("member"),
         "node",
     )
@@ -237,9 +234,9 @@ def components(links: DataFrame) -> DataFrame:
     label, until nothing changes.
     """
     other_way = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    both = _kept(links.unionByName(other_way).distinct())
+    both = kept(links.unionByName(other_way).distinct())
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-    labels = _kept(labels.select("node", F.least("node", "label").alias("label")))
+    labels = kept(labels.select("node", F.least("node", "label").alias("label")))
     while True:
         near = (
             both.join(labels.select(F.col("node").alias("b"), "label"), "b")
@@ -250,7 +247,7 @@ def components(links: DataFrame) -> DataFrame:
             "node", F.least("label", "near").alias("label"), F.col("label").alias("old")
         )
         above = least.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        labels = _kept(
+        labels = kept(
             least.join(above, "label", "left").select(
                 "node", F.least("label", "above").alias("label"), "old"
             )
@@ -280,7 +277,7 @@ def _left_apart(compared: DataFrame, labels: DataFrame, percent: int) -> DataFra
         F.ceil((F.col("members") - F.col("most.m")) / BLOCK).cast("int").alias("us"),
         F.ceil(F.col("members") / BLOCK).cast("int").alias("vs"),
     )
-    rows = rows.join(several, "pivot")
+    rows = attached(rows, kept(several), ["pivot"], ["node"]).where("most IS NOT NULL")
     place = lambda parts: F.pmod(F.xxhash64("node"), parts).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
     what = ["node", "label", "n", "diff"]
@@ -305,17 +302,17 @@ def similar_classes(
     exploded = classes.select("node", F.explode("bands").alias("band"))
     shared = exploded.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("m"))
     pairs = exploded.join(shared.where("m > 1").drop("m"), "band").where("node <> pivot")
-    pairs = _kept(pairs.select("node", "pivot").distinct())
+    pairs = kept(pairs.select("node", "pivot").distinct())
     if pairs.isEmpty():
         return None
     nodes = pairs.select("node").union(pairs.select("pivot")).distinct()
     if fits_broadcast(nodes):
         nodes = F.broadcast(nodes)
     texts = texts.join(nodes, "node", "left_semi")
-    compared = _kept(_compared(texts, pairs, shingle, percent))
+    compared = kept(_compared(texts, pairs, shingle, percent))
     links = compared.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     labels = components(links)
-    more = _kept(_left_apart(compared, labels, percent))
+    more = kept(_left_apart(compared, labels, percent))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     return labels
@@ -324,9 +321,9 @@ def similar_classes(
 def _with_least(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(doc_id, _id, _h, n_shingles, least, ...): each row with the least node of its component."""
     keyed = identified(docs)
-    features = _kept(keyed.mapInArrow(_features(shingle, BANDS, ROWS), FEATURES))
+    features = kept(keyed.mapInArrow(_features(shingle, BANDS, ROWS), FEATURES))
     classes = features.where("n_shingles > 0").groupBy("set1", "set2")
-    classes = _kept(
+    classes = kept(
         classes.agg(F.min(F.struct("_id", "_h")).alias("node"), F.first("bands").alias("bands"))
     )
     labels = similar_classes(
