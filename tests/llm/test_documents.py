@@ -294,6 +294,19 @@ def test_quality(spark):
     assert accepted.where("doc_id < 700").count() == sum(kept.values())
 
 
+def test_sums_by_teams_of_tasks(spark, monkeypatch):
+    """The same models, however many levels the tasks' sums go through; repeated ids count once."""
+    docs, labels = labelled(400)
+    known = spark.createDataFrame([x for x in labels if x[0] % 2], "doc_id bigint, quality int, toxic int")
+    rows = frame(spark, docs + docs[:60] * 3).repartition(9)
+    found = []
+    for team in (128, 2):
+        monkeypatch.setattr(quality, "TEAM", team)
+        scores = quality.score(rows, known).select("doc_id", "low_score", "toxic_score").distinct().collect()
+        found.append(np.array(sorted(map(tuple, scores))))
+    assert len(found[0]) == 400 and np.allclose(*found, atol=1e-6)
+
+
 def test_quality_without_labels(spark):
     docs = frame(spark, documents())
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")

@@ -33,6 +33,7 @@ ROUNDS = 3
 SURE = 0.97  # probability from which a view passes a document on
 PASSED_ON = 0.1  # of the weight of the labelled ones, at most, by each view in a round
 STEPS = 12  # of Newton's method, at most
+TEAM = 128  # tasks whose sums are added up before they go on
 HELD_BACK = 5  # one labelled document in so many is for calibration
 REJECT = 0.5
 CALIBRATION_PENALTY = 0.01  # two columns need little
@@ -300,14 +301,53 @@ def _passed_sums(shared, counting: bool) -> Callable:
     return run
 
 
+SUMS = "task int, taker int, n double, slope binary, bend binary"
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted rows (team, taker, task) one for each team and taker, added up in their order."""
+    key, own = None, [0.0, None, None]
+
+    def out() -> pa.RecordBatch:
+        n, slope, bend = own
+        columns = [pa.array([x], k) for x, k in zip(key, (pa.int32(), pa.int32()))]
+        columns.append(pa.array([n], pa.float64()))
+        columns += [pa.array([b"" if x is None else x.tobytes()], pa.binary()) for x in (slope, bend)]
+        return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SUMS.split(", ")])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if (row["team"], row["taker"]) != key:
+                if key is not None:
+                    yield out()
+                key, own = (row["team"], row["taker"]), [0.0, None, None]
+            if row["n"]:
+                own[0] += row["n"]
+                for place, name in ((1, "slope"), (2, "bend")):
+                    more = np.frombuffer(row[name])
+                    own[place] = more if own[place] is None else own[place] + more
+    if key is not None:
+        yield out()
+
+
 def _over_unlabelled(views: DataFrame, takers: list[Taker], counting: bool = False) -> list:
-    """The sums of each taker over all stored rows, added up in the order of tasks."""
+    """The sums of each taker over all stored rows, added up in the order of tasks.
+
+    Tasks give their sums to teams of TEAM, and these to teams in turn, so that
+    the driver gets at most TEAM rows for each taker, whatever the number of tasks.
+    """
     shared = shipped(views.sparkSession, takers)
-    kind = "task int, taker int, n double, slope binary, bend binary"
-    rows = views.mapInArrow(_passed_sums(shared, counting), kind).toArrow()
+    rows = views.mapInArrow(_passed_sums(shared, counting), SUMS)
+    tasks = views.rdd.getNumPartitions()
+    while tasks > TEAM:
+        rows = rows.withColumn("team", F.floor(F.col("task") / TEAM).cast("int"))
+        rows = rows.repartition("team", "taker").sortWithinPartitions("team", "taker", "task")
+        rows = rows.select("team", "taker", "task", "n", "slope", "bend").mapInArrow(_added, SUMS)
+        tasks = -(-tasks // TEAM)
+    found = rows.toArrow()
     shared.destroy()
     sums: list = [[0.0, 0.0, 0.0] for _ in takers]
-    for row in rows.sort_by([("task", "ascending"), ("taker", "ascending")]).to_pylist():
+    for row in found.sort_by([("task", "ascending"), ("taker", "ascending")]).to_pylist():
         own = sums[row["taker"]]
         if row["n"]:
             slope, bend = np.frombuffer(row["slope"]), np.frombuffer(row["bend"])
@@ -490,7 +530,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         ).write.parquet(path)
         shared.destroy()
         stored = spark.read.parquet(path)
-        found = stored.where("low >= 0 OR toxic >= 0").toArrow()
+        # One document for each labelled id, however many rows repeat it.
+        row = F.struct("low", "toxic", "text_view", "meta_view")
+        found = stored.where("low >= 0 OR toxic >= 0").groupBy("doc_id").agg(F.min(row).alias("row"))
+        found = found.select("doc_id", "row.*").toArrow()
         if found.num_rows:
             order = [(c, "ascending") for c in ("doc_id", "text_view", "meta_view")]
             found = found.sort_by(order)
