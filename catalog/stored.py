@@ -191,7 +191,7 @@ def search_heavy_word(spark, sf_dir):
         qid.alias("qid"),
         F.when(qid % 10 == 0, SEARCH_WORDS[1]).otherwise(SEARCH_WORDS[0]).alias("word"),
     )
-    heavy = heavy_keys(words, "word")
+    heavy = heavy_keys(words, "word", least=100)
     return split_join(words, top, "word", "inner", ["qid"], heavy).select(
         "qid", "word", "rank", "doc_id", "occurrences"
     )

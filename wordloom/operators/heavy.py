@@ -14,20 +14,28 @@ from pyspark.sql import functions as F
 
 KEYS = 1_000  # heavy keys at most; a thousandth of the rows each is no more than that
 TRACKED = 10_000  # keys that the sketch follows
+LEAST = 10_000  # rows below which a key is no burden for a task, whatever its share
 
 
-def heavy_keys(rows: DataFrame, key: str, share: float | None = None, most: int = KEYS) -> list:
-    """The keys of at least ``share`` of the rows, by one pass with a sketch, heaviest first.
-
-    Left out, the share is that of a task if all were even. The sketch's counts are
-    too high by at most a few ten-thousandths of the rows, so no heavy key is missed.
+def heavy_keys(
+    rows: DataFrame,
+    key: str,
+    share: float | None = None,
+    most: int = KEYS,
+    least: int = LEAST,
+) -> list:
+    """The keys of at least ``share`` of the rows and ``least`` of them, heaviest first.
+
+    Left out, the share is that of a task if all were even. One pass with a sketch; its counts
+    are too high by at most a few ten-thousandths of the rows, so no heavy key is missed.
     """
     if share is None:
         share = 1 / int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = max(share, 1 / most)
     top = F.expr(f"approx_top_k(`{key}`, {most}, {max(TRACKED, most)})")
     found = rows.where(F.col(key).isNotNull()).agg(F.count("*").alias("n"), top.alias("top")).first()
-    return [item["item"] for item in found["top"] or [] if item["count"] >= share * found["n"]]
+    least = max(least, share * found["n"])
+    return [item["item"] for item in found["top"] or [] if item["count"] >= least]
 
 
 def split_join(

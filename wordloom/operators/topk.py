@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.operators.heavy import heavy_keys, split_join
 from wordloom.operators.words import WordSet
+from wordloom.scratch import use_shared_checkpoints
 
 TOP = 10
 
@@ -73,15 +75,26 @@ def search(top: DataFrame, entities: DataFrame, words: DataFrame, few: bool) ->
     """Answer every (qid, word) from ``top``, in query order.
 
     ``top`` has at most k rows per distinct word. Words meet it first, which
-    moves narrow rows only; names and lists come last, each list once. Words are
-    used as typed, and a repeated word is answered for each qid. Where ``top``
-    is measured to be small (``few``), it is broadcast; else a word or document
-    with very many answers is split by Spark as a skewed join.
+    moves narrow rows only; they are put in order and kept in the shared folder.
+    Names and lists come last, each list once, and go to the place of their answer, so
+    that they are joined once and not again for a sample of the order.
+    Words are used as typed, and a repeated word is answered for each qid. Where
+    ``top`` is measured to be small (``few``), it is broadcast; else words and
+    documents with more than a task's share of the answers are measured and split.
     """
-    hits = words.join(F.broadcast(top) if few else top, "word")
-    hits = hits.withColumnRenamed("doc_id", "entity_id")
-    found = hits.join(entities, "entity_id").withColumnRenamed("entity_id", "doc_id")
-    return found.select(*ANSWER).orderBy("qid", "rank", "part")
+    use_shared_checkpoints(top.sparkSession)
+    if few:
+        hits = words.join(F.broadcast(top), "word")
+    else:
+        hits = split_join(words, top, "word", "inner", ["qid"], heavy_keys(words, "word"))
+    hits = hits.withColumnRenamed("doc_id", "entity_id").repartitionByRange("qid", "rank")
+    hits = hits.withColumn("_place", F.spark_partition_id()).checkpoint()
+    places = hits.rdd.getNumPartitions()  # of the checkpoint, so no job
+    heavy = [] if few else heavy_keys(hits, "entity_id")
+    found = split_join(hits, entities, "entity_id", "inner", ["qid", "rank"], heavy)
+    found = found.withColumnRenamed("entity_id", "doc_id")
+    found = found.repartitionById(places, "_place")
+    return found.sortWithinPartitions("qid", "rank", "part").select(*ANSWER)
 
 
 def restrict_literally(rows: DataFrame, ids: list[int]) -> DataFrame:
