@@ -159,7 +159,7 @@ def test_lines_are_read_once_with_rejects(spark, paths, tmp_path):
 
 def test_programs_leave_nothing_in_the_shared_folder(spark, paths):
     folder = Path(shared_folder(spark).removeprefix("file:"))
-    before = {p.name for p in folder.iterdir() if not p.name.startswith("rdd-")}
+    before = {p.name for p in folder.iterdir()}
     write_index(spark, paths("docs"), paths("stop"), paths("index"), 2, paths("rejects"))
     write_entities(spark, paths("parents"), paths("children"), paths("ents"), 2, 2, paths("rejects"))
     load_tables(
@@ -168,7 +168,7 @@ def test_programs_leave_nothing_in_the_shared_folder(spark, paths):
     )
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         load_tables(spark, paths("index"), paths("none"), paths("posts"), paths("named"))
-    assert {p.name for p in folder.iterdir() if not p.name.startswith("rdd-")} == before
+    assert {p.name for p in folder.iterdir()} == before
 
 
 def test_raw_postings_load_as_counts(spark, paths, tmp_path):

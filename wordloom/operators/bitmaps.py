@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.operators.joins import BROADCAST_BYTES, fits_broadcast, salted_join
-from wordloom.scratch import use_shared_checkpoints
+from wordloom.scratch import kept
 
 BITS = 16  # of the bitmaps for each word
 HASHES = 4  # bits that a word sets
@@ -81,10 +81,9 @@ def filter_by_bitmaps(rows: DataFrame, words: DataFrame, count: int, how: str) -
     """
     if how not in ("left_semi", "left_anti"):
         raise ValueError(f"how must be 'left_semi' or 'left_anti', not {how!r}")
-    use_shared_checkpoints(rows.sparkSession)
     tested = with_maybe(rows, words, count)
     doubted = tested.where("_maybe").select("word").distinct()
-    wrong = doubted.join(words.select("word"), "word", "left_anti").checkpoint()
+    wrong = kept(doubted.join(words.select("word"), "word", "left_anti"))
     few = fits_broadcast(wrong)
     if how == "left_semi":
         hits = tested.where("_maybe").drop("_maybe")

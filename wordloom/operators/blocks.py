@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.scratch import use_shared_checkpoints
+from wordloom.scratch import kept
 
 BLOCK = 128  # postings in a block
 
@@ -22,9 +22,8 @@ def placed_in_lists(posts: DataFrame, *order: Column) -> DataFrame:
     spreads over many; a rank is the place in the range plus the rows of the word
     in earlier ranges. The ranges are kept in the shared folder, as they are read twice.
     """
-    use_shared_checkpoints(posts.sparkSession)
     ranged = posts.repartitionByRange(F.asc("word"), *order)
-    ranged = ranged.withColumn("_range", F.spark_partition_id()).checkpoint()
+    ranged = kept(ranged.withColumn("_range", F.spark_partition_id()))
     earlier = Window.partitionBy("word").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         ranged.groupBy("word", "_range")

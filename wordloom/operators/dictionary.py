@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.operators.joins import fits_broadcast, salted_join
-from wordloom.scratch import use_shared_checkpoints
+from wordloom.scratch import kept
 
 
 def term_dictionary(words: DataFrame) -> DataFrame:
@@ -16,10 +16,9 @@ def term_dictionary(words: DataFrame) -> DataFrame:
     the sizes of those before it, a running sum over as many rows as there are ranges. The
     ranges are kept in the shared folder.
     """
-    use_shared_checkpoints(words.sparkSession)
     distinct = words.select("word").where(F.col("word").isNotNull()).distinct()
     ranged = distinct.repartitionByRange("word").withColumn("_range", F.spark_partition_id())
-    ranged = ranged.checkpoint()
+    ranged = kept(ranged)
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(

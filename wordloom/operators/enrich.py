@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.operators.joins import salted_join
-from wordloom.scratch import use_shared_checkpoints
+from wordloom.scratch import kept
 
 
 def last_per_key(
@@ -52,11 +52,10 @@ def child_rows(children: DataFrame, order_by: Sequence[str] = ("pos",)) -> DataF
     range plus the children in earlier ranges: a running sum over as many rows
     as the parent has ranges, however its positions lie.
     """
-    use_shared_checkpoints(children.sparkSession)
     keys = ["entity_id", *order_by]
     ranged = children.select(*keys, "label").repartitionByRange(*keys, "label")
     # Read twice below; ranges drawn anew might differ.
-    ranged = ranged.withColumn("_range", F.spark_partition_id()).checkpoint()
+    ranged = kept(ranged.withColumn("_range", F.spark_partition_id()))
     earlier = (
         Window.partitionBy("entity_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -117,7 +116,6 @@ def _in_parts(
     children: DataFrame, order_by: Sequence[str], part_length: int, part_bytes: int | None
 ) -> DataFrame:
     """(entity_id, part, n_children, children) without bringing a parent's rows together."""
-    use_shared_checkpoints(children.sparkSession)
     rows = child_rows(children.where(F.col("entity_id").isNotNull()), order_by)
     rows = rows.withColumn("_block", F.floor(F.col("rank") / part_length))
     if part_bytes is not None:
@@ -127,12 +125,8 @@ def _in_parts(
         piece = F.floor((F.sum(size).over(running) - size) / part_bytes)
     else:
         piece = F.lit(0).cast("bigint")
-    pieces = (
-        rows.withColumn("_piece", piece)
-        .groupBy("entity_id", "_block", "_piece")
-        .agg(F.count("*").alias("_n"), _in_order(["rank"]).alias("children"))
-        .checkpoint()
-    )
+    pieces = rows.withColumn("_piece", piece).groupBy("entity_id", "_block", "_piece")
+    pieces = kept(pieces.agg(F.count("*").alias("_n"), _in_order(["rank"]).alias("children")))
     totals = pieces.groupBy("entity_id").agg(F.sum("_n").alias("n_children"))
     numbered = pieces.join(totals, "entity_id")
     if part_bytes is None:

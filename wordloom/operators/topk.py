@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wordloom.operators.heavy import heavy_keys, split_join
 from wordloom.operators.words import WordSet
-from wordloom.scratch import use_shared_checkpoints
+from wordloom.scratch import kept
 
 TOP = 10
 
@@ -82,14 +82,13 @@ def search(top: DataFrame, entities: DataFrame, words: DataFrame, few: bool) ->
     ``top`` is measured to be small (``few``), it is broadcast; else words and
     documents with more than a task's share of the answers are measured and split.
     """
-    use_shared_checkpoints(top.sparkSession)
     if few:
         hits = words.join(F.broadcast(top), "word")
     else:
         hits = split_join(words, top, "word", "inner", ["qid"], heavy_keys(words, "word"))
     hits = hits.withColumnRenamed("doc_id", "entity_id").repartitionByRange("qid", "rank")
-    hits = hits.withColumn("_place", F.spark_partition_id()).checkpoint()
-    places = hits.rdd.getNumPartitions()  # of the checkpoint, so no job
+    hits = kept(hits.withColumn("_place", F.spark_partition_id()))
+    places = 1 + (hits.agg(F.max("_place")).first()[0] or 0)
     heavy = [] if few else heavy_keys(hits, "entity_id")
     found = split_join(hits, entities, "entity_id", "inner", ["qid", "rank"], heavy)
     found = found.withColumnRenamed("entity_id", "doc_id")

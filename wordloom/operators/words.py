@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wordloom.functions import clean, tokenize
 from wordloom.operators.bitmaps import bitmaps_fit, filter_by_bitmaps
 from wordloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, salted_join, size_of
-from wordloom.scratch import use_shared_checkpoints
+from wordloom.scratch import kept
 
 # A list of up to this size becomes a set in the filter expression.
 LITERAL_WORDS = 1_000
@@ -100,8 +100,7 @@ def word_set(rows: DataFrame, words: WordList) -> WordSet:
     found = [row["word"] for row in some.collect()]
     if None not in found and (literal := _literal(found)) is not None:
         return literal
-    use_shared_checkpoints(words.sparkSession)
-    listed = listed.checkpoint()
+    listed = kept(listed)
     return WordSet(*size_of(listed), None, listed)
 
 

@@ -25,7 +25,7 @@ from wordloom.operators.topk import (
     top_matched,
 )
 from wordloom.operators.words import WordSet, keep_query_words, word_set
-from wordloom.scratch import new_path, remove, use_shared_checkpoints
+from wordloom.scratch import cleared, kept, new_path
 
 POSTINGS = "tier INT, block BIGINT, word STRING, doc_id BIGINT, occurrences BIGINT"
 BLOCKS = "word STRING, block BIGINT, n BIGINT, max_occurrences BIGINT, first_doc BIGINT"
@@ -66,26 +66,24 @@ def write_impact_index(posts: DataFrame, path: str, block: int = BLOCK) -> Impac
     Words must not be null.
     """
     index = ImpactIndex(path, block)
+    spark = posts.sparkSession
     posts = posts.select("word", "doc_id", "occurrences")
-    ranked = placed_in_lists(posts, *best_first())
-    ranked = ranked.withColumn("block", F.floor(F.col("rank") / block))
-    stage = new_path(posts.sparkSession, "impact")
-    try:
-        ranked.write.parquet(stage)
-        rows = posts.sparkSession.read.parquet(stage).withColumn("tier", _tier(F.col("block")))
+    with cleared(spark):
+        ranked = placed_in_lists(posts, *best_first())
+        stage = new_path(spark, "impact")
+        ranked.withColumn("block", F.floor(F.col("rank") / block)).write.parquet(stage)
+        rows = spark.read.parquet(stage).withColumn("tier", _tier(F.col("block")))
         rows = rows.select(*[c.split()[0] for c in POSTINGS.split(", ")])
         sort = ["tier", "word", "block", F.desc("occurrences"), "doc_id"]
         rows = rows.repartitionByRange(*sort).sortWithinPartitions(*sort)
         rows.write.mode("overwrite").partitionBy("tier").parquet(index.postings)
-        blocks = index.read_postings(posts.sparkSession).groupBy("word", "block").agg(
-            F.count("*").alias("n"),
-            F.max("occurrences").alias("max_occurrences"),
-            F.min_by("doc_id", F.struct(-F.col("occurrences"), "doc_id")).alias("first_doc"),
-        )
-        blocks = blocks.repartitionByRange("word", "block").sortWithinPartitions("word", "block")
-        blocks.write.mode("overwrite").parquet(index.blocks)
-    finally:
-        remove(posts.sparkSession, stage)
+    blocks = index.read_postings(spark).groupBy("word", "block").agg(
+        F.count("*").alias("n"),
+        F.max("occurrences").alias("max_occurrences"),
+        F.min_by("doc_id", F.struct(-F.col("occurrences"), "doc_id")).alias("first_doc"),
+    )
+    blocks = blocks.repartitionByRange("word", "block").sortWithinPartitions("word", "block")
+    blocks.write.mode("overwrite").parquet(index.blocks)
     return index
 
 
@@ -117,14 +115,13 @@ def top_by_impact(
     ``entity_ids``. Each tier is one job on the words still open, kept in the shared
     folder; there are as many as the logarithm of the longest list read has.
     """
-    use_shared_checkpoints(spark)
     blocks = keep_query_words(index.read_blocks(spark), words)
     ids = entity_ids.select(F.col(entity_ids.columns[0]).alias("doc_id"))
     found: DataFrame | None = None
     read: list[int] = []
     while True:
         tier = len(read)
-        still = _pending(blocks, found, tier, k).checkpoint()
+        still = kept(_pending(blocks, found, tier, k))
         open_words = still.count()
         if not open_words:
             break
@@ -137,7 +134,7 @@ def top_by_impact(
         hits = hits.select("word", "doc_id", "occurrences")
         if found is not None:
             hits = found.drop("rank").unionByName(hits)
-        found = top_matched(hits, k).checkpoint()
+        found = kept(top_matched(hits, k))
     if found is None:
         found = spark.createDataFrame([], "word STRING, doc_id BIGINT, occurrences BIGINT, rank INT")
     return found, read

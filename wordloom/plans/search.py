@@ -21,7 +21,7 @@ from wordloom.operators.topk import (
 )
 from wordloom.operators.words import WordList, word_set
 from wordloom.plans.index import corpus_tokens
-from wordloom.scratch import use_shared_checkpoints
+from wordloom.scratch import kept
 
 
 def search_tables(
@@ -34,8 +34,7 @@ def search_tables(
     """
     wanted = word_set(posts, words)
     ids = entities.where(F.col("part") == 0).select("entity_id")
-    use_shared_checkpoints(posts.sparkSession)
-    top = top_postings(keep_query_words(posts, wanted), ids, k).checkpoint()
+    top = kept(top_postings(keep_query_words(posts, wanted), ids, k))
     found = few_ids(top)
     if found is not None:
         entities = restrict_literally(entities, found)
@@ -52,9 +51,8 @@ def search_bucketed(
     """
     wanted = word_set(posts, words)
     ids = entities.where(F.col("part") == 0).select(F.col("entity_id").alias("doc_id"))
-    use_shared_checkpoints(posts.sparkSession)
     met = keep_query_words(posts, wanted).join(ids.hint("merge"), "doc_id")
-    top = top_matched(met.select(*posts.columns), k).checkpoint()
+    top = kept(top_matched(met.select(*posts.columns), k))
     found = few_ids(top)
     if found is not None:
         entities = restrict_literally(entities, found)
@@ -76,15 +74,14 @@ def search_documents(
 
     Only tokens of query words are counted, and only the parents and children
     of the winners are joined and listed. The winners are read several times,
-    so they are checkpointed. ``few`` tells whether the winners may be
+    so they are kept in the shared folder. ``few`` tells whether the winners may be
     broadcast; left out, the words are measured.
     """
     wanted = word_set(docs, words)
     few = few_hits(wanted, k) if few is None else few
     ids = parents.select("entity_id").distinct()
     posts = postings(keep_query_words(corpus_tokens(docs, stop_words), wanted))
-    use_shared_checkpoints(docs.sparkSession)
-    top = top_postings(posts, ids, k).checkpoint()
+    top = kept(top_postings(posts, ids, k))
     entities = _entities_of(top, parents, children, order_by, part_length, few)
     return search(top, entities, words, few)
 
@@ -102,8 +99,7 @@ def search_word(
 
     Parents and children are restricted to the winners before any list is made.
     """
-    use_shared_checkpoints(posts.sparkSession)
-    best = best_of_word(posts, parents.select("entity_id").distinct(), word, k).checkpoint()
+    best = kept(best_of_word(posts, parents.select("entity_id").distinct(), word, k))
     few = k <= BROADCAST_ROWS
     entities = _entities_of(best, parents, children, order_by, part_length, few)
     best = F.broadcast(best) if few else best

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The paths given inside the innermost ``cleared``.
 _given: ContextVar[list[str] | None] = ContextVar("given", default=None)
@@ -66,6 +66,22 @@ def cleared(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+    """``df`` computed once and cut from what made it, in the shared folder.
+
+    Inside ``cleared`` it is a table that goes at the end. Elsewhere it is a
+    checkpoint, which Spark deletes once nothing refers to it, where
+    spark.cleaner.referenceTracking.cleanCheckpoints is set.
+    """
+    spark = df.sparkSession
+    if _given.get() is None:
+        use_shared_checkpoints(spark)
+        return df.checkpoint()
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path that ``new_path`` gave, on whatever file system it is."""
     if not path.startswith(shared_folder(spark).rstrip("/") + "/"):
