@@ -24,7 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.tables import attached, kept
-from wordloom.llm.texts import LOWER, NULL_ID, blocks, identified, mixed, word_hashes, words_of
+from wordloom.llm.texts import (
+    LOWER,
+    NULL_ID,
+    SMALL_BLOCK,
+    blocks,
+    give_back,
+    identified,
+    mixed,
+    word_hashes,
+    words_of,
+)
 from wordloom.operators.joins import fits_broadcast
 
 SHINGLE = 3
@@ -94,7 +104,7 @@ def band_keys(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
 
 def _features(shingle: int, bands: int, rows: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in blocks(batches):
+        for part, data, offsets in blocks(batches, limit=SMALL_BLOCK):
             sets = shingle_sets(data, offsets, shingle)
             filled = [i for i, s in enumerate(sets) if len(s)]
             keys = band_keys([sets[i] for i in filled], bands, rows)
@@ -115,6 +125,7 @@ def _features(shingle: int, bands: int, rows: int) -> Callable:
                 ],
                 names=[f.split()[0] for f in FEATURES.split(", ")],
             )
+        give_back()
 
     return run
 
@@ -128,7 +139,7 @@ def _confirm(shingle: int, percent: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(0, np.uint64)
-        for part, data, offsets in blocks(batches):
+        for part, data, offsets in blocks(batches, limit=SMALL_BLOCK):
             rows, sizes, linked, diffs = [], [], [], []
             sets = shingle_sets(data, offsets, shingle)
             for row, (is_member, members) in enumerate(zip(part.column("member").to_pylist(), sets)):

@@ -23,7 +23,19 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.decontamination import NOT_WORD
 from wordloom.llm.repeats import Hashes
-from wordloom.llm.texts import BASE, BYTE_CODE, LOWER, blocks, mixed, opened, shipped, word_hashes, words_of
+from wordloom.llm.texts import (
+    BASE,
+    BYTE_CODE,
+    LOWER,
+    SMALL_BLOCK,
+    blocks,
+    give_back,
+    mixed,
+    opened,
+    shipped,
+    word_hashes,
+    words_of,
+)
 from wordloom.scratch import new_path, remove
 
 MAX_LABELLED = 20_000  # bound of the labelled documents fitted on; unlabelled ones have none
@@ -97,7 +109,7 @@ def _token_counts(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = shared.value
         held = []
-        for part, data, offsets in blocks(batches):
+        for part, data, offsets in blocks(batches, limit=SMALL_BLOCK):
             own = np.array([labels.get(i, (0, 0)) for i in part.column("doc_id").to_pylist()])
             for row, token in tokens_of(data, offsets):
                 once = _once(row, token)
@@ -444,7 +456,7 @@ def _views(shared) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = opened(shared)
-        for part, data, offsets in blocks(batches):
+        for part, data, offsets in blocks(batches, limit=SMALL_BLOCK):
             text = model.text_view(data, offsets)
             meta = model.meta_view(*(part.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
             ids = part.column("doc_id")
@@ -457,6 +469,7 @@ def _views(shared) -> Callable:
                 ],
                 names=["doc_id", *TARGETS, "text_view", "meta_view"],
             )
+        give_back()
 
     return run
 
@@ -548,7 +561,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
 def _scorer(shared, names: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = opened(shared)
-        for part, data, offsets in blocks(batches):
+        for part, data, offsets in blocks(batches, limit=SMALL_BLOCK):
             text = model.text_view(data, offsets)
             meta = model.meta_view(*(part.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
             scores = []
@@ -587,7 +600,7 @@ def _accepter(shared, reject: float) -> Callable:
             columns = {"doc": doc, "text": pc.struct_field(doc, "text")}
             columns |= {c: batch.column(c) for c in ("source", "lang", "n_chars")}
             whole = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-            for part, data, offsets in blocks(iter([whole])):
+            for part, data, offsets in blocks(iter([whole]), limit=SMALL_BLOCK):
                 text = model.text_view(data, offsets)
                 meta = model.meta_view(
                     *(part.column(c).to_pylist() for c in ("source", "lang", "n_chars"))
@@ -598,6 +611,7 @@ def _accepter(shared, reject: float) -> Callable:
                         keep &= target.probability(text, meta).astype(np.float64) < reject
                 kept = part.column("doc").filter(pa.array(keep))
                 yield pa.RecordBatch.from_arrays([kept], names=["doc"])
+        give_back()
 
     return run
 

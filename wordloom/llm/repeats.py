@@ -36,6 +36,7 @@ from wordloom.llm.texts import (
     BYTE_CODE,
     INVERSE,
     blocks,
+    give_back,
     identified,
     mixed,
     powers,
@@ -206,6 +207,7 @@ def _anchored(rule: Rule) -> Callable:
             if size >= TASK_SEGMENTS:
                 yield from flush()
         yield from flush()
+        give_back()
 
     return run
 

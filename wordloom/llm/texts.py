@@ -6,6 +6,7 @@ over all bytes of a block stay small; one text longer than a block is a block.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Iterator
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 2 * 1024 * 1024
+SMALL_BLOCK = BLOCK_BYTES // 4  # where a task holds 40 bytes and more for each byte of a block
 
 # A null id stands before all others.
 NULL_ID = -(2**63)
@@ -72,6 +74,14 @@ def blocks(
             start = stop
 
 
+def give_back() -> None:
+    """Return free memory to the system, at the end of a task: its worker lives on and serves others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
+
+
 def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and the n + 1 offsets of a string or binary column."""
     if isinstance(column, pa.ChunkedArray):
