@@ -12,6 +12,7 @@ from catalog.search import ORACLE as SEARCHES
 from catalog.search import SQL_DOCUMENT_ENTITIES, answers, sql_search
 from catalog.tables import (
     SEARCH_WORDS,
+    STOP_WORDS,
     customers,
     document_labels,
     document_sources,
@@ -44,6 +45,7 @@ from wordloom.plans import (
     load_tables,
     search_bucketed,
     search_by_impact,
+    search_documents,
     write_impact_index,
 )
 from wordloom.scratch import new_path
@@ -197,6 +199,20 @@ def search_heavy_word(spark, sf_dir):
     )
 
 
+def search_heavy_answers(spark, sf_dir):
+    """As above, with names and lists: ten documents are in nearly all answers."""
+    qid = F.col("doc_id")
+    words = documents(spark, sf_dir).select(
+        qid.alias("qid"),
+        F.when(qid % 10 == 0, SEARCH_WORDS[1]).otherwise(SEARCH_WORDS[0]).alias("word"),
+    )
+    sides = document_sources(spark, sf_dir), document_labels(spark, sf_dir)
+    found = search_documents(
+        documents(spark, sf_dir), *sides, words, STOP_WORDS, few=False, heavy_rows=100
+    )
+    return answers(found)
+
+
 QUERIES = {
     "search_impact_order": search_impact_order,
     "search_impact_sparse": search_impact_sparse,
@@ -213,6 +229,7 @@ QUERIES = {
     "postings_block_heads": block_heads,
     "postings_frequent": postings_frequent,
     "search_heavy_word": search_heavy_word,
+    "search_heavy_answers": search_heavy_answers,
 }
 
 
@@ -273,6 +290,12 @@ ORACLE = {
               FROM ({sql_postings()})) GROUP BY ALL""",
     "postings_frequent": f"""
         SELECT * FROM ({sql_postings()}) WHERE word = '{SEARCH_WORDS[0]}' AND occurrences >= 3""",
+    "search_heavy_answers": sql_search(
+        f"""SELECT doc_id AS qid, CASE WHEN doc_id % 10 = 0 THEN '{SEARCH_WORDS[1]}'
+            ELSE '{SEARCH_WORDS[0]}' END AS word FROM documents""",
+        sql_postings(),
+        SQL_DOCUMENT_ENTITIES,
+    ),
     "search_heavy_word": f"""
         SELECT d.doc_id AS qid, word, CAST(rank AS INTEGER) AS rank, t.doc_id, occurrences
         FROM (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '{SEARCH_WORDS[1]}'

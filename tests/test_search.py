@@ -194,3 +194,16 @@ def test_stop_words_and_entities_agree_with_tables(spark, frames):
     stored = answers(search_tables(posts, entities, words))
     assert [r[:3] for r in direct] == [r[:3] for r in stored]
     assert all(row[1] != "the" for row in direct)
+
+
+def test_documents_in_most_answers_are_split(spark, hot_word):
+    """Rows of heavy words and documents are dealt over salts, and the order of answers stays."""
+    posts, ids, post_df, entities = hot_word
+    words = [(i, "w0" if i % 3 else "w7") for i in range(400)]
+    query = spark.createDataFrame(words, schemas.QUERY_WORDS)
+    top = top_postings(post_df, entities.select("entity_id"), 3)
+    found = search(top, entities.hint("merge"), query, few=False, heavy_rows=100)
+    assert "_salt" in physical_plan(found)
+    columns = ("qid", "word", "rank", "doc_id", "occurrences")
+    got = [tuple(r[c] for c in columns) for r in found.collect()]
+    assert got == brute_force(posts, ids, words, 3)

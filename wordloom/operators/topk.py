@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.operators.heavy import heavy_keys, split_join
+from wordloom.operators.heavy import LEAST, heavy_keys, split_join
 from wordloom.operators.words import WordSet
 from wordloom.scratch import kept
 
@@ -71,7 +71,13 @@ def few_hits(words: WordSet, k: int = TOP) -> bool:
     return words.fits(copies=k)
 
 
-def search(top: DataFrame, entities: DataFrame, words: DataFrame, few: bool) -> DataFrame:
+def search(
+    top: DataFrame,
+    entities: DataFrame,
+    words: DataFrame,
+    few: bool,
+    heavy_rows: int = LEAST,
+) -> DataFrame:
     """Answer every (qid, word) from ``top``, in query order.
 
     ``top`` has at most k rows per distinct word. Words meet it first, which
@@ -80,16 +86,18 @@ def search(top: DataFrame, entities: DataFrame, words: DataFrame, few: bool) ->
     that they are joined once and not again for a sample of the order.
     Words are used as typed, and a repeated word is answered for each qid. Where
     ``top`` is measured to be small (``few``), it is broadcast; else words and
-    documents with more than a task's share of the answers are measured and split.
+    documents with more than a task's share of the answers, and ``heavy_rows``, are
+    measured and split.
     """
     if few:
         hits = words.join(F.broadcast(top), "word")
     else:
-        hits = split_join(words, top, "word", "inner", ["qid"], heavy_keys(words, "word"))
+        heavy = heavy_keys(words, "word", least=heavy_rows)
+        hits = split_join(words, top, "word", "inner", ["qid"], heavy)
     hits = hits.withColumnRenamed("doc_id", "entity_id").repartitionByRange("qid", "rank")
     hits = kept(hits.withColumn("_place", F.spark_partition_id()))
     places = 1 + (hits.agg(F.max("_place")).first()[0] or 0)
-    heavy = [] if few else heavy_keys(hits, "entity_id")
+    heavy = [] if few else heavy_keys(hits, "entity_id", least=heavy_rows)
     found = split_join(hits, entities, "entity_id", "inner", ["qid", "rank"], heavy)
     found = found.withColumnRenamed("entity_id", "doc_id")
     found = found.repartitionById(places, "_place")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.operators import keep_query_words, parent_child_list, postings, restrict_to
+from wordloom.operators.heavy import LEAST
 from wordloom.operators.joins import BROADCAST_ROWS
 from wordloom.operators.topk import (
     TOP,
@@ -69,13 +70,15 @@ def search_documents(
     order_by: Sequence[str] = ("pos",),
     part_length: int | None = None,
     few: bool | None = None,
+    heavy_rows: int = LEAST,
 ) -> DataFrame:
     """Answer (qid, word) rows from the documents, without a stored index.
 
     Only tokens of query words are counted, and only the parents and children
     of the winners are joined and listed. The winners are read several times,
     so they are kept in the shared folder. ``few`` tells whether the winners may be
-    broadcast; left out, the words are measured.
+    broadcast; left out, the words are measured. Where they may not, words asked and
+    documents answered more than ``heavy_rows`` times, and more than a task's share, are split.
     """
     wanted = word_set(docs, words)
     few = few_hits(wanted, k) if few is None else few
@@ -83,7 +86,7 @@ def search_documents(
     posts = postings(keep_query_words(corpus_tokens(docs, stop_words), wanted))
     top = kept(top_postings(posts, ids, k))
     entities = _entities_of(top, parents, children, order_by, part_length, few)
-    return search(top, entities, words, few)
+    return search(top, entities, words, few, heavy_rows)
 
 
 def search_word(
