@@ -15,10 +15,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.texts import opened, shipped
+from wordloom.llm.texts import gives_back, opened, shipped
 
 NONE = np.int32(2**31 - 1)
 CELLS = 1 << 20  # of one matrix
@@ -219,7 +220,7 @@ def with_tokens(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     with open(ranks, "rb") as file:
         shared = shipped(docs.sparkSession, Ranks(file.read()))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ADDED]).alias("doc_id")
-    rows = docs.select(whole, "text")
+    rows = docs.select(whole)  # the text is read from the row itself
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids binary, decoded binary"
     coded = rows.mapInArrow(_encoder(shared, pattern, True), schema)
@@ -227,6 +228,8 @@ def with_tokens(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
 
 def _encoder(shared, pattern: str, decode: bool) -> Callable:
+    """Of rows (doc_id, text), or of whole rows that hold a text, with their ids behind them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
@@ -236,7 +239,8 @@ def _encoder(shared, pattern: str, decode: bool) -> Callable:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                parts = [split(text) if text else [] for text in some.column(1).to_pylist()]
+                texts = some.column(1) if some.num_columns > 1 else pc.struct_field(some.column(0), "text")
+                parts = [split(text) if text else [] for text in texts.to_pylist()]
                 new = list(set(chain.from_iterable(parts)).difference(known))
                 found = dict(zip(new, ranks.encode([p.encode() for p in new])))
                 if len(known) > CACHE_TOKENS:
@@ -255,7 +259,7 @@ def _encoder(shared, pattern: str, decode: bool) -> Callable:
                     names.append("decoded")
                 yield pa.record_batch(columns, names=names)
 
-    return run
+    return gives_back(run)
 
 
 def _joined(parts: list[str], known: dict, found: dict, ranks: Ranks) -> bytes:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.texts import LOWER, blocks, word_hashes, words_of
+from wordloom.llm.texts import LOWER, blocks, gives_back, word_hashes, words_of
 from wordloom.scratch import use_shared_checkpoints
 
 WINDOW = 10
@@ -266,7 +266,7 @@ def _searcher(shared, size: int, column: str) -> Callable:
                 yield from flush()
         yield from flush()
 
-    return run
+    return gives_back(run)
 
 
 def with_hits(

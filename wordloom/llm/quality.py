@@ -29,7 +29,7 @@ from wordloom.llm.texts import (
     LOWER,
     SMALL_BLOCK,
     blocks,
-    give_back,
+    gives_back,
     mixed,
     opened,
     shipped,
@@ -122,7 +122,7 @@ def _token_counts(shared) -> Callable:
             columns = [token.view(np.int64), n, *(c.astype(np.int64) for c in counts)]
             yield pa.record_batch([pa.array(c) for c in columns], names=["token", "n", "low", "toxic"])
 
-    return run
+    return gives_back(run)
 
 
 @dataclass
@@ -310,7 +310,7 @@ def _passed_sums(shared, counting: bool) -> Callable:
             names=["task", "taker", "n", "slope", "bend"],
         )
 
-    return run
+    return gives_back(run)
 
 
 SUMS = "task int, taker int, n double, slope binary, bend binary"
@@ -469,9 +469,8 @@ def _views(shared) -> Callable:
                 ],
                 names=["doc_id", *TARGETS, "text_view", "meta_view"],
             )
-        give_back()
 
-    return run
+    return gives_back(run)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
@@ -574,7 +573,7 @@ def _scorer(shared, names: list[str]) -> Callable:
                 names=[*names, "low_score", "toxic_score"],
             )
 
-    return run
+    return gives_back(run)
 
 
 def score(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> DataFrame:
@@ -611,9 +610,8 @@ def _accepter(shared, reject: float) -> Callable:
                         keep &= target.probability(text, meta).astype(np.float64) < reject
                 kept = part.column("doc").filter(pa.array(keep))
                 yield pa.RecordBatch.from_arrays([kept], names=["doc"])
-        give_back()
 
-    return run
+    return gives_back(run)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import ctypes
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +82,16 @@ def give_back() -> None:
         trim(0)
 
 
+def gives_back(run: Callable) -> Callable:
+    """A task's function that returns free memory once it has read and written all."""
+
+    def to_the_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return to_the_end
+
+
 def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and the n + 1 offsets of a string or binary column."""
     if isinstance(column, pa.ChunkedArray):
