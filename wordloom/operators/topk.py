@@ -81,26 +81,26 @@ def search(
     """Answer every (qid, word) from ``top``, in query order.
 
     ``top`` has at most k rows per distinct word. Words meet it first, which
-    moves narrow rows only; they are put in order and kept in the shared folder.
-    Names and lists come last, each list once, and go to the place of their answer, so
-    that they are joined once and not again for a sample of the order.
+    moves narrow rows only; names and lists come last, each list once.
     Words are used as typed, and a repeated word is answered for each qid. Where
-    ``top`` is measured to be small (``few``), it is broadcast; else words and
-    documents with more than a task's share of the answers, and ``heavy_rows``, are
-    measured and split.
+    ``top`` is measured to be small (``few``), it is broadcast, and the answers are
+    sorted. Else words and documents with more than a task's share of the answers, and
+    ``heavy_rows``, are measured and split; the narrow answers are put in order and
+    kept in the shared folder, and lists go to the place of their answer, so that
+    they are joined once and not again for a sample of the order.
     """
     if few:
-        hits = words.join(F.broadcast(top), "word")
-    else:
-        heavy = heavy_keys(words, "word", least=heavy_rows)
-        hits = split_join(words, top, "word", "inner", ["qid"], heavy)
+        hits = words.join(F.broadcast(top), "word").withColumnRenamed("doc_id", "entity_id")
+        found = hits.join(entities, "entity_id").withColumnRenamed("entity_id", "doc_id")
+        return found.select(*ANSWER).orderBy("qid", "rank", "part")
+    heavy = heavy_keys(words, "word", least=heavy_rows)
+    hits = split_join(words, top, "word", "inner", ["qid"], heavy)
     hits = hits.withColumnRenamed("doc_id", "entity_id").repartitionByRange("qid", "rank")
     hits = kept(hits.withColumn("_place", F.spark_partition_id()))
     places = 1 + (hits.agg(F.max("_place")).first()[0] or 0)
-    heavy = [] if few else heavy_keys(hits, "entity_id", least=heavy_rows)
+    heavy = heavy_keys(hits, "entity_id", least=heavy_rows)
     found = split_join(hits, entities, "entity_id", "inner", ["qid", "rank"], heavy)
-    found = found.withColumnRenamed("entity_id", "doc_id")
-    found = found.repartitionById(places, "_place")
+    found = found.withColumnRenamed("entity_id", "doc_id").repartitionById(places, "_place")
     return found.sortWithinPartitions("qid", "rank", "part").select(*ANSWER)
 
 
