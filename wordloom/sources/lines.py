@@ -170,6 +170,13 @@ def _parsed(
 
 
 def _fields(line: Column, sep: str) -> Column:
-    """Split at ``sep`` as it is, without the empty fields at the end of the line."""
+    """Split at ``sep`` as it is, without the empty fields at the end of the line.
+
+    A single character is given as a pattern that is no regular expression to Java, so
+    that none is compiled for each line; only lines that end with it are trimmed.
+    """
     quoted = "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-    return F.split(F.regexp_replace(line, f"({quoted})+\\z", ""), quoted)
+    trimmed = F.when(line.endswith(sep), F.regexp_replace(line, f"({quoted})+\\z", "")).otherwise(line)
+    if len(sep) > 1:
+        return F.split(trimmed, quoted)
+    return F.split(trimmed, f"\\{sep}" if sep in ".$|()[{^?*+\\" else sep)
