@@ -1,6 +1,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from wordloom import schemas, scratch
 from wordloom.operators import parent_child_list
@@ -24,7 +25,9 @@ from wordloom.sources import (
     write_delimited,
     write_entity_text,
     write_table,
+    writers,
 )
+from wordloom.sources.lines import _fields
 
 CHILD = "10" + "\t" * 8
 
@@ -261,3 +264,44 @@ def test_shared_folder():
     assert scratch.shared_folder(given) == "hdfs://given"
     local = Session("local[2]")
     assert scratch.shared_folder(local) == scratch.shared_folder(local)
+
+
+def test_files_are_cut_where_a_task_would_sort_too_many_rows(spark, tmp_path, posts, monkeypatch):
+    """Asked for two files, a large table gets more, in order; what made the rows runs once."""
+    monkeypatch.setattr(writers, "FILE_ROWS", 100)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    columns = ["word", "doc_id", "occurrences"]
+    source = posts.mapInArrow(counted, posts.schema)
+    write_delimited(source, str(tmp_path / "out"), columns, " ", files=2, keys=["word", "doc_id"])
+    assert read.value == 1_000
+    parts = [p.read_text().splitlines() for p in sorted((tmp_path / "out").glob("part-*"))]
+    assert len(parts) == 10
+    assert max(map(len, parts)) <= 200
+    keys = [(w, int(d)) for part in parts for w, d, _ in (line.split(" ") for line in part)]
+    assert keys == sorted(keys)
+    write_table(posts, str(tmp_path / "t"), ["word", "doc_id"])
+    assert len(list((tmp_path / "t").glob("part-*"))) == 10
+    folder = scratch.shared_folder(spark).removeprefix("file:")
+    assert not [f for f in Path(folder).glob("stage-*")]
+
+
+@pytest.mark.parametrize("sep", ["|", " ", "\t", ".", "^", "\\", "a", "||"])
+def test_fields_are_split_without_a_pattern_for_each_line(spark, sep):
+    """As by a quoted pattern, and empty fields at the end go; one character needs no pattern."""
+    lines = ["x" + sep + "1" + sep * 3, sep, "", "b", sep * 2 + "y", "é" + sep + "😀" + sep + "2"]
+    df = spark.createDataFrame([(line,) for line in lines], "value STRING")
+    split = _fields(F.col("value"), sep)
+    got = [r[0] for r in df.select(split).collect()]
+    for line, fields in zip(lines, got):
+        want = line.split(sep)
+        while len(want) > 1 and not want[-1]:
+            want.pop()
+        assert fields == want
+    pattern = str(split).rsplit(" END", 1)[-1]
+    assert ("\\Q" in pattern) == (sep == "||")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from wordloom.functions import entity_line, entity_part_line
 from wordloom.scratch import new_path, remove
 
-# Bytes of a file of a table, where the caller does not set their number.
-FILE_BYTES = 512 * 1024 * 1024
+# Bytes of a staged file, as stored, and rows that one task sorts at most about; shuffled, both
+# are several times as wide.
+FILE_BYTES = 128 * 1024 * 1024
+FILE_ROWS = 4_000_000
 
 
 def write_delimited(
@@ -22,7 +25,7 @@ def write_delimited(
     files: int | None = None,
     keys: Sequence[str] = (),
 ) -> None:
-    """One line per row. ``files`` sets the number of files, see ``_arranged``.
+    """One line per row. ``files`` sets the number of files, see ``_write_lines``.
 
     Null is written as an empty field. A separator or line end within a field
     fails the job, since the line could not be read back.
@@ -70,7 +73,22 @@ def write_table(
 
     Files hold key ranges and are sorted, so a filter on the first key skips
     most of them; a key with very many rows is cut by the keys after it. There
-    are ``files`` of them, or as many as give about ``file_bytes`` each.
+    are ``files`` of them, but more where one would hold more than about ``file_bytes``
+    or ``FILE_ROWS``, so that the rows that a task sorts do not grow with the table.
+    """
+    with _in_ranges(df, keys, files, file_bytes) as rows:
+        writer = rows.write.mode("overwrite")
+        if "/" in table:
+            writer.parquet(table)
+        else:
+            writer.saveAsTable(table)
+
+
+@contextmanager
+def _in_ranges(
+    df: DataFrame, keys: Sequence[str], files: int | None, file_bytes: int = FILE_BYTES
+) -> Iterator[DataFrame]:
+    """The rows in sorted key ranges, at least ``files``, which bytes and rows may raise.
 
     Ranges need a sample. The rows are first kept in the shared folder, so that
     what made them runs once and the sample reads only the keys of a stored table.
@@ -80,13 +98,8 @@ def write_table(
     try:
         df.write.parquet(stage)
         rows = spark.read.schema(df.schema).parquet(stage)
-        count = files or max(1, -(-_stored_bytes(df, stage) // file_bytes))
-        writer = rows.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
-        writer = writer.write.mode("overwrite")
-        if "/" in table:
-            writer.parquet(table)
-        else:
-            writer.saveAsTable(table)
+        sizes = -(-_stored_bytes(df, stage) // file_bytes), -(-rows.count() // FILE_ROWS)
+        yield rows.repartitionByRange(max(files or 1, *sizes), *keys).sortWithinPartitions(*keys)
     finally:
         remove(spark, stage)
 
@@ -100,12 +113,10 @@ def _stored_bytes(df: DataFrame, path: str) -> int:
 def _write_lines(
     df: DataFrame, path: str, line: Column, files: int | None, keys: Sequence[str]
 ) -> None:
-    arranged = _arranged(df, files, keys)
-    arranged.select(line.alias("value")).write.mode("overwrite").text(path)
-
-
-def _arranged(df: DataFrame, files: int | None, keys: Sequence[str]) -> DataFrame:
-    """``files`` files, each sorted by the keys; 0 or None writes rows as they come."""
+    """``files`` files, each sorted by the keys, or more as in ``write_table``; 0 or None writes
+    rows as they come."""
     if not files:
-        return df
-    return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+        df.select(line.alias("value")).write.mode("overwrite").text(path)
+        return
+    with _in_ranges(df, keys, files) as rows:
+        rows.select(line.alias("value")).write.mode("overwrite").text(path)
