@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.scratch import kept
+from wordloom.scratch import kept, new_path, remove
 
 BLOCK = 128  # postings in a block
 
@@ -20,10 +20,19 @@ def placed_in_lists(posts: DataFrame, *order: Column) -> DataFrame:
 
     Rows are dealt to ranges of (word, order), so a word that is in every document
     spreads over many; a rank is the place in the range plus the rows of the word
-    in earlier ranges. The ranges are kept in the shared folder, as they are read twice.
+    in earlier ranges. The ranges are kept in the shared folder, as they are read twice;
+    before that the rows are staged there, so that what made them runs once and not
+    again for the sample of the ranges.
     """
-    ranged = posts.repartitionByRange(F.asc("word"), *order)
-    ranged = kept(ranged.withColumn("_range", F.spark_partition_id()))
+    spark = posts.sparkSession
+    stage = new_path(spark, "unplaced")
+    try:
+        posts.write.parquet(stage)
+        ranged = spark.read.schema(posts.schema).parquet(stage)
+        ranged = ranged.repartitionByRange(F.asc("word"), *order)
+        ranged = kept(ranged.withColumn("_range", F.spark_partition_id()))
+    finally:
+        remove(spark, stage)
     earlier = Window.partitionBy("word").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         ranged.groupBy("word", "_range")
