@@ -163,7 +163,9 @@ def _by_bitmap(how):
 
 
 def postings_by_term_id(spark, sf_dir):
-    posts = index(spark, sf_dir)
+    path = new_path(spark, "postings")  # read for the dictionary, for heavy words and for the numbers
+    index(spark, sf_dir).write.parquet(path)
+    posts = read_table(spark, path, schemas.POSTINGS)
     terms = term_dictionary(posts)
     return with_words(numbered_postings(posts, terms), terms)
 

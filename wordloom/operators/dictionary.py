@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.operators.heavy import heavy_keys, split_join
 from wordloom.operators.joins import fits_broadcast, salted_join
 from wordloom.scratch import kept
 
@@ -34,7 +35,8 @@ def by_term_id(posts: DataFrame, terms: DataFrame) -> DataFrame:
     if fits_broadcast(terms):
         joined = posts.join(F.broadcast(terms), "word")
     else:
-        joined = salted_join(posts, terms, ["word"], "inner", ["doc_id"])
+        # Only words with more than a task's share are repeated, not the whole dictionary.
+        joined = split_join(posts, terms, "word", "inner", ["doc_id"], heavy_keys(posts, "word"))
     return joined.select("term_id", "doc_id", "occurrences")
 
 
