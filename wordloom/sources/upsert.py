@@ -22,8 +22,9 @@ from wordloom.scratch import new_path, remove
 RANGE, GENERATION = "key_range", "generation"
 BOUNDS = "_bounds"  # a folder that scans of the table pass over
 
-# Ranges of a table whose caller does not set their number hold about so many rows.
-RANGE_ROWS = 5_000_000
+# Ranges of a table whose caller does not set their number hold about so many rows at first, and
+# a task sorts about so many.
+RANGE_ROWS = 1_000_000
 ACCURACY = 10_000
 
 
@@ -139,9 +140,13 @@ def _range(key: Column, bounds: list[int]) -> Column:
 
 
 def _write(rows: DataFrame, path: str, keys: Sequence[str], bounds: list[int], mode: str) -> None:
-    """Sorted files, range by range; "dynamic" replaces only the ranges that have rows."""
+    """Sorted files, range by range; "dynamic" replaces only the ranges that have rows.
+
+    Ranges grow with the table while their bounds stay, so rows, too, set how many tasks there are.
+    """
     placed = rows.withColumn(RANGE, _range(F.col(keys[0]), bounds))
-    placed = placed.repartitionByRange(len(bounds) + 1, RANGE, *keys)
+    tasks = max(len(bounds) + 1, -(-rows.count() // RANGE_ROWS))
+    placed = placed.repartitionByRange(tasks, RANGE, *keys)
     writer = placed.sortWithinPartitions(RANGE, *keys).write.mode("overwrite").partitionBy(RANGE)
     writer.option("partitionOverwriteMode", mode).parquet(path)
 
