@@ -11,6 +11,7 @@ from wordloom.plans import (
     write_entities,
     write_index,
 )
+from wordloom.plans.programs import last_lists
 from wordloom.scratch import shared_folder
 from wordloom.sources import parse_parents, read_lines, read_rejects, read_table, reject_counts
 from wordloom.sources.readers import accepted
@@ -181,3 +182,20 @@ def test_raw_postings_load_as_counts(spark, paths, tmp_path):
     assert got == [("x", 1, 3, "x1"), ("y", 1, 1, "y1")]
     texts = {r["entity_id"]: r["children_text"] for r in spark.read.parquet(named).collect()}
     assert texts == {10: "Al P Bob DVal K ", 2: "Jo S ", 7: ""}
+
+
+def test_entity_lines_are_read_once(spark, tmp_path):
+    """The last pieces are read three times, the lines once."""
+    read = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    data = [(1, "a", 0, 3, ["x", "y"], "f", 0), (1, "a", 1, 3, ["z"], "f", 1), (1, "b", 0, 1, ["w"], "g", 0)]
+    schema = f"{schemas.ENTITIES}, file STRING, pos BIGINT"
+    df = spark.createDataFrame(data, schema)
+    got = last_lists(df.mapInArrow(pass_on, df.schema))
+    assert [tuple(r) for r in got.collect()] == [(1, "b", 0, 1, ["w"])]
+    assert read.value == 3

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wordloom.operators import summed_postings
 from wordloom.plans.index import plain_entities
 from wordloom.plans.programs import last_lists
+from wordloom.scratch import cleared
 from wordloom.sources.lines import parse_entities, parse_postings
 from wordloom.sources.readers import PART_FILES, read_lines, strict
 from wordloom.sources.upsert import create_ranged, read_ranged, upsert
@@ -40,11 +41,12 @@ def create_updatable(
     ranges: int | None = None,
 ) -> None:
     """Text output of the writers to two ranged tables, replaced as a whole."""
-    create_ranged(
-        stored_postings(read_lines(spark, index, PART_FILES)), posting_table, POSTING_KEYS, ranges
-    )
-    lists = stored_entities(read_lines(spark, entities, PART_FILES), in_parts)
-    create_ranged(lists, entity_table, ENTITY_KEYS, ranges)
+    with cleared(spark):
+        create_ranged(
+            stored_postings(read_lines(spark, index, PART_FILES)), posting_table, POSTING_KEYS, ranges
+        )
+        lists = stored_entities(read_lines(spark, entities, PART_FILES), in_parts)
+        create_ranged(lists, entity_table, ENTITY_KEYS, ranges)
 
 
 def update_tables(
@@ -69,10 +71,11 @@ def update_tables(
         )
         upsert(posts, posting_table, ids("doc_id"))
     if entities is not None or gone is not None:
-        lists = _none(spark, entity_table) if entities is None else stored_entities(
-            read_lines(spark, entities, PART_FILES), in_parts
-        )
-        upsert(lists, entity_table, ids("entity_id"))
+        with cleared(spark):
+            lists = _none(spark, entity_table) if entities is None else stored_entities(
+                read_lines(spark, entities, PART_FILES), in_parts
+            )
+            upsert(lists, entity_table, ids("entity_id"))
 
 
 def _none(spark: SparkSession, table: str) -> DataFrame:
@@ -109,10 +112,11 @@ def _follow(spark: SparkSession, folder: str, state: str, stored, table: str, ke
 
     def bring_in(batch: DataFrame, number: int) -> None:
         rows = batch.select("file", F.monotonically_increasing_id().alias("pos"), "value")
-        if number == 0:
-            create_ranged(stored(rows), table, keys)
-        else:
-            upsert(stored(rows), table)
+        with cleared(batch.sparkSession):
+            if number == 0:
+                create_ranged(stored(rows), table, keys)
+            else:
+                upsert(stored(rows), table)
 
     query = (
         lines.writeStream.foreachBatch(bring_in)
