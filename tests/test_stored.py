@@ -1,4 +1,5 @@
 import random
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -21,6 +22,7 @@ from wordloom.operators import (
     term_dictionary,
     word_set,
 )
+from wordloom.operators import dictionary
 from wordloom.operators.bitmaps import with_maybe
 from wordloom.operators.index import text_order
 from wordloom.plans import (
@@ -31,7 +33,8 @@ from wordloom.plans import (
     update_tables,
     write_impact_index,
 )
-from wordloom.sources import create_ranged, read_ranged, upsert, write_bucketed
+from wordloom.scratch import shared_folder
+from wordloom.sources import create_ranged, read_ranged, upsert, write_bucketed, writers
 
 POSTS = "word string, doc_id bigint, occurrences bigint"
 LISTS = "entity_id bigint, name string, part bigint, n_children bigint, children array<string>"
@@ -138,6 +141,19 @@ def test_upsert_replaces_whole_lists_and_leaves_other_files(spark, tmp_path):
     assert {r["entity_id"] for r in read_ranged(spark, path, since=1).collect()} == new
 
 
+def test_tasks_of_a_growing_table_stay_small(spark, tmp_path, monkeypatch):
+    """Bounds stay as they were drawn, but a range that grows is written by several tasks."""
+    monkeypatch.setattr(sys.modules["wordloom.sources.upsert"], "RANGE_ROWS", 100)
+    path = str(tmp_path / "t")
+    for step in range(3):
+        rows = [(i, f"n{i}", 0, 0, []) for i in range(step, 900, 3)]
+        df = spark.createDataFrame(rows, LISTS)
+        create_ranged(df, path, ["entity_id", "part"]) if step == 0 else upsert(df, path)
+    sizes = [spark.read.parquet(str(p)).count() for p in files(path)]
+    assert sum(sizes) == 900 and max(sizes) <= 200
+    assert [r[0] for r in rows_of(read_ranged(spark, path).select("entity_id").orderBy("entity_id"))] == sorted(range(900), key=lambda i: repr((i,)))
+
+
 def test_upsert_of_null_keys_emptied_ranges_and_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = [(None, "a"), (None, "b"), (1, "c"), (2, "d"), (3, "e")]
@@ -235,6 +251,26 @@ def test_bucketed_tables_join_and_group_without_an_exchange(spark, tmp_path, no_
             spark.sql(f"DROP TABLE bucket_{name}")
 
 
+def test_buckets_have_several_files_where_a_task_would_sort_too_many_rows(
+    spark, tmp_path, monkeypatch, no_broadcast
+):
+    monkeypatch.setattr(writers, "FILE_ROWS", 50)
+    rows = [(f"w{i % 5}", None if i % 97 == 0 else i, 1) for i in range(1_000)]
+    write_bucketed(spark.createDataFrame(rows, POSTS), "split_posts", "doc_id", 4, ["word"], str(tmp_path / "p"))
+    try:
+        parts = list((tmp_path / "p").glob("part-*"))
+        assert len(parts) == 20
+        sizes = [spark.read.parquet(str(p)).count() for p in parts]
+        assert max(sizes) <= 100
+        table = spark.table("split_posts")
+        assert rows_of(table) == sorted(rows, key=repr)
+        grouped = table.groupBy("doc_id").count()
+        assert "Exchange" not in physical_plan(grouped)
+        assert rows_of(grouped.where("doc_id IS NOT NULL")) == sorted(((r[1], 1) for r in rows if r[1] is not None), key=repr)
+    finally:
+        spark.sql("DROP TABLE split_posts")
+
+
 # Bitmaps
 
 
@@ -331,6 +367,43 @@ def test_blocks_decode_to_the_postings(spark, block):
 # Text order
 
 
+def counted(spark, df):
+    """The rows, and an accumulator of how many were read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(pass_on, df.schema), read
+
+
+def test_blocks_run_their_source_once(spark, tmp_path):
+    """It is not run again for a sample of the ranges; what is staged goes."""
+    rows = postings_rows()
+    source, read = counted(spark, spark.createDataFrame(rows, POSTS))
+    assert rows_of(decode_blocks(code_blocks(source))) == sorted(rows, key=repr)
+    assert read.value == len(rows)
+    source, read = counted(spark, spark.createDataFrame(rows, POSTS))
+    write_impact_index(source, str(tmp_path / "i"), 4)
+    assert read.value == len(rows)
+    assert not list(Path(shared_folder(spark).removeprefix("file:")).glob("unplaced-*"))
+
+
+def test_only_heavy_words_are_repeated_for_their_numbers(spark, monkeypatch, no_broadcast):
+    """A dictionary too long for a broadcast is joined as it is, but for heavy words."""
+    monkeypatch.setattr(dictionary, "fits_broadcast", lambda df: False)
+    rows = [("all", d, 2) for d in range(12_000)] + [(f"w{d}", d, 1) for d in range(300)]
+    posts = spark.createDataFrame(rows, POSTS)
+    terms = term_dictionary(posts)
+    joined = dictionary.by_term_id(posts, terms)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "IN (all)" in plan or "= all" in plan
+    ids = {r["word"]: r["term_id"] for r in terms.collect()}
+    assert rows_of(joined) == sorted(((ids[w], d, n) for w, d, n in rows), key=repr)
+
+
 def test_numbers_in_the_order_of_their_texts(spark):
     rng = random.Random(2)
     some = [rng.randrange(10 ** rng.randint(1, 18)) for _ in range(400)]
