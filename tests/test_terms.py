@@ -145,3 +145,22 @@ def test_repeated_ids_are_summed_row_by_row(spark):
     docs = spark.createDataFrame([(1, "x x"), (1, "x y"), (2, "x")], "doc_id BIGINT, text STRING")
     got = sorted(map(tuple, build_index(docs, unique_ids=True).collect()))
     assert got == [("x", 1, 3), ("x", 2, 1), ("y", 1, 1)]
+
+
+def test_only_rows_of_repeated_ids_are_grouped(spark, monkeypatch):
+    """Null is an id, too. With too many repeated ids for a broadcast all rows are grouped."""
+    from wordloom.plans import index
+
+    data = [(1, "x x the"), (1, "x y"), (2, "x z x"), (None, "x"), (None, "y x"), (3, None), (4, " ")]
+    docs = spark.createDataFrame(data, "doc_id BIGINT, text STRING")
+    want = {("x", 1, 3), ("y", 1, 1), ("x", 2, 2), ("z", 2, 1), ("x", None, 2), ("y", None, 1)}
+    grouped = []
+    count = index.postings
+    monkeypatch.setattr(index, "postings", lambda toks: grouped.append(toks) or count(toks))
+    for stop in (["the"], spark.createDataFrame([("the",)], "word STRING")):
+        got = [tuple(r) for r in build_index(docs, stop).collect()]
+        assert len(got) == len(want) and set(got) == want
+        assert {r["doc_id"] for r in grouped[-1].collect()} == {1, None}
+    monkeypatch.setattr(index, "fits_broadcast", lambda ids: False)
+    assert {tuple(r) for r in build_index(docs, ["the"]).collect()} == want
+    assert {r["doc_id"] for r in grouped[-1].collect()} == {1, 2, None}
