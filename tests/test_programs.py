@@ -2,7 +2,9 @@ from pathlib import Path
 
 import pytest
 
+from tests.plans import physical_plan
 from wordloom import schemas
+from wordloom.operators import summed_in_order, summed_postings
 from wordloom.plans import (
     count_corpus,
     load_tables,
@@ -13,7 +15,15 @@ from wordloom.plans import (
 )
 from wordloom.plans.programs import last_lists
 from wordloom.scratch import shared_folder
-from wordloom.sources import parse_parents, read_lines, read_rejects, read_table, reject_counts
+from wordloom.sources import (
+    parse_parents,
+    parse_postings,
+    read_lines,
+    read_rejects,
+    read_table,
+    reject_counts,
+    write_table,
+)
 from wordloom.sources.readers import accepted
 
 NAMES = ["docs", "stop", "parents", "children", "words"]
@@ -199,3 +209,43 @@ def test_entity_lines_are_read_once(spark, tmp_path):
     got = last_lists(df.mapInArrow(pass_on, df.schema))
     assert [tuple(r) for r in got.collect()] == [(1, "b", 0, 1, ["w"])]
     assert read.value == 3
+
+
+def test_sums_meet_in_the_ranges_of_the_table(spark, tmp_path, monkeypatch):
+    """One exchange, for the ranges, in which rows are sorted once and summed in their order."""
+    data = [(w, d, n) for w in ("x", "y", None) for d in (1, 2, None) for n in (1, 4)]
+    posts = spark.createDataFrame(data, schemas.POSTINGS)
+    seen = []
+
+    def combine(ranged):
+        rows = summed_in_order(ranged)
+        seen.append(physical_plan(rows.sortWithinPartitions("word", "doc_id")))
+        return rows
+
+    write_table(posts, str(tmp_path / "t"), ["word", "doc_id"], 3, combine=combine)
+    assert "HashAggregate" not in seen[0]
+    assert seen[0].count("Exchange") == seen[0].count("Exchange rangepartitioning") == 1
+    assert seen[0].count("+- Sort [") == 1
+    got = [tuple(r) for r in read_table(spark, str(tmp_path / "t"), schemas.POSTINGS).collect()]
+    assert len(got) == 9 and {r[2] for r in got} == {5}
+    assert set(got) == {tuple(r) for r in summed_postings(posts).collect()}
+
+
+@pytest.mark.parametrize("with_rejects", [False, True])
+def test_lines_of_one_id_are_summed_in_the_index(spark, paths, tmp_path, with_rejects):
+    (tmp_path / "docs").write_text("1 x x y\n2 x\n1 y z\n" * 3)
+    rejects = paths("rejects") if with_rejects else None
+    for files in (2, None):
+        write_index(spark, paths("docs"), paths("stop"), paths("out"), files, rejects)
+        assert sorted(written(paths("out"))) == ["x 1 6", "x 2 3", "y 1 6", "z 1 3"]
+
+
+def test_staged_lines_are_not_sorted(spark, paths, tmp_path):
+    """Good and bad lines are staged in the order they come in, as one table."""
+    (tmp_path / "lines").write_text("a 1 2\nx\nb 2 2\n")
+    parsed = parse_postings(spark.read.text(paths("lines")))
+    good = accepted(parsed, paths("rejects"), "postings")
+    assert "problem=" not in "".join(good.inputFiles())
+    assert "PartitionFilters: []" in physical_plan(good)
+    assert not any("problem=" in str(p) for p in Path(shared_folder(spark).removeprefix("file:")).glob("parsed-*/*"))
+    assert sorted(map(tuple, good.collect())) == [("a", 1, 2), ("b", 2, 2)]

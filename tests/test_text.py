@@ -148,3 +148,20 @@ def test_children_text(spark, children, clean_text, compat):
 
 def test_plain_quotes(spark):
     assert one(spark, plain_quotes(F.lit('Say "Yo"'))) == "Say 'Yo'"
+
+
+def test_plain_integers_meet_no_pattern(spark):
+    """A pattern that nothing matches leaves numbers as they are written; others need it."""
+    from wordloom.functions import fields
+
+    texts = ["7", "-12", "+5", "007", "-0", " 7", "7\t", "1.5", "x", "", None, str(2**63), str(2**63 - 1)]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    got = [r[0] for r in df.select(fields.lenient_bigint(F.col("t"))).collect()]
+    assert got == [7, -12, 5, 7, 0, *[None] * 7, 2**63 - 1]
+    pattern = fields.INTEGER_PATTERN
+    try:
+        fields.INTEGER_PATTERN = "never"
+        got = [r[0] for r in df.select(fields.lenient_bigint(F.col("t"))).collect()]
+    finally:
+        fields.INTEGER_PATTERN = pattern
+    assert got == [7, -12, *[None] * 10, 2**63 - 1]

@@ -11,10 +11,12 @@ from wordloom.operators.enrich import (
 )
 from wordloom.operators.heavy import heavy_keys, split_join
 from wordloom.operators.index import (
+    counted_rows,
     last_posting_per_word,
     postings,
     raw_postings,
     row_postings,
+    summed_in_order,
     summed_postings,
 )
 from wordloom.operators.topk import (
@@ -33,6 +35,7 @@ __all__ = [
     "child_rows",
     "code_blocks",
     "corpus_total",
+    "counted_rows",
     "decode_blocks",
     "drop_stop_words",
     "few_hits",
@@ -54,6 +57,7 @@ __all__ = [
     "row_postings",
     "search",
     "split_join",
+    "summed_in_order",
     "summed_postings",
     "term_counts",
     "term_dictionary",

@@ -7,6 +7,7 @@ from wordloom.sources.lines import (
     parse_postings,
     stop_words_from_lines,
     tokens_from_lines,
+    words_from_lines,
 )
 from wordloom.sources.readers import (
     query_words,
@@ -49,6 +50,7 @@ __all__ = [
     "stop_words_from_lines",
     "strict",
     "tokens_from_lines",
+    "words_from_lines",
     "upsert",
     "write_bucketed",
     "write_delimited",
