@@ -19,6 +19,7 @@ from wordloom.sources import (
     parse_parents,
     parse_postings,
     read_lines,
+    read_postings,
     read_rejects,
     read_table,
     reject_counts,
@@ -249,3 +250,13 @@ def test_staged_lines_are_not_sorted(spark, paths, tmp_path):
     assert "PartitionFilters: []" in physical_plan(good)
     assert not any("problem=" in str(p) for p in Path(shared_folder(spark).removeprefix("file:")).glob("parsed-*/*"))
     assert sorted(map(tuple, good.collect())) == [("a", 1, 2), ("b", 2, 2)]
+
+
+def test_a_strict_reader_splits_a_line_once(spark, tmp_path):
+    (tmp_path / "part-0").write_text("a 1 2\nb 2 3\n")
+    posts = read_postings(spark, str(tmp_path), placed=False)
+    assert physical_plan(posts).count("split(") == 1
+    assert sorted(map(tuple, posts.collect())) == [("a", 1, 2), ("b", 2, 3)]
+    (tmp_path / "part-1").write_text("b x 3\n")
+    with pytest.raises(Exception, match="bad id: b x 3"):
+        read_postings(spark, str(tmp_path), placed=False).count()

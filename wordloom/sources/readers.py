@@ -40,10 +40,15 @@ def read_lines(spark: SparkSession, path: str, files: str | None = None) -> Data
 
 
 def strict(parsed: DataFrame) -> DataFrame:
-    """Fail the job on the first malformed line."""
+    """Fail the job on the first malformed line.
+
+    A record is made one value before the check, or Spark would put the parser in place of
+    each column that the check names, and split a line again for each of them.
+    """
+    whole = parsed.select(F.inline(F.array(F.struct(*parsed.columns))))
     message = F.concat_ws(": ", F.col("problem"), F.col("value"))
     good = F.when(F.col("problem").isNotNull(), F.raise_error(message).cast("boolean"))
-    return parsed.where(good.otherwise(True)).drop("problem", "value")
+    return whole.where(good.otherwise(True)).drop("problem", "value")
 
 
 def split_rejected(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -124,8 +129,10 @@ def read_postings(
     placed: bool = True,
 ) -> DataFrame:
     """(file, pos, word, doc_id, occurrences), without file and pos if not ``placed``."""
-    lines = read_lines(spark, path, PART_FILES)
-    lines = lines if placed else lines.select("value")
+    if placed:
+        lines = read_lines(spark, path, PART_FILES)
+    else:
+        lines = spark.read.option("pathGlobFilter", PART_FILES).text(path)
     return accepted(parse_postings(lines, sep), rejects, "postings")
 
 
