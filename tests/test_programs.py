@@ -1,20 +1,23 @@
+import time
 from pathlib import Path
 
 import pytest
 
+from catalog import roundtrips
 from tests.plans import physical_plan
 from wordloom import schemas
 from wordloom.operators import summed_in_order, summed_postings
 from wordloom.plans import (
     count_corpus,
     load_tables,
+    programs,
     rank_corpus_terms,
     run_queries,
     write_entities,
     write_index,
 )
 from wordloom.plans.programs import last_lists
-from wordloom.scratch import shared_folder
+from wordloom.scratch import FREE_SHUFFLES, shared_folder
 from wordloom.sources import (
     parse_parents,
     parse_postings,
@@ -260,3 +263,91 @@ def test_a_strict_reader_splits_a_line_once(spark, tmp_path):
     (tmp_path / "part-1").write_text("b x 3\n")
     with pytest.raises(Exception, match="bad id: b x 3"):
         read_postings(spark, str(tmp_path), placed=False).count()
+
+
+def names_in(folder):
+    """What lies in the shared folder, without the ids of its names."""
+    return sorted(p.name.rpartition("-")[0] for p in folder.iterdir())
+
+
+def test_programs_keep_no_step_longer_than_it_is_read(spark, paths, monkeypatch):
+    """Parsed lines go once they are counted, and rows that are staged are not staged again."""
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before, seen = names_in(folder), []
+
+    def summed(rows):
+        seen.append(names_in(folder))
+        return summed_in_order(rows)
+
+    monkeypatch.setattr(programs, "summed_in_order", summed)
+    write_index(spark, paths("docs"), paths("stop"), paths("index"), 2, paths("rejects"))
+    write_entities(spark, paths("parents"), paths("children"), paths("ents"), 2)
+    load_tables(
+        spark, paths("index"), paths("ents"), paths("posts"), paths("named"), rejects=paths("rejects")
+    )
+    for names in before:
+        for step in seen:
+            step.remove(names)
+    assert seen == [["counted"], ["parsed"]]
+    posts = read_table(spark, paths("posts"), schemas.POSTINGS)
+    assert sorted(map(tuple, posts.collect()))[:2] == [("cat", 10, 2), ("dog", 2, 1)]
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_path):
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {name for name in blocks.getAllFiles().mkString(" ").split() if "/shuffle_" in name}
+
+    posts = spark.range(10_000).selectExpr("uuid() AS word", "id AS doc_id", "id AS occurrences")
+    before = shuffled()
+    write_table(posts, str(tmp_path / "t"), ["word", "doc_id"], 3)
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
+    assert read_table(spark, str(tmp_path / "t"), schemas.POSTINGS).count() == 10_000
+
+
+def test_compressed_text_loads_like_plain(spark, paths):
+    found = []
+    for codec in (None, "gzip"):
+        index, entities = paths(f"index-{codec}"), paths(f"ents-{codec}")
+        write_index(spark, paths("docs"), paths("stop"), index, 2, compression=codec)
+        write_entities(spark, paths("parents"), paths("children"), entities, 2, compression=codec)
+        parts = [*Path(index).glob("part-*"), *Path(entities).glob("part-*")]
+        assert parts and all((p.suffix == ".gz") == (codec == "gzip") for p in parts)
+        posts, named = paths(f"posts-{codec}"), paths(f"named-{codec}")
+        load_tables(spark, index, entities, posts, named)
+        tables = [read_table(spark, posts, schemas.POSTINGS), read_table(spark, named, schemas.ENTITIES)]
+        found.append([sorted(map(str, rows.collect())) for rows in tables])
+    assert found[0] == found[1] and len(found[0][0]) == 5
+
+
+def test_rejected_lines_leave_only_what_is_read(spark, tmp_path, monkeypatch):
+    """Two whole runs on one set of files; what the first wrote is gone before the second writes."""
+    docs = [(i, f"word{i % 7} and\nrow {i}", "en", "web", 9) for i in range(150)]
+    columns = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+    spark.createDataFrame(docs, columns).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 150, 2)], "doc_id BIGINT, quality INT, toxic INT")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before, loaded = {p.name for p in folder.iterdir()}, []
+
+    def load(spark, index, entities, posts, named, **options):
+        load_tables(spark, index, entities, posts, named, **options)
+        new = sorted(p.name.rpartition("-")[0] for p in folder.iterdir() if p.name not in before)
+        counts = [read_table(spark, posts, schemas.POSTINGS).count(), read_table(spark, named, schemas.ENTITIES).count()]
+        loaded.append((new, counts))
+
+    monkeypatch.setattr(roundtrips, "load_tables", load)
+    found = roundtrips.programs_rejected_lines(spark, str(tmp_path))
+    run = ["entities", "entity-table", "index", *["lines"] * 5, "postings", "rejects"]
+    assert loaded == [(run, [450, 150])] * 2
+    assert [p.name.rpartition("-")[0] for p in folder.iterdir() if p.name not in before] == ["rejects"]
+    no_id, short = [0, 50, 100, 0, 50, 100], [70, 140, 70, 140]
+    lines = [("documents", "bad id", f"x{i}\tno number") for i in no_id]
+    for kind in ("parents", "children"):
+        lines += [(kind, "too few fields", f"x{i}\tno number") for i in no_id]
+        lines += [(kind, "too few fields", f"y{i}") for i in short]
+    assert sorted(map(tuple, found.collect())) == sorted(lines)
